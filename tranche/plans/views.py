@@ -50,6 +50,19 @@ outcomes AS (
  FROM lineitem
 )"""
 
+PAYMENTS_SQL = """
+wide AS (
+ SELECT loans.*, p.total_pymnt, p.last_pymnt_d, p.recoveries, p.collection_recovery_fee,
+  loans.pub_rec AS pub_rec_bankruptcies,
+  CASE WHEN loans.loan_status = 'Fully Paid' THEN 0e0 ELSE loans.loan_amnt END AS out_prncp
+ FROM loans LEFT JOIN (
+  SELECT l_orderkey AS id, SUM(l_extendedprice * (1 - l_discount)) AS total_pymnt,
+   MAX(CAST(l_shipdate AS DATE)) AS last_pymnt_d,
+   SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice * 0.1e0 ELSE 0e0 END) AS recoveries,
+   SUM(CASE WHEN l_returnflag = 'R' THEN l_extendedprice * 0.01e0 ELSE 0e0 END) AS collection_recovery_fee
+  FROM lineitem GROUP BY l_orderkey) p ON loans.id = p.id
+)"""
+
 SPLIT_CASE = """CASE WHEN data_quarter < '2000Q1' THEN 'train'
   WHEN data_quarter < '2001Q1' THEN 'validation' ELSE 'backtest' END"""
 
@@ -57,4 +70,7 @@ SPLIT_CASE = """CASE WHEN data_quarter < '2000Q1' THEN 'train'
 def with_views(body: str, *ctes: str) -> str:
     """``WITH cte1, cte2, ... body``; ctes default to the loan view."""
     ctes = ctes or (LOANS_SQL,)
+    ctes = tuple(c for c in ctes if c and c.strip())
+    if not ctes:
+        return body.strip()
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body.strip()

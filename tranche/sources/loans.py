@@ -158,3 +158,22 @@ def with_split(df: DataFrame, splits: dict | None = None, quarter_col: str = "da
 def list_quarters(df: DataFrame, quarter_col: str = "data_quarter") -> DataFrame:
     """Available quarters (S4): distinct partition values, sorted."""
     return df.select(quarter_col).distinct().orderBy(quarter_col)
+
+
+def loans_with_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan view plus post-origination columns a full loan file carries
+    (payments, recoveries, last payment date).  These leak the outcome and
+    exist to exercise the listing-time compliance step."""
+    li = table(spark, sf_dir, "lineitem")
+    is_r = F.col("l_returnflag") == "R"
+    pay = li.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_pymnt"),
+        F.max(F.to_date("l_shipdate")).alias("last_pymnt_d"),
+        F.sum(F.when(is_r, F.col("l_extendedprice") * 0.1).otherwise(0.0)).alias("recoveries"),
+        F.sum(F.when(is_r, F.col("l_extendedprice") * 0.01).otherwise(0.0)).alias("collection_recovery_fee"),
+    )
+    lv = loan_table(spark, sf_dir)
+    return lv.join(pay, "id", "left").select(
+        *lv.columns, "total_pymnt", "last_pymnt_d", "recoveries", "collection_recovery_fee",
+        F.col("pub_rec").alias("pub_rec_bankruptcies"),
+        F.when(F.col("loan_status") == "Fully Paid", F.lit(0.0)).otherwise(F.col("loan_amnt")).alias("out_prncp"))
