@@ -284,7 +284,7 @@ def binned_aggregate(df: DataFrame, col: str, value: str, bins: int = 10) -> Dat
     mm = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     # right-closed bins (a, b]; the minimum joins the first bin
-    b = F.ceil((F.col(col) - F.col("_lo")) / width).cast("int")
+    b = F.coalesce(F.ceil(F.try_divide(F.col(col) - F.col("_lo"), width)).cast("int"), F.lit(1))
     return (df.crossJoin(F.broadcast(mm)).where(F.col(col).isNotNull())
             .withColumn("bin", F.greatest(F.lit(1), b))
             .groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.avg(value).alias("mean"),

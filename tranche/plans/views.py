@@ -63,8 +63,25 @@ wide AS (
   FROM lineitem GROUP BY l_orderkey) p ON loans.id = p.id
 )"""
 
+_EMP_STRIP = "trim(regexp_replace(regexp_replace(emp_length, 'years?', '', 'g'), '[<>]', '', 'g'))"
+EMP_YEARS_SQL = (f"CASE WHEN regexp_matches(trim(emp_length), '^<\\s*1\\s*(years?)?$') THEN 0.5e0 "
+                 f"ELSE TRY_CAST(CASE WHEN {_EMP_STRIP} = '10+' THEN '10' ELSE {_EMP_STRIP} END AS DOUBLE) END")
+
+LABELLED_SQL = """
+labelled AS (
+ SELECT loans.*, TRY_CAST(rtrim(revol_util_raw, '%') AS DOUBLE) / 100 AS revol_util,
+  {emp} AS emp_length_years, COALESCE(lo.flag, 0) AS label,
+  CASE WHEN data_quarter < '2000Q1' THEN 'train' WHEN data_quarter < '2001Q1' THEN 'validation' ELSE 'backtest' END AS split
+ FROM loans LEFT JOIN (
+  SELECT id, CASE WHEN loan_status IN ('Charged Off','Default','Does not meet the credit policy. Status:Charged Off')
+   THEN 1 ELSE 0 END AS flag FROM (
+   SELECT *, row_number() OVER (PARTITION BY id ORDER BY outcome_date DESC, obs_seq DESC) AS rn FROM outcomes)
+  WHERE rn = 1) lo ON loans.id = lo.id
+)"""
+
 SPLIT_CASE = """CASE WHEN data_quarter < '2000Q1' THEN 'train'
   WHEN data_quarter < '2001Q1' THEN 'validation' ELSE 'backtest' END"""
+LABELLED_SQL = LABELLED_SQL.replace("{emp}", EMP_YEARS_SQL)
 
 
 def with_views(body: str, *ctes: str) -> str:
