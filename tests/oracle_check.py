@@ -79,25 +79,25 @@ def main():
             rows = [tuple(r) for r in df.collect()]
             cols = df.columns
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {n}: spark error {type(e).__name__}: {str(e)[:400]}")
+            print(f"\nFAIL {n}: spark error {type(e).__name__}: {str(e)[:400]}")
             bad += 1
             continue
         ts = time.time() - t0
         if n not in orc:
-            print(f"rows {n}: {len(rows)} rows ({ts:.1f}s, no oracle)")
+            print(f"\nrows {n}: {len(rows)} rows ({ts:.1f}s, no oracle)")
             continue
         try:
             res = con.execute(orc[n])
             ocols = [d[0] for d in res.description]
             orows = res.fetchall()
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {n}: duckdb error {str(e)[:400]}")
+            print(f"\nFAIL {n}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(ocols, orows)
         ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2
-        print(f"{'OK  ' if ok else 'FAIL'} {n}: spark {len(rows)} rows / duck {len(orows)} ({ts:.1f}s)")
+        print(f"\n{'OK  ' if ok else 'FAIL'} {n}: spark {len(rows)} rows / duck {len(orows)} ({ts:.1f}s)")
         if not ok:
             bad += 1
             if sorted(cols) != sorted(ocols):
