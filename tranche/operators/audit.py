@@ -160,8 +160,10 @@ def data_summary(df: DataFrame, label: str, dropped: dict[str, str]) -> DataFram
     s = df.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.avg(F.col(label).cast("double")).alias("prevalence"))
     base = s.select(F.explode(F.array(
         F.struct(F.lit("rows").alias("item"), F.col("rows").alias("value"), F.lit(None).cast("string").alias("detail")),
-        F.struct(F.lit("columns"), F.lit(float(len(df.columns))), F.lit(None).cast("string")),
-        F.struct(F.lit("prevalence"), F.col("prevalence"), F.lit(None).cast("string")))).alias("r")).select("r.*")
+        F.struct(F.lit("columns").alias("item"), F.lit(float(len(df.columns))).alias("value"),
+                 F.lit(None).cast("string").alias("detail")),
+        F.struct(F.lit("prevalence").alias("item"), F.col("prevalence").alias("value"),
+                 F.lit(None).cast("string").alias("detail")))).alias("r")).select("r.*")
     if dropped:
         d = spark.createDataFrame([(f"dropped:{k}", None, v) for k, v in dropped.items()],
                                   "item string, value double, detail string")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import PORTFOLIO_DEFAULTS
 from ..functions.returns import expected_return
+from ..session import ensure_checkpoint_dir
 
 MONEY = "decimal(18,4)"
 
@@ -141,6 +142,7 @@ def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(
     can never qualify (ticket and grade room both above the rest) are pruned
     before the rounds.
     """
+    ensure_checkpoint_dir(cands.sparkSession)
     g, B = policy.group_col, _money(policy.budget)
     cap = _money(policy.budget * policy.max_concentration_per_grade)
     order = _order("balanced_portfolio")
@@ -216,6 +218,7 @@ def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, ma
     rest, the running-sum prefix within the rest is taken whole; the first
     row beyond it fails, the rest shrinks, and the scan resumes after it.
     """
+    ensure_checkpoint_dir(preds.sparkSession)
     B = _money(budget)
     if method == "lowest_risk":
         key = [F.col("default_probability").asc(), F.col("loan_id").asc()]

@@ -71,26 +71,30 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ E2
 def anova_f(df: DataFrame, cols: list[str], label: str = "label") -> DataFrame:
-    """E2 scores: one-way ANOVA F of each feature across label classes, from
-    per-class count / sum / sum of squares in one grouped aggregate."""
+    """E2 scores: one-way ANOVA F of each feature across label classes.
+
+    One grouped aggregate gives count / sum / sum of squares per class (one
+    row per class: a bounded table); F follows from those sums.  A constant
+    feature has 0/0 and gets a missing F (ranked lowest)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
                                 *[F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
-                                *[F.sum(F.col(c).cast("double") ** 2).alias(f"q{i}") for i, c in enumerate(cols)])
-    k_classes = F.count(F.lit(1))
-    aggs = [F.sum("n").alias("N"), k_classes.alias("K")]
-    for i in range(len(cols)):
-        aggs += [F.sum(f"s{i}").alias(f"S{i}"), F.sum(f"q{i}").alias(f"Q{i}"),
-                 F.sum(F.col(f"s{i}") ** 2 / F.col("n")).alias(f"B{i}")]
-    tot = per.agg(*aggs)
-    structs = []
+                                *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"q{i}")
+                                  for i, c in enumerate(cols)]).collect()
+    k = len(per)
+    N = float(sum(r["n"] for r in per))
+    rows = []
     for i, c in enumerate(cols):
-        sq_all = F.col(f"S{i}") ** 2 / F.col("N")
-        sstot = F.col(f"Q{i}") - sq_all
-        ssbn = F.col(f"B{i}") - sq_all
+        S = sum(float(r[f"s{i}"] or 0.0) for r in per)
+        Q = sum(float(r[f"q{i}"] or 0.0) for r in per)
+        B = sum(float(r[f"s{i}"] or 0.0) ** 2 / r["n"] for r in per)
+        sq_all = S * S / N if N else 0.0
+        ssbn, sstot = B - sq_all, Q - sq_all
         sswn = sstot - ssbn
-        f = F.try_divide(F.try_divide(ssbn, F.col("K") - 1), F.try_divide(sswn, F.col("N") - F.col("K")))
-        structs.append(F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"), f.alias("f_score")))
-    return tot.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+        num = ssbn / (k - 1) if k > 1 else None
+        den = sswn / (N - k) if N > k else None
+        f = num / den if num is not None and den not in (None, 0.0) else None
+        rows.append((c, i, f))
+    return df.sparkSession.createDataFrame(rows, "feature string, position int, f_score double")
 
 
 def select_k_best(scores: DataFrame, k: int) -> list[str]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import base_features, text_block
 from ..operators.compliance import drop_leaking
+from ..session import ensure_checkpoint_dir
 from ..operators.prep import FittedImputer, FittedScaler, anova_f, fit_imputer, fit_scaler, select_k_best
 
 DUMMY_SOURCES = {"grade": "grade", "purpose": "purpose", "home_ownership": "home",
@@ -38,7 +39,10 @@ class FeaturePlan:
     label: str = "label"
 
     def fit(self, train: DataFrame) -> "FittedFeaturePlan":
-        train = drop_leaking(train)
+        # every fit aggregate reads the training rows: write them once to the
+        # shared checkpoint folder (short plans, no recompute, survives loss)
+        ensure_checkpoint_dir(train.sparkSession)
+        train = drop_leaking(train).checkpoint(eager=True)
         cols = set(train.columns)
         cats: dict[str, list[str]] = {}
         present = [c for c in DUMMY_SOURCES if c in cols] if self.dummies else []
@@ -94,29 +98,38 @@ class FittedFeaturePlan:
     def raw_features(self, df: DataFrame) -> DataFrame:
         """All engineered features (before impute / select / scale)."""
         df = drop_leaking(df)
+        return df.select(*[F.col(c) for c in self.keep_cols(df)], *self.feature_exprs(df).values())
+
+    def feature_exprs(self, df: DataFrame) -> dict[str, Column]:
         cols = set(df.columns)
         exprs = base_features(cols, self.plan.categories, self.plan.legacy_units) + self.dummy_exprs()
         if self.plan.text_features:
             exprs += text_block(F.col("emp_title") if "emp_title" in cols else None,
                                 F.col("title") if "title" in cols else None)
-        return df.select(*[F.col(c) for c in self.keep_cols(df)], *exprs)
+        names = df.select(*exprs).columns
+        return dict(zip(names, exprs))
 
     def transform(self, df: DataFrame, scale: bool = True) -> DataFrame:
-        """P10: the fitted steps on new rows, one projection; P8 alignment
-        adds missing training features as 0.0 and drops the rest."""
-        raw = self.raw_features(df)
-        keep = self.keep_cols(raw)
-        have = set(raw.columns)
-        base = [F.col(c) if c in have else F.lit(0.0).alias(c) for c in self.names_before_selection]
-        aligned = raw.select(*keep, *base)
-        if self.imputer is not None and self.imputer.values:
-            aligned = self.imputer.transform(aligned)
-        else:
-            aligned = aligned.na.drop(subset=self.names_before_selection)
-        out = aligned.select(*keep, *self.feature_names)
-        if scale and self.scaler is not None:
-            out = out.select(*keep, *[self.scaler.expr(c).alias(c) for c in self.feature_names])
-        return out
+        """P10: the fitted steps on new rows as one projection: each output
+        column is scale(impute(feature expression)); P8 alignment turns a
+        training feature the rows cannot produce into 0.0."""
+        df = drop_leaking(df)
+        keep = self.keep_cols(df)
+        raw = self.feature_exprs(df)
+        if self.imputer is None or not self.imputer.values:
+            inner = df.select(*keep, *[raw.get(c, F.lit(0.0)).alias(c) for c in self.names_before_selection]) \
+                .na.drop(subset=self.names_before_selection)
+            raw = {c: F.col(c) for c in self.names_before_selection}
+            df = inner
+        outs = []
+        for c in self.feature_names:
+            e = raw[c] if c in raw else F.lit(0.0)
+            if self.imputer is not None and c in self.imputer.values:
+                e = F.coalesce(e, F.lit(self.imputer.values[c]))
+            if scale and self.scaler is not None and c in self.scaler.center:
+                e = (e - F.lit(self.scaler.center[c])) / F.lit(self.scaler.scale[c])
+            outs.append(e.alias(c))
+        return df.select(*keep, *outs)
 
     def assemble(self, df: DataFrame, output: str = "features") -> DataFrame:
         """Features as one MLlib vector column."""
