@@ -1,0 +1,19 @@
+"""Size limits behind the exact / approximate switches.
+
+Exact quantiles (``percentile``) keep every distinct value of a column in
+the final aggregation buffer, which is one task for a global quantile.  Up
+to ``EXACT_QUANTILE_ROWS`` rows that is cheap and matches the source
+bit for bit; above it the operators switch to ``percentile_approx``
+(bounded memory, rank error 1 / accuracy).
+"""
+
+from __future__ import annotations
+
+EXACT_QUANTILE_ROWS = 5_000_000
+
+
+def use_approx(df, approx: bool | None) -> bool:
+    """``approx=None``: decide by a row count of ``df`` (one cheap job)."""
+    if approx is not None:
+        return approx
+    return df.count() > EXACT_QUANTILE_ROWS

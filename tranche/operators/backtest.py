@@ -97,32 +97,40 @@ def draw_key(id_col: str = "id", draw_col: str = "draw"):
 
 def random_benchmark(loans: DataFrame, sizes: DataFrame, draws: int = 100, group_col: str = "data_quarter",
                      label: str = "label", rate_col: str = "int_rate", recovery: float = 0.30,
-                     margin: float = 4.0) -> DataFrame:
+                     slack_sigmas: float = 10.0) -> DataFrame:
     """``draws`` samples without replacement of the selected count per
     quarter (``sizes``: group_col, n); mean and population std of the
-    default rate and ROI proxy across draws."""
+    default rate and ROI proxy across draws.
+
+    Keys are ~uniform on [0, P): a draw keeps only keys below a cut that
+    expects n + slack rows; the survivors (bounded by draws x (n + slack),
+    independent of the table size) are written once to the checkpoint
+    folder, checked, and ranked.  A draw with fewer than n survivors widens
+    the cut and runs again, so the result is always the exact n smallest.
+    """
+    from ..session import ensure_checkpoint_dir, materialize
     spark = loans.sparkSession
-    counts = loans.groupBy(group_col).agg(F.count(F.lit(1)).alias("_N"))
-    sz = sizes.join(counts, group_col).withColumn("_n", F.least(F.col("n"), F.col("_N")))
+    ensure_checkpoint_dir(spark)
+    counts = loans.groupBy(group_col).agg(F.count(F.lit(1)).alias("_total"))
+    sz = materialize(sizes.join(counts, group_col).withColumn("_take", F.least(F.col("n"), F.col("_total"))), "draw-sizes")
     d = spark.range(draws).withColumnRenamed("id", "draw")
-    frac = margin
+    widen = 1.0
     while True:
-        # expected survivors per draw ~ n * frac (+ slack); keys are ~uniform on [0, P)
-        cut = F.least(F.lit(float(P31)),
-                      (F.col("_n") * frac + 10 * F.sqrt(F.col("_n")) + 32) / F.col("_N") * P31)
-        keyed = (loans.select("id", group_col, label, rate_col)
-                 .join(F.broadcast(sz.select(group_col, "_n", "_N")), group_col)
-                 .crossJoin(F.broadcast(d))
-                 .withColumn("_k", draw_key())
-                 .where(F.col("_k") < cut))
-        have = keyed.groupBy(group_col, "draw").agg(F.count(F.lit(1)).alias("c"), F.first("_n").alias("_n"))
-        short = have.where(F.col("c") < F.col("_n")).limit(1).count() > 0
-        missing = (have.groupBy(group_col).count().where(F.col("count") < draws).limit(1).count() > 0)
-        if not short and not missing or frac > 1e6:
+        expect = F.col("_take") * widen + slack_sigmas * F.sqrt(F.col("_take")) * widen + 32
+        cut = F.least(F.lit(float(P31)), expect / F.col("_total") * P31)
+        keyed = materialize(loans.select("id", group_col, label, rate_col)
+                            .join(F.broadcast(sz.select(group_col, "_take", "_total")), group_col)
+                            .crossJoin(F.broadcast(d))
+                            .withColumn("_k", draw_key())
+                            .where(F.col("_k") < cut), "draws")
+        have = keyed.groupBy(group_col, "draw").agg(F.count(F.lit(1)).alias("c"), F.first("_take").alias("_take"))
+        bad = (have.where(F.col("c") < F.col("_take")).count() > 0
+               or have.groupBy(group_col).count().where(F.col("count") < draws).count() > 0)
+        if not bad or widen > 1e6:
             break
-        frac *= 4
+        widen *= 4
     w = Window.partitionBy(group_col, "draw").orderBy("_k", "id")
-    picked = keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_n"))
+    picked = keyed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_take"))
     per = picked.groupBy(group_col, "draw").agg(F.avg(F.col(label).cast("double")).alias("dr"),
                                                 F.avg(rate_col).alias("r"))
     per = per.withColumn("roi", (1 - F.col("dr")) * F.col("r") - F.col("dr") * (1 - recovery))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import EVAL_THRESHOLDS
+from ..limits import use_approx
 from .prefix import running_sum
 
 UNIFORM_EDGES = [float(x) for x in np.linspace(0, 1, 11)]
@@ -195,12 +196,12 @@ def chi2_sf_even(x: Column, df: int) -> Column:
 
 
 def hosmer_lemeshow(df: DataFrame, label: str = "label", p: str = "p", bins: int = 10,
-                    approx: bool = False) -> DataFrame:
+                    approx: bool | None = None) -> DataFrame:
     """11 quantile edges of p; bin = number of edges <= p; bins 1..10
     kept (the maximum itself falls past the last edge and is left out, as
     in the source); chi-square with bins-2 df; well calibrated if p > .05."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)]
-    q = (F.percentile_approx(F.col(p), probs, 100000) if approx
+    q = (F.percentile_approx(F.col(p), probs, 100000) if use_approx(df, approx)
          else F.percentile(F.col(p), _lit_array(probs)))
     edges = df.agg(q.alias("_edges"))
     b = df.crossJoin(F.broadcast(edges)).withColumn("_bin", _count_le(F.col("_edges"), F.col(p)))
@@ -239,13 +240,15 @@ def summary_row(auc: DataFrame, summ: DataFrame, ece: DataFrame, hl: DataFrame,
 
 # ------------------------------------------------------------------ D12
 def stability_index(df: DataFrame, cols: list[str], base_filter: Column, group_col: str = "data_quarter",
-                    bins: int = 10, eps: float = 1e-6) -> DataFrame:
+                    bins: int = 10, eps: float = 1e-6, approx: bool | None = None) -> DataFrame:
     """Population stability index of each column per group against the
     base rows: decile edges of the base (exact), share per bin, and
     sum((a - e) * ln(a / e)) with shares floored at ``eps``."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)][1:-1]
-    edges = df.where(base_filter).agg(*[F.percentile(F.col(c).cast("double"), _lit_array(probs)).alias(f"e{i}")
-                                       for i, c in enumerate(cols)])
+    base_rows = df.where(base_filter)
+    quant = (lambda x: F.percentile_approx(x, probs, 100000)) if use_approx(base_rows, approx) \
+        else (lambda x: F.percentile(x, _lit_array(probs)))
+    edges = base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)])
     x = df.crossJoin(F.broadcast(edges))
     structs = [F.struct(F.lit(c).alias("feature"), _count_le(F.col(f"e{i}"), F.col(c).cast("double"), strict=True)
                         .alias("bin")) for i, c in enumerate(cols)]

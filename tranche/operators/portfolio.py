@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import PORTFOLIO_DEFAULTS
 from ..functions.returns import expected_return
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 MONEY = "decimal(18,4)"
 
@@ -172,10 +172,10 @@ def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(
                  .withColumn("_used0", F.coalesce(F.col("_used"), _money(0)))
                  .where((F.col("ticket") <= F.col("_rest")) | (cap - F.col("_used0") <= F.col("_rest") * 2))
                  .select(*keep_cols))
-    remaining = remaining.checkpoint(eager=True)
-    state = over.select(g, F.col("_rest").alias("rest"), F.col("_os").alias("pos_s"),
-                        F.col("_oid").alias("pos_id")).where(F.col("rest") > 1).checkpoint(eager=True)
-    grade_used = used.checkpoint(eager=True)
+    remaining = materialize(remaining, "balanced-rest")
+    state = materialize(over.select(g, F.col("_rest").alias("rest"), F.col("_os").alias("pos_s"),
+                                    F.col("_oid").alias("pos_id")).where(F.col("rest") > 1), "balanced-state")
+    grade_used = materialize(used, "balanced-grades")
     picks = None
     for _ in range(max_rounds):
         if state.isEmpty():
@@ -190,18 +190,19 @@ def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(
                                               F.struct((-F.col("balance_score")).alias("s"), F.col("loan_id"))).alias("p"))
                  .select(g, *[F.col("p." + k).alias(k) for k in keep_cols if k != g], F.col("p._amt").alias("investment_amount"),
                          F.col("p.rest").alias("_rest_before")))
-        first = first.checkpoint(eager=True)
+        first = materialize(first, "balanced-pick")
         if first.isEmpty():
             break
         picked = first.select(*keep_cols, "investment_amount")
         picks = picked if picks is None else picks.unionByName(picked)
-        state = first.select(g, (F.col("_rest_before") - F.col("investment_amount")).cast(MONEY).alias("rest"),
-                             F.col("balance_score").alias("pos_s"), F.col("loan_id").alias("pos_id")) \
-                     .where(F.col("rest") > 1).checkpoint(eager=True)
+        state = materialize(first.select(g, (F.col("_rest_before") - F.col("investment_amount")).cast(MONEY).alias("rest"),
+                                         F.col("balance_score").alias("pos_s"), F.col("loan_id").alias("pos_id"))
+                            .where(F.col("rest") > 1), "balanced-state")
         add = first.select(g, "risk_grade", F.col("investment_amount").alias("_add"))
-        grade_used = (grade_used.join(add, [g, "risk_grade"], "full")
-                      .select(g, "risk_grade", (F.coalesce(F.col("_used"), _money(0)) + F.coalesce(F.col("_add"), _money(0)))
-                              .cast(MONEY).alias("_used"))).checkpoint(eager=True)
+        grade_used = materialize(grade_used.join(add, [g, "risk_grade"], "full")
+                                 .select(g, "risk_grade", (F.coalesce(F.col("_used"), _money(0))
+                                                           + F.coalesce(F.col("_add"), _money(0))).cast(MONEY).alias("_used")),
+                                 "balanced-grades")
     out = sel1 if picks is None else sel1.unionByName(picks)
     return out.drop("balance_score")
 
@@ -232,9 +233,10 @@ def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, ma
     elig = (preds.where(F.col("default_probability") <= max_risk_tolerance)
             .join(loans.select(F.col("id").alias("loan_id"), group_col,
                                F.col("funded_amnt").cast(MONEY).alias("amount")), "loan_id")
-            .withColumn("_rk", rk).checkpoint(eager=True))
-    state = elig.select(group_col).distinct().withColumn("rest", B).withColumn(
-        "pos", F.lit(None).cast(elig.schema["_rk"].dataType)).checkpoint(eager=True)
+            .withColumn("_rk", rk))
+    elig = materialize(elig, "policy-eligible")
+    state = materialize(elig.select(group_col).distinct().withColumn("rest", B).withColumn(
+        "pos", F.lit(None).cast(elig.schema["_rk"].dataType)), "policy-state")
     taken = None
     w = Window.partitionBy(group_col).orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
     for _ in range(max_rounds):
@@ -242,13 +244,13 @@ def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, ma
                .where(F.col("pos").isNull() | (F.col("_rk") > F.col("pos")))
                .where(F.col("amount") <= F.col("rest"))
                .withColumn("_cum", F.sum("amount").over(w)))
-        got = fit.where(F.col("_cum") <= F.col("rest")).drop("_cum", "rest", "pos").checkpoint(eager=True)
+        got = materialize(fit.where(F.col("_cum") <= F.col("rest")).drop("_cum", "rest", "pos"), "policy-taken")
         stop = (fit.where(F.col("_cum") > F.col("rest"))
                 .groupBy(group_col).agg(F.min("_rk").alias("pos"), F.first("rest").alias("rest0")))
         spent = got.groupBy(group_col).agg(F.sum("amount").alias("spent"))
-        state = (stop.join(spent, group_col, "left")
-                 .select(group_col, (F.col("rest0") - F.coalesce(F.col("spent"), _money(0))).cast(MONEY).alias("rest"),
-                         "pos").checkpoint(eager=True))
+        state = materialize(stop.join(spent, group_col, "left")
+                            .select(group_col, (F.col("rest0") - F.coalesce(F.col("spent"), _money(0))).cast(MONEY)
+                                    .alias("rest"), "pos"), "policy-state")
         taken = got if taken is None else taken.unionByName(got)
         if state.isEmpty():
             break

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..limits import use_approx
+
 
 # ------------------------------------------------------------------ E1 / F4
 @dataclass
@@ -33,11 +35,12 @@ class FittedImputer:
 
 
 def fit_imputer(df: DataFrame, cols: list[str] | None = None, strategy: str = "median",
-                approx: bool = False) -> FittedImputer:
+                approx: bool | None = None) -> FittedImputer:
     """Median / mean / mode ('most_frequent') per numeric column, mode
     for text columns; a column with no values at all is filled with 0.0
     (text: '') and reported.  Exact median by default."""
     cols = cols or df.columns
+    approx = use_approx(df, approx) if strategy == "median" else False
     aggs = []
     for i, c in enumerate(cols):
         numeric = isinstance(df.schema[c].dataType, NumericType)
@@ -127,7 +130,7 @@ class FittedScaler:
                                      "feature string, center double, scale double")
 
 
-def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx: bool = False) -> FittedScaler:
+def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx: bool | None = None) -> FittedScaler:
     """E3 standard: (x - mean) / population std; E4 minmax: (x - min) /
     (max - min); E5 robust: (x - median) / (q75 - q25); zero spread -> 1;
     E6: 'none' leaves values, anything unknown falls back to standard."""
@@ -135,6 +138,7 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         return FittedScaler("none")
     if method not in ("standard", "minmax", "robust"):
         method = "standard"
+    approx = use_approx(df, approx) if method == "robust" else False
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

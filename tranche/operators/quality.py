@@ -2,8 +2,8 @@
 
 Each profile is one wide aggregate over the table (a single scan with
 partial aggregation per task), unpivoted to a long table when it is per
-column.  Quantiles are exact by default (``percentile``); pass
-``approx=True`` for ``percentile_approx`` on very large tables.
+column.  Quantiles are exact up to ``limits.EXACT_QUANTILE_ROWS`` rows and
+approximate above (``approx=None``); pass ``approx=True/False`` to force.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, Floa
                                NumericType, ShortType, StringType, TimestampType)
 
 from ..functions.fixed import QUALITY_DEFAULTS
+from ..limits import use_approx
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -83,13 +84,13 @@ def _quartiles(df: DataFrame, cols: list[str], approx: bool) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
 
 
-def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool = False,
+def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool | None = None,
                 min_values: int = 10, rate_base: str = "rows") -> DataFrame:
     """A3 (rate_base='rows': rate over all rows) / A8 IQR (rate_base='values':
     over non-missing values): Q1/Q3 linear, outside [Q1-1.5 IQR, Q3+1.5 IQR]
     strictly; columns with fewer than ``min_values`` values are skipped."""
     cols = cols or numeric_columns(df)
-    q = _quartiles(df, cols, approx)
+    q = _quartiles(df, cols, use_approx(df, approx))
     b = q.select("_n", *[F.struct(
         F.col(f"q__{i}")[0].alias("q1"), F.col(f"q__{i}")[1].alias("q3"), F.col(f"nn__{i}").alias("nn"))
         .alias(f"b{i}") for i in range(len(cols))])
@@ -156,7 +157,7 @@ def type_profile(df: DataFrame, share: float = 0.8) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A5
-def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx: bool = False,
+def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx: bool | None = None,
                   max_missing_rate: float = QUALITY_DEFAULTS["max_missing_rate"],
                   max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"],
                   max_outlier_rate: float = QUALITY_DEFAULTS["max_outlier_rate"],

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import base_features, text_block
 from ..operators.compliance import drop_leaking
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..operators.prep import FittedImputer, FittedScaler, anova_f, fit_imputer, fit_scaler, select_k_best
 
 DUMMY_SOURCES = {"grade": "grade", "purpose": "purpose", "home_ownership": "home",
@@ -34,7 +34,7 @@ class FeaturePlan:
     max_features: int = 50
     scaling: str = "standard"
     legacy_units: bool = False
-    approx_quantiles: bool = False
+    approx_quantiles: bool | None = None  # None: exact up to limits.EXACT_QUANTILE_ROWS
     id_cols: tuple[str, ...] = ("id",)
     label: str = "label"
 
@@ -42,7 +42,7 @@ class FeaturePlan:
         # every fit aggregate reads the training rows: write them once to the
         # shared checkpoint folder (short plans, no recompute, survives loss)
         ensure_checkpoint_dir(train.sparkSession)
-        train = drop_leaking(train).checkpoint(eager=True)
+        train = materialize(drop_leaking(train), "fit-input")
         cols = set(train.columns)
         cats: dict[str, list[str]] = {}
         present = [c for c in DUMMY_SOURCES if c in cols] if self.dummies else []

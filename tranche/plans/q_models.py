@@ -13,7 +13,7 @@ from ..operators import calibration as cal
 from ..operators import models as md
 from ..operators import portfolio as pf
 from ..operators import quality as qa
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.loans import loan_table
 from .feature_plan import FeaturePlan
 from .inputs import labelled_loans
@@ -29,7 +29,7 @@ def model_frames(spark, sf, max_features: int = 50):
     df = labelled_loans(spark, sf)
     fitted = FeaturePlan(max_features=max_features).fit(df.where(F.col("split") == "train"))
     mat = fitted.assemble(fitted.transform(df)).select("id", "data_quarter", "split", "label", "features")
-    mat = mat.checkpoint(eager=True)
+    mat = materialize(mat, "features")
     return fitted, {s: mat.where(F.col("split") == s) for s in ("train", "validation", "backtest")}
 
 

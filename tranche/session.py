@@ -29,6 +29,9 @@ def get_spark(app: str = "tranche", cores: int | str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
+        # wide aggregates generate methods above the JIT's default size limit
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,3 +59,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    This cuts the lineage (later jobs read files, not the plan), computes
+    the plan exactly once (an eager ``checkpoint()`` of a DataFrame runs it
+    twice), keeps columnar pruning / pushdown on the re-read, and survives
+    executor loss because the files live on shared storage.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tranche-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
