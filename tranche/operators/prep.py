@@ -95,7 +95,12 @@ def anova_f(df: DataFrame, cols: list[str], label: str = "label") -> DataFrame:
         sswn = sstot - ssbn
         num = ssbn / (k - 1) if k > 1 else None
         den = sswn / (N - k) if N > k else None
-        f = num / den if num is not None and den not in (None, 0.0) else None
+        if num is None or den is None:
+            f = None
+        elif den == 0.0:
+            f = float("inf") if num > 0 else None  # perfect separation / constant feature
+        else:
+            f = num / den
         rows.append((c, i, f))
     return df.sparkSession.createDataFrame(rows, "feature string, position int, f_score double")
 

@@ -87,12 +87,18 @@ class FittedFeaturePlan:
     def keep_cols(self, df: DataFrame) -> list[str]:
         return [c for c in (*self.plan.id_cols, self.plan.label, "data_quarter", "split") if c in df.columns]
 
-    def dummy_exprs(self) -> list[Column]:
+    def dummy_exprs(self, cols: set[str] | None = None) -> list[Column]:
+        """X6 / X7 flags for the fitted values; a source column the rows do
+        not have yields no flags (alignment then fills 0.0)."""
         out = []
         for src, values in self.categories.items():
+            if cols is not None and src not in cols:
+                continue
             prefix = DUMMY_SOURCES[src]
             out += [F.coalesce(F.col(src) == v, F.lit(False)).cast("int").alias(f"{prefix}_{v}") for v in values]
-        out += [F.coalesce(F.col("addr_state") == s, F.lit(False)).cast("int").alias(f"state_{s}") for s in self.states]
+        if cols is None or "addr_state" in cols:
+            out += [F.coalesce(F.col("addr_state") == s, F.lit(False)).cast("int").alias(f"state_{s}")
+                    for s in self.states]
         return out
 
     def raw_features(self, df: DataFrame) -> DataFrame:
@@ -102,7 +108,7 @@ class FittedFeaturePlan:
 
     def feature_exprs(self, df: DataFrame) -> dict[str, Column]:
         cols = set(df.columns)
-        exprs = base_features(cols, self.plan.categories, self.plan.legacy_units) + self.dummy_exprs()
+        exprs = base_features(cols, self.plan.categories, self.plan.legacy_units) + self.dummy_exprs(cols)
         if self.plan.text_features:
             exprs += text_block(F.col("emp_title") if "emp_title" in cols else None,
                                 F.col("title") if "title" in cols else None)
