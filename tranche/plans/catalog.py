@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_portfolio", "q_quality", "q_features", "q_metrics", "q_models"]
+_MODULES = ["q_portfolio", "q_quality", "q_features", "q_metrics", "q_models", "q_extra"]
 
 
 def load() -> tuple[dict, dict]:

@@ -115,12 +115,12 @@ class FittedFeaturePlan:
         names = df.select(*exprs).columns
         return dict(zip(names, exprs))
 
-    def transform(self, df: DataFrame, scale: bool = True) -> DataFrame:
+    def transform(self, df: DataFrame, scale: bool = True, keep_extra: tuple[str, ...] = ()) -> DataFrame:
         """P10: the fitted steps on new rows as one projection: each output
         column is scale(impute(feature expression)); P8 alignment turns a
         training feature the rows cannot produce into 0.0."""
         df = drop_leaking(df)
-        keep = self.keep_cols(df)
+        keep = self.keep_cols(df) + [c for c in keep_extra if c in df.columns and c not in self.keep_cols(df)]
         raw = self.feature_exprs(df)
         if self.imputer is None or not self.imputer.values:
             inner = df.select(*keep, *[raw.get(c, F.lit(0.0)).alias(c) for c in self.names_before_selection]) \
