@@ -1,9 +1,9 @@
 """Quarterly loan files, configuration, and sinks.
 
-A quarter file is read with an explicit schema of text columns (nothing is
+A quarter file is read as text columns named by its header (nothing is
 inferred, no pass over the data to guess types) and then typed with the
-tolerant cleaners; malformed lines are kept apart in ``_corrupt_record``
-instead of failing or silently re-reading the whole file.  Many quarters are
+tolerant cleaners; a bad cell becomes NULL instead of failing the file or
+silently re-reading it untyped.  Many quarters are
 one multi-path scan; the quarter label comes from the file name.
 """
 
@@ -71,8 +71,9 @@ def load_quarters(spark: SparkSession, directory: str, quarters: list[str], chec
     ``data_quarter`` from the file name (no global sort: order at output)."""
     paths = quarter_paths(directory, quarters) if check_files else \
         [f"{directory.rstrip('/')}/{q}.csv" for q in quarters]
-    raw = (spark.read.schema(file_schema()).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(paths))
+    # header names, every value as text (no inference pass); columns are
+    # matched by name, so files with other column orders still line up
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False).csv(paths)
     q = F.regexp_extract(F.input_file_name(), r"([0-9]{4}Q[1-4])\.csv$", 1)
     return type_loan_file(raw.withColumn("data_quarter", q))
 
