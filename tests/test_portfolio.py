@@ -190,3 +190,44 @@ def test_policy_matches_loop(spark):
         cs = sorted([{"id": r[1], "p": r[7], "amount": Decimal(str(r[3])).quantize(Decimal("0.0001"))}
                      for r in rows if r[0] == g and r[7] <= 0.1], key=lambda c: (c["p"], c["id"]))
         assert got_by.get(g, set()) == set(loop_policy(cs, Decimal(150))), g
+
+
+def _big_groups(seed, groups=6, n=250):
+    rnd = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        for i in range(n):
+            amt = rnd.choice([rnd.uniform(1.5, 60), 25.0, rnd.uniform(0.5, 3)])
+            rows.append((f"H{g}", g * 10000 + i, round(amt, 2), round(amt, 2), round(rnd.uniform(.05, .3), 3),
+                         rnd.choice(["A1", "A2", "B1"]), 36, round(rnd.choice([.02, .05, .1, .15]), 3)))
+    return rows
+
+
+def test_pruned_paths_match_loops(spark):
+    """Few salt buckets and long groups, so the exact pre-pruning removes rows."""
+    rows = _big_groups(11)
+    df = _spark_frame(spark, rows)
+    pol = pf.PortfolioPolicy(budget=300, min_expected_return=-10, max_default_probability=1.0, salt_buckets=2,
+                             max_concentration_per_grade=0.3)
+    c = pf.candidates(df, policy=pol)
+    cand_rows = {r["loan_id"]: r for r in c.collect()}
+    low = {}
+    for r in pf.select_lowest_risk(c, pol).collect():
+        low.setdefault(r["data_quarter"], {})[r["loan_id"]] = r["investment_amount"]
+    bal = {}
+    for r in pf.select_balanced(c, pol).collect():
+        bal.setdefault(r["data_quarter"], {})[r["loan_id"]] = r["investment_amount"]
+    preds = df.select(F.col("id").alias("loan_id"), F.col("pd").alias("default_probability"), F.lit(0.0).alias("risk_score"))
+    pol_sel = {}
+    for r in pf.policy_select(preds, df, budget=300.0, max_risk_tolerance=0.1, salt_buckets=2).collect():
+        pol_sel.setdefault(r["data_quarter"], set()).add(r["loan_id"])
+    for g in sorted({r[0] for r in rows}):
+        cs = [dict(id=i, p=e["default_probability"], ticket=e["ticket"], grade=e["risk_grade"],
+                   score=e["expected_return"] / (e["default_probability"] + 0.01))
+              for i, e in cand_rows.items() if e["data_quarter"] == g]
+        assert low.get(g, {}) == loop_budgeted(sorted(cs, key=lambda x: (x["p"], x["id"])), Decimal(300)), g
+        assert bal.get(g, {}) == loop_balanced(sorted(cs, key=lambda x: (-x["score"], x["id"])), Decimal(300),
+                                               Decimal("0.3")), g
+        pc = sorted([{"id": r[1], "p": r[7], "amount": Decimal(str(r[3])).quantize(Decimal("0.0001"))}
+                     for r in rows if r[0] == g and r[7] <= 0.1], key=lambda c: (c["p"], c["id"]))
+        assert pol_sel.get(g, set()) == set(loop_policy(pc, Decimal(300))), g

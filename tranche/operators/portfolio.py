@@ -146,14 +146,28 @@ def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(
     g, B = policy.group_col, _money(policy.budget)
     cap = _money(policy.budget * policy.max_concentration_per_grade)
     order = _order("balanced_portfolio")
+    pos = F.struct((-F.col("balance_score")).alias("s"), F.col("loan_id").alias("i"))
     c = (cands.where(F.col("ticket") > 1)
          .withColumn("balance_score", F.col("expected_return") / (F.col("default_probability") + 0.01)))
+    # Exact pre-pruning of the per-grade windows (a grade of a quarter may be
+    # huge): inside salted sub-groups, a row whose local running total before
+    # it already reaches the cap has a grade total >= cap, so it and every
+    # later row of its grade get a capped amount of 0.  Rows before the
+    # earliest such row keep all their predecessors, so the grade window over
+    # the kept rows is exact for them.
+    salt = F.pmod(F.xxhash64("loan_id"), F.lit(policy.salt_buckets))
+    wa = Window.partitionBy(g, "risk_grade", "_salt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_salt", salt).withColumn("_lprev", F.coalesce(F.sum("ticket").over(wa), _money(0)))
+    first_full = c.where(F.col("_lprev") >= cap).groupBy(g, "risk_grade").agg(F.min(pos).alias("_fp"))
+    kept = (c.where(F.col("_lprev") < cap).join(first_full, [g, "risk_grade"], "left")
+            .where(F.col("_fp").isNull() | (pos < F.col("_fp"))))
     wg = Window.partitionBy(g, "risk_grade").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    c = c.withColumn("_gcum", F.sum("ticket").over(wg))
+    kept = kept.withColumn("_gcum", F.sum("ticket").over(wg))
     capped = F.least(F.col("_gcum"), cap) - F.least(F.col("_gcum") - F.col("ticket"), cap)
-    c = c.withColumn("_capped", capped.cast(MONEY))
+    kept = kept.withColumn("_capped", capped.cast(MONEY))
+    # rows with a positive capped amount are at most cap per grade: bounded window
     wt = Window.partitionBy(g).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ok = c.where(F.col("_capped") > 1).withColumn("_tcum", F.sum("_capped").over(wt))
+    ok = kept.where(F.col("_capped") > 1).withColumn("_tcum", F.sum("_capped").over(wt))
     phase1 = ok.where(F.col("_tcum") <= B).withColumn("investment_amount", F.col("_capped"))
     # first overflow per quarter: position and rest at that point
     over = (ok.where(F.col("_tcum") > B)
@@ -210,7 +224,7 @@ def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(
 # ---------------------------------------------------------------- K7
 def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, max_risk_tolerance: float = 0.15,
                   method: str = "lowest_risk", max_loans: int | None = None, group_col: str = "data_quarter",
-                  max_rounds: int = 64) -> DataFrame:
+                  max_rounds: int = 64, salt_buckets: int = 64) -> DataFrame:
     """K7: keep p <= tolerance; rank (lowest_risk: p asc; highest_return:
     risk_score desc; otherwise id); take a loan when its funded amount fits
     the rest, skip it otherwise; stop after ``max_loans``.
@@ -233,16 +247,23 @@ def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, ma
     elig = (preds.where(F.col("default_probability") <= max_risk_tolerance)
             .join(loans.select(F.col("id").alias("loan_id"), group_col,
                                F.col("funded_amnt").cast(MONEY).alias("amount")), "loan_id")
-            .withColumn("_rk", rk))
+            .withColumn("_rk", rk)
+            .withColumn("_salt", F.pmod(F.xxhash64("loan_id"), F.lit(salt_buckets))))
     elig = materialize(elig, "policy-eligible")
     state = materialize(elig.select(group_col).distinct().withColumn("rest", B).withColumn(
         "pos", F.lit(None).cast(elig.schema["_rk"].dataType)), "policy-state")
     taken = None
     w = Window.partitionBy(group_col).orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
+    # exact pre-pruning (as in select_budgeted): a row whose running total
+    # inside its salted sub-group already exceeds the rest comes after the
+    # first row that fails, so only sub-group heads reach the quarter window
+    wl = Window.partitionBy(group_col, "_salt").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     for _ in range(max_rounds):
         fit = (elig.join(state, group_col)
                .where(F.col("pos").isNull() | (F.col("_rk") > F.col("pos")))
                .where(F.col("amount") <= F.col("rest"))
+               .withColumn("_lprev", F.coalesce(F.sum("amount").over(wl), _money(0)))
+               .where(F.col("_lprev") <= F.col("rest")).drop("_lprev")
                .withColumn("_cum", F.sum("amount").over(w)))
         got = materialize(fit.where(F.col("_cum") <= F.col("rest")).drop("_cum", "rest", "pos"), "policy-taken")
         stop = (fit.where(F.col("_cum") > F.col("rest"))
@@ -255,11 +276,11 @@ def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, ma
         if state.isEmpty():
             break
     if taken is None:
-        return elig.limit(0).drop("_rk")
+        return elig.limit(0).drop("_rk", "_salt")
     if max_loans:
         wn = Window.partitionBy(group_col).orderBy("_rk")
         taken = taken.withColumn("_n", F.row_number().over(wn)).where(F.col("_n") <= max_loans).drop("_n")
-    return taken.drop("_rk")
+    return taken.drop("_rk", "_salt")
 
 
 # ---------------------------------------------------------------- K3 / K11

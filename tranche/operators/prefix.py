@@ -22,6 +22,10 @@ def running_sum(df: DataFrame, value_cols: list[str], order_cols: list, partitio
         w = Window.partitionBy(*partition_by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(v).over(w).alias(v + suffix) for v in value_cols])
 
+    # three passes read the input (bounds, bucket totals, final window):
+    # write it once to the shared checkpoint folder
+    from ..session import materialize
+    df = materialize(df, "prefix-input")
     first = order_cols[0]
     first_name = first if isinstance(first, str) else None
     if first_name is None:
