@@ -45,7 +45,7 @@ def roc_auc(df: DataFrame, label: str = "label", p: str = "p", by=None, buckets:
     by = _by(by)
     g = df.groupBy(*by, p).agg(F.sum(F.col(label)).cast("long").alias("_pos"),
                                (F.count(F.lit(1)) - F.sum(F.col(label))).cast("long").alias("_neg"))
-    cum = running_sum(g, ["_neg"], [p], by or None, buckets=buckets)
+    cum = running_sum(g, ["_neg"], [p], by or None, buckets=buckets, skew_safe=True)
     below = F.col("_neg_cum") - F.col("_neg")
     part = cum.groupBy(*by).agg(
         F.sum(F.col("_pos") * (below + F.col("_neg") / 2.0)).alias("_num"),

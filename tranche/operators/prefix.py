@@ -1,12 +1,15 @@
 """Running sums that scale (K1).
 
-``running_sum`` with ``partition_by`` is a plain window.  Without a
-partition (one global order, e.g. the ROC curve over all scores) a window
-would pull every row into one task, so the order key is cut into range
-buckets from approximate quantiles (one aggregate job); per-bucket totals
-(one row per bucket, a bounded table) give exclusive offsets, and the
-running sum inside each bucket is a window partitioned by bucket.  Ties of
-the first order key stay in one bucket, so tied rows are never split.
+A plain window over a group puts the whole group in one task.  That is fine
+for bounded groups (a selected portfolio, a table of bucket totals) and is
+what ``running_sum(..., partition_by=..., skew_safe=False)`` does.
+
+For unbounded groups — one global order (the ROC curve over all scores) or
+groups that may hold a third of the rows — the order key is cut into range
+buckets from approximate quantiles (per group), per-bucket totals (at most
+``buckets`` rows per group) give exclusive offsets, and the running sum
+inside each bucket is a window partitioned by (group, bucket).  Ties of the
+first order key stay in one bucket, so tied rows are never split.
 """
 
 from __future__ import annotations
@@ -16,31 +19,37 @@ from pyspark.sql import functions as F
 
 
 def running_sum(df: DataFrame, value_cols: list[str], order_cols: list, partition_by: list[str] | None = None,
-                suffix: str = "_cum", buckets: int = 64, relative_error: float = 1e-4) -> DataFrame:
-    """Add inclusive running sums ``<v><suffix>`` of ``value_cols``."""
-    if partition_by:
-        w = Window.partitionBy(*partition_by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+                suffix: str = "_cum", buckets: int = 64, relative_error: float = 1e-4,
+                skew_safe: bool | None = None) -> DataFrame:
+    """Add inclusive running sums ``<v><suffix>`` of ``value_cols``.
+
+    ``skew_safe`` defaults to True without ``partition_by`` and False with it.
+    """
+    parts = list(partition_by or [])
+    if skew_safe is None:
+        skew_safe = not parts
+    if not skew_safe:
+        w = Window.partitionBy(*parts).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(v).over(w).alias(v + suffix) for v in value_cols])
 
+    first = order_cols[0]
+    if not isinstance(first, str):
+        raise ValueError("skew-safe running_sum needs a plain column name as first order key")
     # three passes read the input (bounds, bucket totals, final window):
     # write it once to the shared checkpoint folder
     from ..session import materialize
     df = materialize(df, "prefix-input")
-    first = order_cols[0]
-    first_name = first if isinstance(first, str) else None
-    if first_name is None:
-        raise ValueError("global running_sum needs a plain column name as first order key")
     probs = [i / buckets for i in range(1, buckets)]
-    bounds_df = df.agg(F.percentile_approx(first_name, probs, int(1 / relative_error)).alias("b"))
-    bucket = F.size(F.filter(F.col("b"), lambda x: x < F.col(first_name)))
-    # bounds: one row, bounded size (buckets-1 values) -> broadcast
-    keyed = df.crossJoin(F.broadcast(bounds_df)).withColumn("_bucket", bucket).drop("b")
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
-    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # totals has at most `buckets` rows: the un-partitioned window is on a bounded table
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum("_t_" + v).over(wb), F.lit(0)).alias("_o_" + v)
-                                          for v in value_cols])
-    w = Window.partitionBy("_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = keyed.join(F.broadcast(offsets), "_bucket")
-    return out.select(*df.columns, *[(F.col("_o_" + v) + F.sum(v).over(w)).alias(v + suffix)
-                                     for v in value_cols])
+    q = F.percentile_approx(first, probs, int(1 / relative_error)).alias("_b")
+    bounds = df.groupBy(*parts).agg(q) if parts else df.agg(q)
+    # bounds: one row per group of (buckets - 1) values
+    keyed = (df.join(bounds, parts) if parts else df.crossJoin(F.broadcast(bounds)))
+    keyed = keyed.withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda x: x < F.col(first)))).drop("_b")
+    totals = keyed.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
+    # at most `buckets` rows per group: a bounded window
+    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, "_bucket", *[F.coalesce(F.sum("_t_" + v).over(wb), F.lit(0)).alias("_o_" + v)
+                                                  for v in value_cols])
+    w = Window.partitionBy(*parts, "_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = keyed.join(offsets if parts else F.broadcast(offsets), [*parts, "_bucket"])
+    return out.select(*df.columns, *[(F.col("_o_" + v) + F.sum(v).over(w)).alias(v + suffix) for v in value_cols])
