@@ -111,3 +111,77 @@ def q_end_to_end(spark, sf):
     calibration, selection on backtest quarters, backtest) as its report."""
     from .pipeline import RunConfig, run
     return run(spark, sf, RunConfig())["report"]
+
+
+_SCORED = "scored AS (SELECT label, pd AS p FROM labelled)"
+_AUC_ONE = """(SELECT SUM(pos * ((neg_cum - neg) + neg / 2.0e0)) / (SUM(pos) * SUM(neg)) FROM (
+ SELECT p, SUM(label) AS pos, COUNT(*) - SUM(label) AS neg,
+  SUM(COUNT(*) - SUM(label)) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS neg_cum
+ FROM scored GROUP BY p))"""
+
+
+@register("alerts", with_views(f"""
+SELECT metric, round(value, 6) AS value, direction, "limit" FROM (
+ SELECT 'roc_auc' AS metric, {_AUC_ONE} AS value, 'min' AS direction, 0.7e0 AS "limit"
+ UNION ALL SELECT 'brier_score', (SELECT AVG((p - label) * (p - label)) FROM scored), 'max', 0.2e0)
+WHERE (direction = 'min' AND value < "limit") OR (direction = 'max' AND value > "limit")""",
+                                LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL, _SCORED))
+def q_alerts(spark, sf):
+    """Alert rows for run metrics outside their limits."""
+    from ..operators import audit as au
+    s = labelled_loans(spark, sf).withColumnRenamed("pd", "p")
+    a = mt.roc_auc(s).select(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+    b = mt.score_summary(s).select(F.lit("brier_score").alias("metric"), F.col("brier_score").alias("value"))
+    return rounded(au.alerts(a.unionByName(b), {"roc_auc": ("min", 0.7), "brier_score": ("max", 0.2)}))
+
+
+_LEAK_SQL = " OR ".join([f"regexp_matches(column_name, '{p}')" for p in
+                         [".*pymnt.*", ".*rec_.*", "chargeoff.*", "settlement.*", "collection.*", "recovery.*"]])
+_FIELDS_SQL = ("'loan_status','last_pymnt_d','last_pymnt_amnt','next_pymnt_d','total_rec_prncp','total_rec_int',"
+               "'recoveries','collection_recovery_fee','out_prncp','out_prncp_inv'")
+
+
+def _summary_sql():
+    from .views import PAYMENTS_SQL
+    return with_views(f"""
+SELECT 'rows' AS item, CAST(COUNT(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail FROM labelled
+UNION ALL SELECT 'columns', (SELECT CAST(COUNT(*) AS DOUBLE) FROM (DESCRIBE SELECT * FROM labelled)
+  WHERE column_name NOT IN ('term_raw', 'revol_util_raw')), NULL
+UNION ALL SELECT 'prevalence', round(AVG(label), 6), NULL FROM labelled
+UNION ALL SELECT 'dropped:' || column_name, NULL, 'listing-time compliance' FROM (DESCRIBE SELECT * FROM wide)
+ WHERE {_LEAK_SQL} OR column_name IN ({_FIELDS_SQL})""", LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL, PAYMENTS_SQL)
+
+
+@register("data_summary", _summary_sql())
+def q_data_summary(spark, sf):
+    """Rows, columns, prevalence, dropped leaking columns with reasons."""
+    from ..operators import audit as au
+    w = loans_with_payments(spark, sf)
+    dropped = {c: "listing-time compliance" for c in cp.leaking_columns(w.columns)}
+    return rounded(au.data_summary(labelled_loans(spark, sf), "label", dropped))
+
+
+_AVAIL_COLS = ("id loan_amnt funded_amnt term int_rate installment grade sub_grade annual_inc home_ownership "
+               "verification_status emp_length purpose addr_state issue_d earliest_cr_line dti delinq_2yrs "
+               "inq_last_6mths open_acc total_acc pub_rec revol_bal loan_status is_default pd data_quarter revol_util "
+               "emp_length_years split").split()
+
+
+@register("availability_rules", with_views(f"""
+SELECT round(prevalence, 6) AS prevalence, round(min_availability, 6) AS min_availability,
+ prevalence >= 0.01 AS prevalence_ok, min_availability > 0.8 AS availability_ok FROM (
+ SELECT AVG(label) AS prevalence, LEAST({', '.join(f'COUNT({c}) * 1.0e0 / COUNT(*)' for c in _AVAIL_COLS)}) AS min_availability
+ FROM labelled)""", LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL))
+def q_availability_rules(spark, sf):
+    """Prevalence >= 1 % and every column present in > 80 % of rows."""
+    return rounded(qa.availability_rules(labelled_loans(spark, sf).drop("revol_util_raw"), "label"))
+
+
+@register("roi_proxy", with_views("""
+SELECT id, round(CASE WHEN loan_amnt > 0 THEN ((CASE WHEN is_default = 1 THEN installment * term * 0.3e0
+ ELSE installment * term END) - loan_amnt) / loan_amnt END, 6) AS roi_proxy FROM loans"""))
+def q_roi_proxy(spark, sf):
+    """Instalment-based ROI proxy (a default collects 30 % of the instalments)."""
+    from ..functions.returns import instalment_roi
+    return rounded(loan_table(spark, sf).select("id", instalment_roi("installment", "term", "loan_amnt", "is_default")
+                                                .alias("roi_proxy")))

@@ -187,30 +187,3 @@ def q_batch_apply(spark, sf):
     from ..sources.tables import table
     return au.batch_apply(table(spark, sf, "documents").select("doc_id", "text"), _doc_stats,
                           "doc_id long, n_words long, n_chars long", batch_size=500)
-
-
-@register("alerts")
-def q_alerts(spark, sf):
-    """Alert rows for run metrics outside their limits."""
-    from ..operators import metrics as mt
-    s = labelled_loans(spark, sf).withColumnRenamed("pd", "p")
-    a = mt.roc_auc(s).select(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
-    b = mt.score_summary(s).select(F.lit("brier_score").alias("metric"), F.col("brier_score").alias("value"))
-    return au.alerts(a.unionByName(b), {"roc_auc": ("min", 0.7), "brier_score": ("max", 0.2)})
-
-
-@register("data_summary")
-def q_data_summary(spark, sf):
-    """Rows, columns, prevalence, dropped leaking columns with reasons."""
-    from ..operators.compliance import leaking_columns
-    from ..sources.loans import loans_with_payments
-    w = loans_with_payments(spark, sf)
-    dropped = {c: "listing-time compliance" for c in leaking_columns(w.columns)}
-    lab = labelled_loans(spark, sf)
-    return au.data_summary(lab, "label", dropped)
-
-
-@register("availability_rules")
-def q_availability_rules(spark, sf):
-    """Prevalence >= 1 % and column availability > 80 %."""
-    return qa.availability_rules(labelled_loans(spark, sf).drop("revol_util_raw"), "label")
