@@ -76,7 +76,8 @@ def lineage_row(spark: SparkSession, operation: str, before: DataFrame, after: D
     """S7 record: characteristics before / after and the deltas."""
     b = characteristics(before, "input").select(*[F.col(c).alias("in_" + c) for c in ("rows", "columns", "content_hash")])
     a = characteristics(after, "output").select(*[F.col(c).alias("out_" + c) for c in ("rows", "columns", "content_hash")])
-    return b.crossJoin(a).select(
+    from .rows import combine_rows
+    return combine_rows(b, a).select(
         F.lit(operation).alias("operation"), F.current_timestamp().alias("ts"), "*",
         (F.col("out_rows") - F.col("in_rows")).alias("row_delta"),
         (F.col("out_columns") - F.col("in_columns")).alias("column_delta"),
@@ -103,14 +104,12 @@ def timed(step: str, action: Callable[[], object], log: list | None = None) -> o
             log.append({"step": step, "seconds": round(time.time() - t0, 3), "status": status, "error": err})
 
 
-def observed(df: DataFrame, name: str) -> DataFrame:
-    """Attach row / null counters that are filled by the next action
-    (no extra job; read them with ``Observation.get``)."""
+def observed(df: DataFrame, name: str):
+    """Attach a row counter that the next action fills (no extra job).
+    Returns (DataFrame, Observation); read the counts with ``obs.get``."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out._tranche_observation = obs  # noqa: SLF001
-    return out
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
 # ------------------------------------------------------------------ S8 / S9

@@ -113,14 +113,15 @@ def random_benchmark(loans: DataFrame, sizes: DataFrame, draws: int = 100, group
     ensure_checkpoint_dir(spark)
     counts = loans.groupBy(group_col).agg(F.count(F.lit(1)).alias("_total"))
     sz = materialize(sizes.join(counts, group_col).withColumn("_take", F.least(F.col("n"), F.col("_total"))), "draw-sizes")
-    d = spark.range(draws).withColumnRenamed("id", "draw")
     widen = 1.0
     while True:
         expect = F.col("_take") * widen + slack_sigmas * F.sqrt(F.col("_take")) * widen + 32
         cut = F.least(F.lit(float(P31)), expect / F.col("_total") * P31)
+        # each loan gets its key in every draw (a generator, no join), and
+        # only keys under the cut leave the task
         keyed = materialize(loans.select("id", group_col, label, rate_col)
                             .join(F.broadcast(sz.select(group_col, "_take", "_total")), group_col)
-                            .crossJoin(F.broadcast(d))
+                            .withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long"))))
                             .withColumn("_k", draw_key())
                             .where(F.col("_k") < cut), "draws")
         have = keyed.groupBy(group_col, "draw").agg(F.count(F.lit(1)).alias("c"), F.first("_take").alias("_take"))

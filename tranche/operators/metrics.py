@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import EVAL_THRESHOLDS
 from ..limits import use_approx
 from .prefix import running_sum
+from .rows import combine_rows, scalars
 
 UNIFORM_EDGES = [float(x) for x in np.linspace(0, 1, 11)]
 DECILE_PROBS = [float(x) for x in np.linspace(0, 1, 11)]
@@ -123,11 +124,14 @@ def best_threshold(df: DataFrame, label: str = "label", p: str = "p", steps: int
     cell = _count_le(_lit_array(grid), F.col(p))
     g = df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).cast("long").alias("pos"))
     tot = g.agg(F.sum("n").alias("N"), F.sum("pos").alias("P"))
-    # threshold j selects cells >= j; cells are at most `steps`: bounded table
+    # threshold j selects cells >= j: each cell (at most `steps` rows) counts
+    # toward thresholds 1..cell
     th = df.sparkSession.range(1, steps).withColumnRenamed("id", "j")
-    sel = (th.crossJoin(F.broadcast(g)).where(F.col("cell") >= F.col("j"))
+    sel = (g.where(F.col("cell") >= 1).select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("cell").cast("long"))).alias("j"),
+                                              "n", "pos")
            .groupBy("j").agg(F.sum("n").alias("pp"), F.sum("pos").alias("tp")))
-    m = th.join(sel, "j", "left").na.fill(0, ["pp", "tp"]).crossJoin(tot)
+    m = th.join(sel, "j", "left").na.fill(0, ["pp", "tp"]).withColumn("_one", F.lit(1)).join(
+        tot.withColumn("_one", F.lit(1)), "_one").drop("_one")
     tp, pp, P, N = F.col("tp"), F.col("pp"), F.col("P"), F.col("N")
     prec = F.coalesce(F.try_divide(tp, pp), F.lit(0.0))
     rec = F.coalesce(F.try_divide(tp, P), F.lit(0.0))
@@ -152,7 +156,7 @@ def expected_calibration_error(df: DataFrame, label: str = "label", p: str = "p"
     b = df.where(in_any).groupBy(*by, _uniform_bin(x).alias("bin")).agg(
         F.count(F.lit(1)).alias("_cnt"), F.avg(F.col(label).cast("double")).alias("acc"), F.avg(x).alias("conf"))
     tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
-    j = b.join(tot, by) if by else b.crossJoin(tot)
+    j = b.join(tot, by) if by else b.withColumn("_one", F.lit(1)).join(tot.withColumn("_one", F.lit(1)), "_one")
     return j.groupBy(*by).agg(F.sum(F.abs(F.col("conf") - F.col("acc")) * F.col("_cnt") / F.col("_total"))
                               .alias("expected_calibration_error"))
 
@@ -168,7 +172,7 @@ def brier_decomposition(df: DataFrame, label: str = "label", p: str = "p") -> Da
     """Reliability, resolution, uncertainty over the V8 bins."""
     curve = reliability_curve(df, label, p)
     base = df.agg(F.avg(F.col(label).cast("double")).alias("o"), F.count(F.lit(1)).alias("N"))
-    j = curve.crossJoin(base)
+    j = curve.withColumn("_one", F.lit(1)).join(base.withColumn("_one", F.lit(1)), "_one").drop("_one")
     return j.groupBy("o", "N").agg(
         (F.sum(F.col("count") * (F.col("mean_predicted") - F.col("fraction_positives")) ** 2) / F.first("N")).alias("reliability"),
         (F.sum(F.col("count") * (F.col("fraction_positives") - F.col("o")) ** 2) / F.first("N")).alias("resolution"),
@@ -203,8 +207,8 @@ def hosmer_lemeshow(df: DataFrame, label: str = "label", p: str = "p", bins: int
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)]
     q = (F.percentile_approx(F.col(p), probs, 100000) if use_approx(df, approx)
          else F.percentile(F.col(p), _lit_array(probs)))
-    edges = df.agg(q.alias("_edges"))
-    b = df.crossJoin(F.broadcast(edges)).withColumn("_bin", _count_le(F.col("_edges"), F.col(p)))
+    edges = scalars(df.agg(q.alias("_edges")))["_edges"] or []
+    b = df.withColumn("_bin", _count_le(_lit_array(edges), F.col(p)))
     g = b.where((F.col("_bin") >= 1) & (F.col("_bin") <= bins)).groupBy("_bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("o1"), F.sum(F.col(p)).alias("e1"))
     e0 = F.col("n") - F.col("e1")
@@ -232,10 +236,10 @@ def summary_row(auc: DataFrame, summ: DataFrame, ece: DataFrame, hl: DataFrame,
     r = realised.agg(F.avg("default_rate").alias("portfolio_default_rate"),
                      F.avg("roi_proxy").alias("portfolio_roi"), F.avg("sharpe_ratio").alias("sharpe_ratio"),
                      F.sum("total_investment").alias("total_investment"), F.sum("loans_selected").alias("loans_selected"))
-    return (auc.select(F.col("roc_auc").alias("model_auc"))
-            .crossJoin(summ.select(F.col("brier_score").alias("model_brier_score")))
-            .crossJoin(ece.select(F.col("expected_calibration_error").alias("calibration_error")))
-            .crossJoin(r).crossJoin(hl.select("well_calibrated")))
+    return combine_rows(auc.select(F.col("roc_auc").alias("model_auc")),
+                        summ.select(F.col("brier_score").alias("model_brier_score")),
+                        ece.select(F.col("expected_calibration_error").alias("calibration_error")),
+                        r, hl.select("well_calibrated"))
 
 
 # ------------------------------------------------------------------ D12
@@ -248,10 +252,11 @@ def stability_index(df: DataFrame, cols: list[str], base_filter: Column, group_c
     base_rows = df.where(base_filter)
     quant = (lambda x: F.percentile_approx(x, probs, 100000)) if use_approx(base_rows, approx) \
         else (lambda x: F.percentile(x, _lit_array(probs)))
-    edges = base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)])
-    x = df.crossJoin(F.broadcast(edges))
-    structs = [F.struct(F.lit(c).alias("feature"), _count_le(F.col(f"e{i}"), F.col(c).cast("double"), strict=True)
-                        .alias("bin")) for i, c in enumerate(cols)]
+    edges = scalars(base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)]))
+    x = df
+    structs = [F.struct(F.lit(c).alias("feature"),
+                        _count_le(_lit_array(edges[f"e{i}"] or []), F.col(c).cast("double"), strict=True).alias("bin"))
+               for i, c in enumerate(cols)]
     long = x.select(group_col, base_filter.alias("_base"),
                                        F.explode(F.array(*structs)).alias("r")).select(group_col, "_base", "r.*")
     per_group = long.groupBy(group_col, "feature", "bin").agg(F.count(F.lit(1)).alias("_gn"))

@@ -41,10 +41,16 @@ def running_sum(df: DataFrame, value_cols: list[str], order_cols: list, partitio
     df = materialize(df, "prefix-input")
     probs = [i / buckets for i in range(1, buckets)]
     q = F.percentile_approx(first, probs, int(1 / relative_error)).alias("_b")
-    bounds = df.groupBy(*parts).agg(q) if parts else df.agg(q)
-    # bounds: one row per group of (buckets - 1) values
-    keyed = (df.join(bounds, parts) if parts else df.crossJoin(F.broadcast(bounds)))
-    keyed = keyed.withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda x: x < F.col(first)))).drop("_b")
+    if parts:
+        # bounds: one row of (buckets - 1) values per group, joined on the group
+        keyed = df.join(df.groupBy(*parts).agg(q), parts)
+        b = F.col("_b")
+    else:
+        keyed = df
+        b = F.array(*[F.lit(float(x)) for x in (df.agg(q).first()["_b"] or [])])
+    keyed = keyed.withColumn("_bucket", F.size(F.filter(b, lambda x: x < F.col(first))))
+    if parts:
+        keyed = keyed.drop("_b")
     totals = keyed.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias("_t_" + v) for v in value_cols])
     # at most `buckets` rows per group: a bounded window
     wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

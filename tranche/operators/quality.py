@@ -17,6 +17,7 @@ from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, Floa
 
 from ..functions.fixed import QUALITY_DEFAULTS
 from ..limits import use_approx
+from .rows import combine_rows, scalars
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -67,7 +68,7 @@ def duplicate_profile(df: DataFrame, max_duplicate_rate: float = QUALITY_DEFAULT
     count(*) - count(distinct row); partial aggregation dedups map-side."""
     total = df.agg(F.count(F.lit(1)).alias("total_rows"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(distinct).select(
+    return combine_rows(total, distinct).select(
         "total_rows", (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"),
         ((F.col("total_rows") - F.col("distinct_rows")) * 100.0 / F.col("total_rows")).alias("duplicate_rate_percent"),
     ).withColumn("exceeds_threshold", F.col("duplicate_rate_percent") > max_duplicate_rate * 100)
@@ -91,20 +92,19 @@ def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool | Non
     strictly; columns with fewer than ``min_values`` values are skipped."""
     cols = cols or numeric_columns(df)
     q = _quartiles(df, cols, use_approx(df, approx))
-    b = q.select("_n", *[F.struct(
-        F.col(f"q__{i}")[0].alias("q1"), F.col(f"q__{i}")[1].alias("q3"), F.col(f"nn__{i}").alias("nn"))
-        .alias(f"b{i}") for i in range(len(cols))])
-    lo = [F.col(f"b{i}.q1") - 1.5 * (F.col(f"b{i}.q3") - F.col(f"b{i}.q1")) for i in range(len(cols))]
-    hi = [F.col(f"b{i}.q3") + 1.5 * (F.col(f"b{i}.q3") - F.col(f"b{i}.q1")) for i in range(len(cols))]
-    # bounds: one row of 3 numbers per column -> broadcast
-    counted = df.crossJoin(F.broadcast(b)).agg(
-        F.first("_n").alias("_n"),
-        *[F.first(f"b{i}").alias(f"b{i}") for i in range(len(cols))],
-        *[F.count_if((F.col(c).cast("double") < lo[i]) | (F.col(c).cast("double") > hi[i])).alias(f"o{i}")
-          for i, c in enumerate(cols)])
+    # quartiles: one row of numbers (bounded) -> literal bounds in pass two
+    qv = scalars(q)
+    lo, hi = [], []
+    for i in range(len(cols)):
+        q1, q3 = (qv[f"q__{i}"] or [None, None])[:2]
+        lo.append(None if q1 is None else q1 - 1.5 * (q3 - q1))
+        hi.append(None if q3 is None else q3 + 1.5 * (q3 - q1))
+    lit = lambda v: F.lit(v).cast("double")
+    counted = df.agg(*[F.count_if((F.col(c).cast("double") < lit(lo[i])) | (F.col(c).cast("double") > lit(hi[i])))
+                       .alias(f"o{i}") for i, c in enumerate(cols)])
     structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"o{i}").alias("outlier_count"),
-                        F.col(f"b{i}.nn").alias("total_values"), lo[i].alias("lower_bound"),
-                        hi[i].alias("upper_bound"), F.col("_n").alias("_rows"))
+                        F.lit(qv[f"nn__{i}"]).cast("long").alias("total_values"), lit(lo[i]).alias("lower_bound"),
+                        lit(hi[i]).alias("upper_bound"), F.lit(qv["_n"]).cast("long").alias("_rows"))
                for i, c in enumerate(cols)]
     out = counted.select(F.explode(F.array(*structs)).alias("r")).select("r.*").where(F.col("total_values") >= min_values)
     base = F.col("_rows") if rate_base == "rows" else F.col("total_values")
@@ -116,15 +116,15 @@ def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool | Non
 def outlier_zscore(df: DataFrame, cols: list[str] | None = None, z: float = 3.0) -> DataFrame:
     """A8 z-score: |x - mean| / sample std > z; rate over non-missing values."""
     cols = cols or numeric_columns(df)
-    st = df.agg(*[F.struct(F.avg(F.col(c).cast("double")).alias("m"),
-                           F.stddev_samp(F.col(c).cast("double")).alias("s"),
-                           F.count(c).alias("nn")).alias(f"s{i}") for i, c in enumerate(cols)])
-    counted = df.crossJoin(F.broadcast(st)).agg(
-        *[F.first(f"s{i}").alias(f"s{i}") for i in range(len(cols))],
-        *[F.count_if(F.abs((F.col(c).cast("double") - F.col(f"s{i}.m")) / F.col(f"s{i}.s")) > z).alias(f"o{i}")
-          for i, c in enumerate(cols)])
+    st = scalars(df.agg(*[F.struct(F.avg(F.col(c).cast("double")).alias("m"),
+                                   F.stddev_samp(F.col(c).cast("double")).alias("s"),
+                                   F.count(c).alias("nn")).alias(f"s{i}") for i, c in enumerate(cols)]))
+    lit = lambda v: F.lit(v).cast("double")
+    counted = df.agg(*[F.count_if(F.abs(F.try_divide(F.col(c).cast("double") - lit(st[f"s{i}"]["m"]),
+                                                     lit(st[f"s{i}"]["s"]))) > z).alias(f"o{i}")
+                       for i, c in enumerate(cols)])
     structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"o{i}").alias("outlier_count"),
-                        F.col(f"s{i}.nn").alias("total_values")) for i, c in enumerate(cols)]
+                        F.lit(st[f"s{i}"]["nn"]).cast("long").alias("total_values")) for i, c in enumerate(cols)]
     out = counted.select(F.explode(F.array(*structs)).alias("r")).select("r.*").where(F.col("total_values") > 0)
     return out.withColumn("outlier_rate", F.col("outlier_count") / F.col("total_values"))
 
@@ -169,7 +169,7 @@ def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx:
     mt = missing_totals(df)
     dp = duplicate_profile(df, max_duplicate_rate).select("duplicate_rows", "duplicate_rate_percent")
     oc = outlier_iqr(df, outlier_cols, approx).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
-    j = mt.crossJoin(dp).crossJoin(oc)
+    j = combine_rows(mt, dp, oc)
     cells = F.col("total_rows") * n_cols
     miss = F.col("total_missing_cells") / cells
     dup = F.col("duplicate_rate_percent") / 100.0
@@ -197,7 +197,7 @@ def quality_rules(df: DataFrame, name: str = "dataset",
     bad = mp.where(F.col("missing_pct") > max_missing_rate * 100).agg(F.sort_array(F.collect_list("column_name")).alias("bad_cols"))
     mt = missing_totals(df)
     dp = duplicate_profile(df).select("duplicate_rows")
-    j = mt.crossJoin(dp).crossJoin(bad)
+    j = combine_rows(mt, dp, bad)
     cells = F.col("total_rows") * len(cols)
     miss = F.when(cells > 0, F.col("total_missing_cells") / cells).otherwise(0.0)
     dup = F.when(F.col("total_rows") > 0, F.col("duplicate_rows") / F.col("total_rows")).otherwise(0.0)
@@ -282,11 +282,12 @@ def binned_aggregate(df: DataFrame, col: str, value: str, bins: int = 10) -> Dat
     """Equal-width bins of ``col`` over [min, max] (the minimum lands in
     bin 1, the maximum in the last), with count / mean / std / min / max /
     median of ``value`` per bin."""
-    mm = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
+    mm = scalars(df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")))
+    lo, hi = F.lit(mm["_lo"]).cast("double"), F.lit(mm["_hi"]).cast("double")
+    width = (hi - lo) / bins
     # right-closed bins (a, b]; the minimum joins the first bin
-    b = F.coalesce(F.ceil(F.try_divide(F.col(col) - F.col("_lo"), width)).cast("int"), F.lit(1))
-    return (df.crossJoin(F.broadcast(mm)).where(F.col(col).isNotNull())
+    b = F.coalesce(F.ceil(F.try_divide(F.col(col) - lo, width)).cast("int"), F.lit(1))
+    return (df.where(F.col(col).isNotNull())
             .withColumn("bin", F.greatest(F.lit(1), b))
             .groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.avg(value).alias("mean"),
                                 F.stddev_samp(value).alias("std"), F.min(value).alias("min"),

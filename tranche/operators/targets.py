@@ -74,13 +74,15 @@ def censored_loans(listing: DataFrame, outcomes: DataFrame) -> DataFrame:
 def synthetic_probability(df: DataFrame, grade_col: str = "sub_grade", rate_col: str = "int_rate") -> DataFrame:
     """X9 probability: sub-grade probability (unknown .15) + .1 * min-max
     scaled rate, clipped to [.001, .60].  Min and max come from one
-    aggregate (a one-row table, broadcast)."""
+    aggregate and enter as literals."""
     table = F.create_map(*[x for g, p in zip(SUB_GRADES, SYNTHETIC_GRADE_PROBABILITY) for x in (F.lit(g), F.lit(p))])
     base = F.coalesce(F.element_at(table, F.col(grade_col)), F.lit(SYNTHETIC_UNKNOWN_PROBABILITY))
-    mm = df.agg(F.min(rate_col).alias("_rmin"), F.max(rate_col).alias("_rmax"))
-    scaled = (F.col(rate_col) - F.col("_rmin")) / (F.col("_rmax") - F.col("_rmin"))
+    from .rows import scalars
+    mm = scalars(df.agg(F.min(rate_col).alias("_rmin"), F.max(rate_col).alias("_rmax")))
+    lo, hi = F.lit(mm["_rmin"]).cast("double"), F.lit(mm["_rmax"]).cast("double")
+    scaled = F.try_divide(F.col(rate_col) - lo, hi - lo)
     p = F.least(F.lit(0.60), F.greatest(F.lit(0.001), base + scaled * 0.1))
-    return df.crossJoin(F.broadcast(mm)).withColumn("synthetic_probability", p).drop("_rmin", "_rmax")
+    return df.withColumn("synthetic_probability", p)
 
 
 def synthetic_label(df: DataFrame, seed: int = 42, label: str = "label") -> DataFrame:

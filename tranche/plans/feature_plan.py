@@ -38,11 +38,10 @@ class FeaturePlan:
     id_cols: tuple[str, ...] = ("id",)
     label: str = "label"
 
-    def fit(self, train: DataFrame) -> "FittedFeaturePlan":
-        # every fit aggregate reads the training rows: write them once to the
-        # shared checkpoint folder (short plans, no recompute, survives loss)
-        ensure_checkpoint_dir(train.sparkSession)
-        train = materialize(drop_leaking(train), "fit-input")
+    def fit_categories(self, train: DataFrame) -> "FittedFeaturePlan":
+        """X6 / X7 only: category values and top states seen in training
+        (one aggregate + one top-k; bounded by the categories' cardinality)."""
+        train = drop_leaking(train)
         cols = set(train.columns)
         cats: dict[str, list[str]] = {}
         present = [c for c in DUMMY_SOURCES if c in cols] if self.dummies else []
@@ -54,7 +53,14 @@ class FeaturePlan:
             states = [r["addr_state"] for r in
                       train.where(F.col("addr_state").isNotNull()).groupBy("addr_state").count()
                       .orderBy(F.col("count").desc(), F.col("addr_state").asc()).limit(self.top_states).collect()]
-        fitted = FittedFeaturePlan(self, cats, states)
+        return FittedFeaturePlan(self, cats, states)
+
+    def fit(self, train: DataFrame) -> "FittedFeaturePlan":
+        # every fit aggregate reads the training rows: write them once to the
+        # shared checkpoint folder (short plans, no recompute, survives loss)
+        ensure_checkpoint_dir(train.sparkSession)
+        train = materialize(drop_leaking(train), "fit-input")
+        fitted = self.fit_categories(train)
         raw = fitted.raw_features(train)
         names = [c for c in raw.columns if c not in fitted.keep_cols(train)]
         if self.missing_strategy == "drop":

@@ -40,6 +40,7 @@ class RunConfig:
     search: bool = False
     min_quality_score: float = 0.80
     gate: bool = True
+    benchmarks: tuple[str, ...] = ("market", "random")  # B5 switches
 
 
 def quality_gate(df: DataFrame, min_score: float) -> DataFrame:
@@ -73,16 +74,25 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
         scored = c.transform(scored).withColumn("p", F.col("p_cal"))
     scores = materialize(scored.select("id", "data_quarter", "split", "label", "p"), "run-scores")
     back = scores.where(F.col("split") == "backtest")
-    out["model_metrics"] = (mt.roc_auc(back).crossJoin(mt.score_summary(back))
-                            .crossJoin(mt.expected_calibration_error(back)).crossJoin(mt.hosmer_lemeshow(back)))
+    from ..operators.rows import combine_rows
+    out["model_metrics"] = combine_rows(mt.roc_auc(back), mt.score_summary(back),
+                                        mt.expected_calibration_error(back), mt.hosmer_lemeshow(back))
     loans = loan_table(spark, sf_dir).where(F.col("data_quarter").isin(
         [r[0] for r in back.select("data_quarter").distinct().collect()]))
     sel = pf.select_investments(loans, back.select("id", F.col("p").alias("pd")), cfg.policy)
     out["selection"] = sel
     so = bt.attach_outcomes(sel, lab.select("id", "label"))
     real = bt.realised(so)
-    market = bt.market_benchmark(lab.where(F.col("split") == "backtest"))
+    back_loans = lab.where(F.col("split") == "backtest")
+    market = bt.market_benchmark(back_loans)
     out["backtest"] = bt.result_row(real, market, cfg.policy.budget)
+    if "market" in cfg.benchmarks:
+        out["benchmark_market"] = market
+    if "random" in cfg.benchmarks:
+        sizes = sel.groupBy(cfg.policy.group_col).agg(F.count(F.lit(1)).alias("n"))
+        out["benchmark_random"] = bt.random_benchmark(back_loans, sizes)
+        if "market" in cfg.benchmarks:
+            out["benchmark_compare"] = bt.compare(real, market, out["benchmark_random"])
     out["feature_importance"] = md.feature_importance(model, fitted.feature_names) \
         if hasattr(model, "coefficients") or hasattr(model, "featureImportances") else None
     out["report"] = au.report_table(

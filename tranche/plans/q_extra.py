@@ -20,12 +20,11 @@ def roc_curve(df, label="label", p="p"):
     counts and a scalable running sum."""
     g = df.groupBy(p).agg(F.sum(F.col(label)).cast("long").alias("_pos"),
                           (F.count(F.lit(1)) - F.sum(F.col(label))).cast("long").alias("_neg"))
-    tot = g.agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_Nn"))
+    tot = g.agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_Nn")).first()
+    P, N = F.lit(tot["_P"]), F.lit(tot["_Nn"])
     c = running_sum(g, ["_pos", "_neg"], [p])
-    c = c.crossJoin(F.broadcast(tot))
-    return c.select(F.col(p).alias("threshold"),
-                    ((F.col("_P") - F.col("_pos_cum") + F.col("_pos")) / F.col("_P")).alias("tpr"),
-                    ((F.col("_Nn") - F.col("_neg_cum") + F.col("_neg")) / F.col("_Nn")).alias("fpr"))
+    return c.select(F.col(p).alias("threshold"), ((P - F.col("_pos_cum") + F.col("_pos")) / P).alias("tpr"),
+                    ((N - F.col("_neg_cum") + F.col("_neg")) / N).alias("fpr"))
 
 
 @register("roc_curve", with_views("""
@@ -185,3 +184,11 @@ def q_roi_proxy(spark, sf):
     from ..functions.returns import instalment_roi
     return rounded(loan_table(spark, sf).select("id", instalment_roi("installment", "term", "loan_amnt", "is_default")
                                                 .alias("roi_proxy")))
+
+
+@register("synthetic_label")
+def q_synthetic_label(spark, sf):
+    """X9 draw: seeded, repeatable Bernoulli label from the synthetic
+    probability (rows-only: the hash has no SQL twin)."""
+    from ..operators import targets as tg
+    return tg.synthetic_label(loan_table(spark, sf)).select("id", "synthetic_probability", "label")

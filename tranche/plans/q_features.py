@@ -154,7 +154,8 @@ FROM labelled l, (
 def q_one_hot(spark, sf):
     """Dummies over the values seen in training, applied to every row
     (long form: one row per loan and dummy)."""
-    df, fitted = _fit(spark, sf, top_states=0, max_features=0)
+    df = labelled_loans(spark, sf)
+    fitted = FeaturePlan(top_states=0).fit_categories(df.where(F.col("split") == "train"))
     d = df.select("id", *fitted.dummy_exprs())
     names = [c for c in d.columns if c != "id"]
     return d.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value"))
@@ -182,9 +183,9 @@ def q_align_columns(spark, sf):
     """Backtest state flags built with the backtest's own top states,
     aligned to the training names (missing -> 0.0, extras dropped)."""
     df = labelled_loans(spark, sf)
-    train_states = FeaturePlan(max_features=0).fit(df.where(F.col("split") == "train")).states
+    train_states = FeaturePlan().fit_categories(df.where(F.col("split") == "train")).states
     bt = df.where(F.col("split") == "backtest")
-    own = FeaturePlan(max_features=0).fit(bt)
+    own = FeaturePlan().fit_categories(bt)
     flags = bt.select("id", *[F.coalesce(F.col("addr_state") == s, F.lit(False)).cast("double").alias(f"state_{s}")
                               for s in own.states])
     names = [f"state_{s}" for s in train_states]

@@ -176,15 +176,13 @@ def q_candidates(spark, sf):
     the money expected on its ticket, and the F2 reason it fails (or NULL)."""
     from ..functions.returns import expected_value
     c = pf.candidates(loan_table(spark, sf), policy=POLICY)
-    out = c.select(
+    return rounded(c.select(
         "data_quarter", "loan_id", F.col("loan_amount").cast("double").alias("loan_amount"),
         F.col("ticket").cast("double").alias("ticket"), "default_probability", "expected_return", "risk_grade",
         "term", "interest_rate",
-        F.round(F.col("ticket").cast("double") * F.col("expected_return"), 6).alias("expected_value"),
-        pf.risk_filter_reason(POLICY).alias("reason"))
-    return rounded(out.drop("expected_value")).join(out.select("loan_id", "expected_value"), "loan_id") \
-        .select("data_quarter", "loan_id", "loan_amount", "ticket", "default_probability", "expected_return",
-                "risk_grade", "term", "interest_rate", "expected_value", "reason")
+        expected_value(F.col("ticket").cast("double"), F.col("interest_rate"), F.col("default_probability"),
+                       POLICY.roi_method, POLICY.recovery_rate).alias("expected_value"),
+        pf.risk_filter_reason(POLICY).alias("reason")))
 
 
 @register("risk_filter_reasons", with_views("""
