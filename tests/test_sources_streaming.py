@@ -70,3 +70,12 @@ def test_streaming_scoring(spark):
     res = spark.read.parquet(out)
     assert res.count() == new.count()
     assert res.where((F.col("p") < 0) | (F.col("p") > 1)).count() == 0
+
+
+def test_quarter_counts_window(spark):
+    import datetime as dt
+    from tranche.streaming.scoring import quarter_counts
+    rows = [(1, dt.date(2016, 1, 5), 0.1), (2, dt.date(2016, 2, 5), 0.3), (3, dt.date(2016, 7, 1), 0.2)]
+    df = spark.createDataFrame(rows, "id long, issue_d date, p double")
+    got = sorted((r["loans"], round(r["mean_p"], 6)) for r in quarter_counts(df).collect())
+    assert got == [(1, 0.2), (2, 0.2)]

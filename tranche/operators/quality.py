@@ -12,8 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
-                               NumericType, ShortType, StringType, TimestampType)
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.fixed import QUALITY_DEFAULTS
 from ..limits import use_approx

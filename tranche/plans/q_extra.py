@@ -9,7 +9,7 @@ from ..operators import compliance as cp
 from ..operators import metrics as mt
 from ..operators import quality as qa
 from ..operators.prefix import running_sum
-from ..sources.loans import loan_table, loans_with_payments, outcome_table, with_split
+from ..sources.loans import loan_table, loans_with_payments, outcome_table
 from .inputs import labelled_loans
 from .registry import register, rounded
 from .views import LABELLED_SQL, LOANS_SQL, OUTCOMES_SQL, with_views

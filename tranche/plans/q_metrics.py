@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.fixed import EVAL_THRESHOLDS
 from ..operators import backtest as bt
 from ..operators import metrics as mt
-from ..operators import portfolio as pf
 from .inputs import labelled_loans
-from .q_portfolio import CAND_SQL, POLICY, _ranked, lowest_risk_selection
+from .q_portfolio import CAND_SQL, _ranked, lowest_risk_selection
 from .registry import register, rounded
 from .views import LABELLED_SQL, LOANS_SQL, OUTCOMES_SQL, with_views
 

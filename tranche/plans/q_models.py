@@ -3,8 +3,6 @@ the two skip-greedy selections, audit tables and user batch functions."""
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import functions as F
 

@@ -9,7 +9,7 @@ from ..functions import rows as rw
 from ..operators import compliance as cp
 from ..operators import quality as qa
 from ..operators import targets as tg
-from ..sources.loans import (DEFAULT_SPLITS, list_quarters, loan_file_rows, loan_table, loans_with_payments,
+from ..sources.loans import (list_quarters, loan_file_rows, loan_table, loans_with_payments,
                              outcome_table, with_split)
 from .registry import register, rounded
 from .views import LOANS_SQL, OUTCOMES_SQL, PAYMENTS_SQL, SPLIT_CASE, with_views

@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import cleaning as cl
 
@@ -31,12 +30,6 @@ NUMERIC = ["id", "member_id", "loan_amnt", "funded_amnt", "funded_amnt_inv", "in
            "fico_range_high"]
 
 
-def file_schema(extra: list[str] | None = None) -> StructType:
-    cols = FILE_COLUMNS + list(extra or [])
-    return StructType([StructField(c, StringType(), True) for c in cols] +
-                      [StructField("_corrupt_record", StringType(), True)])
-
-
 def quarter_paths(directory: str, quarters: list[str], fs_exists=os.path.exists) -> list[str]:
     """S3: every missing quarter is reported at once."""
     paths = [f"{directory.rstrip('/')}/{q}.csv" for q in quarters]
