@@ -84,8 +84,8 @@ def q_feature_provenance(spark, sf):
     return cp.provenance(reg, cp.feature_compliance(spark, [b[0] for b in blocks]))
 
 
-@register("validate_pipeline_data")
-def q_validate_pipeline_data(spark, sf):
+@register("validate_run_data")
+def q_validate_run_data(spark, sf):
     """Quality rules per split, the temporal split check and the
     feature-name compliance, as one table of rule rows."""
     lab = labelled_loans(spark, sf)
@@ -108,7 +108,7 @@ def q_validate_pipeline_data(spark, sf):
 def q_end_to_end(spark, sf):
     """3.1: the whole run (labels, gate, features, logistic model, Platt
     calibration, selection on backtest quarters, backtest) as its report."""
-    from .pipeline import RunConfig, run
+    from .workflow import RunConfig, run
     return run(spark, sf, RunConfig())["report"]
 
 
