@@ -165,10 +165,20 @@ def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx:
     + .2 max(0, 1 - out/maxout) + .3 (1 - miss/2), clamped to [0, 1];
     rates as fractions of cells (missing, outliers) and rows (duplicates)."""
     n_cols = len(df.columns)
-    mt = missing_totals(df)
-    dp = duplicate_profile(df, max_duplicate_rate).select("duplicate_rows", "duplicate_rate_percent")
+    # pass 1 (one row): row count and missing cells; the count also decides
+    # exact vs approximate quartiles without another job
+    m = scalars(missing_totals(df))
+    if approx is None:
+        from ..limits import EXACT_QUANTILE_ROWS
+        approx = m["total_rows"] > EXACT_QUANTILE_ROWS
+    dp = df.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
     oc = outlier_iqr(df, outlier_cols, approx).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
-    j = combine_rows(mt, dp, oc)
+    j = combine_rows(dp, oc).select(
+        F.lit(m["total_rows"]).cast("long").alias("total_rows"), F.lit(n_cols).alias("total_columns"),
+        F.lit(m["total_missing_cells"]).cast("long").alias("total_missing_cells"),
+        (F.lit(m["total_rows"]) - F.col("_distinct")).alias("duplicate_rows"),
+        (((F.lit(m["total_rows"]) - F.col("_distinct")) * 100.0 / F.lit(m["total_rows"])).alias("duplicate_rate_percent")),
+        "total_outliers")
     cells = F.col("total_rows") * n_cols
     miss = F.col("total_missing_cells") / cells
     dup = F.col("duplicate_rate_percent") / 100.0
