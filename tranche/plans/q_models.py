@@ -24,7 +24,8 @@ def model_frames(spark, sf, max_features: int = 50):
     backtest matrices, checkpointed to the shared folder (cuts lineage for
     the iterative optimisers and survives executor loss)."""
     ensure_checkpoint_dir(spark)
-    df = labelled_loans(spark, sf)
+    # the labelled table feeds both the fit and the transform: compute it once
+    df = materialize(labelled_loans(spark, sf), "labelled")
     fitted = FeaturePlan(max_features=max_features).fit(df.where(F.col("split") == "train"))
     mat = fitted.assemble(fitted.transform(df)).select("id", "data_quarter", "split", "label", "features")
     mat = materialize(mat, "features")

@@ -57,7 +57,8 @@ def quality_gate(df: DataFrame, min_score: float) -> DataFrame:
 def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[str, DataFrame]:
     cfg = cfg or RunConfig()
     ensure_checkpoint_dir(spark)
-    lab = labelled_loans(spark, sf_dir)
+    # labels feed the gate, the fit, the transform and the backtest: compute once
+    lab = materialize(labelled_loans(spark, sf_dir), "labelled")
     out: dict[str, DataFrame] = {}
     if cfg.gate:
         out["quality_gate"] = quality_gate(lab.drop("label"), cfg.min_quality_score)
