@@ -87,3 +87,22 @@ def test_anova_constant_feature_ranks_last(spark):
                                "id long, a double, c double, b double, label int")
     scores = prep.anova_f(df, ["a", "c", "b"], "label")
     assert prep.select_k_best(scores, 2) == ["a", "b"]
+
+
+def test_fitted_values_come_from_training_rows_only(spark):
+    """Leak test: imputation and scaling parameters equal statistics of the
+    training split alone, and transforming other rows does not move them."""
+    import statistics
+
+    from tranche.plans.inputs import labelled_loans
+    lab = labelled_loans(spark, "/root/testdata/sf0.001")
+    train = lab.where(F.col("split") == "train")
+    fitted = FeaturePlan(max_features=0, top_states=0, scaling="standard").fit(train)
+    inc_train = [r[0] for r in train.select("annual_inc").collect() if r[0] is not None]
+    assert fitted.imputer.values["annual_income"] == pytest.approx(statistics.median(inc_train))
+    before = dict(fitted.scaler.center)
+    fitted.transform(lab.where(F.col("split") != "train")).count()
+    assert fitted.scaler.center == before
+    inc_all = [r[0] for r in lab.select("annual_inc").collect() if r[0] is not None]
+    if statistics.median(inc_all) != statistics.median(inc_train):
+        assert fitted.imputer.values["annual_income"] != pytest.approx(statistics.median(inc_all))
