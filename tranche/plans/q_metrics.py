@@ -50,7 +50,7 @@ SELECT data_quarter, round(SUM(pos * ((neg_cum - neg) + neg / 2.0e0)) / (SUM(pos
  CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives FROM auc_g GROUP BY data_quarter""",
                                             *VIEWS, _AUC_CTE.format(by="data_quarter, ", part="PARTITION BY data_quarter ")))
 def q_roc_auc_by_quarter(spark, sf):
-    """V1 per quarter (window per group)."""
+    """V1 per quarter (range-bucketed running sums inside each quarter)."""
     return rounded(mt.roc_auc(scored(spark, sf), by=["data_quarter"]))
 
 

@@ -48,7 +48,7 @@ def q_train_logistic(spark, sf):
 
 @register("train_forest")
 def q_train_forest(spark, sf):
-    """M2: random forest (100 trees, depth 10); validation scores."""
+    """M2: random forest (50 trees, depth 8); validation scores."""
     fitted, fr = model_frames(spark, sf)
     m = md.train(fr["train"], md.ModelConfig("random_forest", n_estimators=50, max_depth=8))
     return md.score(m, fr["validation"]).select("id", "data_quarter", "label", "p")
@@ -56,7 +56,7 @@ def q_train_forest(spark, sf):
 
 @register("train_gbt")
 def q_train_gbt(spark, sf):
-    """M3: gradient-boosted trees; validation scores."""
+    """M3: gradient-boosted trees (30 rounds, depth 4, step .1); validation scores."""
     fitted, fr = model_frames(spark, sf)
     m = md.train(fr["train"], md.ModelConfig("gbt", n_estimators=30, max_depth=4, learning_rate=0.1))
     return md.score(m, fr["validation"]).select("id", "data_quarter", "label", "p")
