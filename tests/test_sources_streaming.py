@@ -79,3 +79,12 @@ def test_quarter_counts_window(spark):
     df = spark.createDataFrame(rows, "id long, issue_d date, p double")
     got = sorted((r["loans"], round(r["mean_p"], 6)) for r in quarter_counts(df).collect())
     assert got == [(1, 0.2), (2, 0.2)]
+
+
+def test_materialize_and_release(spark):
+    from tranche.session import materialize, release_materialized
+    df = materialize(spark.range(10), "t")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 10
+    assert release_materialized(spark) >= 1
+    assert not os.path.exists(path.replace("file:", ""))

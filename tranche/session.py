@@ -77,4 +77,22 @@ def materialize(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tranche-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
+
+
+_MATERIALIZED: list[str] = []
+
+
+def release_materialized(spark) -> int:
+    """Delete the intermediates this process wrote with ``materialize`` (on
+    whatever file system the checkpoint folder lives).  Call it after the
+    results that read them have been consumed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _MATERIALIZED:
+        p = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
