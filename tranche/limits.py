@@ -1,10 +1,11 @@
-"""Size limits behind the exact / approximate switches.
+"""Size limit behind the quantile methods.
 
-Exact quantiles (``percentile``) keep every distinct value of a column in
-the final aggregation buffer, which is one task for a global quantile.  Up
-to ``EXACT_QUANTILE_ROWS`` rows that is cheap and matches the source
-bit for bit; above it the operators switch to ``percentile_approx``
-(bounded memory, rank error 1 / accuracy).
+Spark's exact ``percentile`` keeps every distinct value of a column in one
+aggregation buffer, which is one task for a global quantile.  Up to
+``EXACT_QUANTILE_ROWS`` rows that is cheap; above it quantiles are still
+exact but found by narrowing (``operators.quantiles.exact_quantiles``,
+bounded memory, a few passes).  ``approx=True`` asks for
+``percentile_approx`` explicitly.
 """
 
 from __future__ import annotations
@@ -12,8 +13,16 @@ from __future__ import annotations
 EXACT_QUANTILE_ROWS = 5_000_000
 
 
+def quantile_mode(df, approx: bool | None, rows: int | None = None) -> str:
+    """'approx' | 'percentile' (exact, in-buffer) | 'narrow' (exact, scalable)."""
+    if approx:
+        return "approx"
+    if approx is False:
+        return "percentile"
+    n = rows if rows is not None else df.count()
+    return "narrow" if n > EXACT_QUANTILE_ROWS else "percentile"
+
+
 def use_approx(df, approx: bool | None) -> bool:
-    """``approx=None``: decide by a row count of ``df`` (one cheap job)."""
-    if approx is not None:
-        return approx
-    return df.count() > EXACT_QUANTILE_ROWS
+    """Kept for callers that only distinguish approximate from exact."""
+    return quantile_mode(df, approx) == "approx"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import EVAL_THRESHOLDS
-from ..limits import use_approx
+from ..limits import quantile_mode
 from .prefix import running_sum
 from .rows import combine_rows, scalars
 
@@ -204,9 +204,15 @@ def hosmer_lemeshow(df: DataFrame, label: str = "label", p: str = "p", bins: int
     kept (the maximum itself falls past the last edge and is left out, as
     in the source); chi-square with bins-2 df; well calibrated if p > .05."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)]
-    q = (F.percentile_approx(F.col(p), probs, 100000) if use_approx(df, approx)
-         else F.percentile(F.col(p), _lit_array(probs)))
-    edges = scalars(df.agg(q.alias("_edges")))["_edges"] or []
+    mode = quantile_mode(df, approx)
+    if mode == "narrow":
+        from .quantiles import exact_quantiles
+        edges = exact_quantiles(df, [p], probs)[p]
+        edges = [] if edges[0] is None else edges
+    else:
+        q = (F.percentile_approx(F.col(p), probs, 100000) if mode == "approx"
+             else F.percentile(F.col(p), _lit_array(probs)))
+        edges = scalars(df.agg(q.alias("_edges")))["_edges"] or []
     b = df.withColumn("_bin", _count_le(_lit_array(edges), F.col(p)))
     g = b.where((F.col("_bin") >= 1) & (F.col("_bin") <= bins)).groupBy("_bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("o1"), F.sum(F.col(p)).alias("e1"))
@@ -249,9 +255,15 @@ def stability_index(df: DataFrame, cols: list[str], base_filter: Column, group_c
     sum((a - e) * ln(a / e)) with shares floored at ``eps``."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)][1:-1]
     base_rows = df.where(base_filter)
-    quant = (lambda x: F.percentile_approx(x, probs, 100000)) if use_approx(base_rows, approx) \
-        else (lambda x: F.percentile(x, _lit_array(probs)))
-    edges = scalars(base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)]))
+    mode = quantile_mode(base_rows, approx)
+    if mode == "narrow":
+        from .quantiles import exact_quantiles
+        ex = exact_quantiles(base_rows, cols, probs)
+        edges = {f"e{i}": (None if ex[c][0] is None else ex[c]) for i, c in enumerate(cols)}
+    else:
+        quant = (lambda x: F.percentile_approx(x, probs, 100000)) if mode == "approx" \
+            else (lambda x: F.percentile(x, _lit_array(probs)))
+        edges = scalars(base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)]))
     x = df
     structs = [F.struct(F.lit(c).alias("feature"),
                         _count_le(_lit_array(edges[f"e{i}"] or []), F.col(c).cast("double"), strict=True).alias("bin"))

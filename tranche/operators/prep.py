@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..limits import use_approx
+from ..limits import quantile_mode
 
 
 # ------------------------------------------------------------------ E1 / F4
@@ -40,7 +40,13 @@ def fit_imputer(df: DataFrame, cols: list[str] | None = None, strategy: str = "m
     for text columns; a column with no values at all is filled with 0.0
     (text: '') and reported.  Exact median by default."""
     cols = cols or df.columns
-    approx = use_approx(df, approx) if strategy == "median" else False
+    mode = quantile_mode(df, approx) if strategy == "median" else "percentile"
+    approx = mode == "approx"
+    narrow = {}
+    if mode == "narrow":
+        from .quantiles import exact_quantiles
+        num = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+        narrow = {c: v[0] for c, v in exact_quantiles(df, num, [0.5]).items()}
     aggs = []
     for i, c in enumerate(cols):
         numeric = isinstance(df.schema[c].dataType, NumericType)
@@ -49,6 +55,8 @@ def fit_imputer(df: DataFrame, cols: list[str] | None = None, strategy: str = "m
             a = F.mode(x, True)
         elif strategy == "mean":
             a = F.avg(x.cast("double"))
+        elif c in narrow:
+            a = F.lit(narrow[c]).cast("double")
         elif approx:
             a = F.percentile_approx(x.cast("double"), 0.5, 100000).cast("double")
         else:
@@ -143,7 +151,12 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         return FittedScaler("none")
     if method not in ("standard", "minmax", "robust"):
         method = "standard"
-    approx = use_approx(df, approx) if method == "robust" else False
+    mode = quantile_mode(df, approx) if method == "robust" else "percentile"
+    approx = mode == "approx"
+    narrow = {}
+    if mode == "narrow":
+        from .quantiles import exact_quantiles
+        narrow = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -152,8 +165,11 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         elif method == "minmax":
             aggs += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:
-            q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
-                 else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+            if c in narrow:
+                q = F.array(*[F.lit(v).cast("double") for v in narrow[c]])
+            else:
+                q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
+                     else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
             aggs.append(q.alias(f"q{i}"))
     row = df.agg(*aggs).first()
     center, scale = {}, {}

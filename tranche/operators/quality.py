@@ -2,8 +2,9 @@
 
 Each profile is one wide aggregate over the table (a single scan with
 partial aggregation per task), unpivoted to a long table when it is per
-column.  Quantiles are exact up to ``limits.EXACT_QUANTILE_ROWS`` rows and
-approximate above (``approx=None``); pass ``approx=True/False`` to force.
+column.  Quantiles are exact at any size (``approx=None``: in-buffer ``percentile``
+up to ``limits.EXACT_QUANTILE_ROWS`` rows, narrowing above); ``approx=True``
+asks for ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.fixed import QUALITY_DEFAULTS
-from ..limits import use_approx
+from ..limits import quantile_mode
 from .rows import combine_rows, scalars
 
 
@@ -85,14 +86,21 @@ def _quartiles(df: DataFrame, cols: list[str], approx: bool) -> DataFrame:
 
 
 def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool | None = None,
-                min_values: int = 10, rate_base: str = "rows") -> DataFrame:
+                min_values: int = 10, rate_base: str = "rows", rows: int | None = None) -> DataFrame:
     """A3 (rate_base='rows': rate over all rows) / A8 IQR (rate_base='values':
     over non-missing values): Q1/Q3 linear, outside [Q1-1.5 IQR, Q3+1.5 IQR]
     strictly; columns with fewer than ``min_values`` values are skipped."""
     cols = cols or numeric_columns(df)
-    q = _quartiles(df, cols, use_approx(df, approx))
-    # quartiles: one row of numbers (bounded) -> literal bounds in pass two
-    qv = scalars(q)
+    mode = quantile_mode(df, approx, rows)
+    if mode == "narrow":
+        from .quantiles import exact_quantiles
+        qs = exact_quantiles(df, cols, [0.25, 0.75])
+        cnt = scalars(df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"nn__{i}")
+                                                               for i, c in enumerate(cols)]))
+        qv = {**cnt, **{f"q__{i}": qs[c] for i, c in enumerate(cols)}}
+    else:
+        # quartiles: one row of numbers (bounded) -> literal bounds in pass two
+        qv = scalars(_quartiles(df, cols, mode == "approx"))
     lo, hi = [], []
     for i in range(len(cols)):
         q1, q3 = (qv[f"q__{i}"] or [None, None])[:2]
@@ -168,11 +176,8 @@ def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx:
     # pass 1 (one row): row count and missing cells; the count also decides
     # exact vs approximate quartiles without another job
     m = scalars(missing_totals(df))
-    if approx is None:
-        from ..limits import EXACT_QUANTILE_ROWS
-        approx = m["total_rows"] > EXACT_QUANTILE_ROWS
     dp = df.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    oc = outlier_iqr(df, outlier_cols, approx).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
+    oc = outlier_iqr(df, outlier_cols, approx, rows=m["total_rows"]).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
     j = combine_rows(dp, oc).select(
         F.lit(m["total_rows"]).cast("long").alias("total_rows"), F.lit(n_cols).alias("total_columns"),
         F.lit(m["total_missing_cells"]).cast("long").alias("total_missing_cells"),
