@@ -38,16 +38,13 @@ def test_lineage_append_and_characteristics(spark):
     assert c1 == c2  # order-insensitive
 
 
-def test_timed_and_observed(spark):
+def test_timed(spark):
     log = []
     assert au.timed("count", lambda: spark.range(5).count(), log) == 5
     assert log[0]["status"] == "success" and log[0]["step"] == "count"
     with pytest.raises(ZeroDivisionError):
         au.timed("bad", lambda: 1 / 0, log)
     assert log[1]["status"] == "error"
-    df, obs = au.observed(spark.range(7), "rows")
-    df.collect()
-    assert obs.get["rows"] == 7
 
 
 def test_enforce_constraints_scales_down(spark):

@@ -104,14 +104,6 @@ def timed(step: str, action: Callable[[], object], log: list | None = None) -> o
             log.append({"step": step, "seconds": round(time.time() - t0, 3), "status": status, "error": err})
 
 
-def observed(df: DataFrame, name: str):
-    """Attach a row counter that the next action fills (no extra job).
-    Returns (DataFrame, Observation); read the counts with ``obs.get``."""
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 # ------------------------------------------------------------------ S8 / S9
 REPORT_SCHEMA = "section string, metric string, value double, status string"
 
