@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from .exact_topk import OP10_SQL, op10_exact_topk
+from .kmeans_tree import op7_kmeans_tree
+from .packing import op3_pattern_packing
+from .quality import op9_quality
+from .sharding import op8_best_fit_shards
 from .token_counts import op4_token_counts
+from .token_files import op6_token_files
 
 QUERIES = {
+    "op3_pattern_packing": op3_pattern_packing,
     "op4_token_counts": op4_token_counts,
+    "op6_token_files": op6_token_files,
+    "op7_kmeans_tree": op7_kmeans_tree,
+    "op8_best_fit_shards": op8_best_fit_shards,
+    "op9_quality": op9_quality,
+    "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_exact_topk": OP10_SQL,
+}
