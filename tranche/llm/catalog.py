@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from .exact_topk import OP10_SQL, op10_exact_topk
+from .jaccard_join import op5_jaccard_join
 from .kmeans_tree import op7_kmeans_tree
+from .mixing import op2_soft_mixing
 from .packing import op3_pattern_packing
 from .quality import op9_quality
 from .sharding import op8_best_fit_shards
+from .suffix_dedup import op1_suffix_dedup
 from .token_counts import op4_token_counts
 from .token_files import op6_token_files
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_soft_mixing": op2_soft_mixing,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_token_files": op6_token_files,
     "op7_kmeans_tree": op7_kmeans_tree,
     "op8_best_fit_shards": op8_best_fit_shards,

@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: Arrow text access, row numbering, storage."""
+"""Helpers shared by the operators: Arrow text access, hashes, storage."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import materialize
 
@@ -114,18 +113,3 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, seed: int = 7, lower: bool =
     h = mix64((acc[e] - acc[s]) * inv[s] + (e - s).astype(np.uint64))
     return h, s, e, np.searchsorted(s, offs)
 
-
-def rank_within(df: DataFrame, key: str, order: str, rows_per_group: int = 100_000, out: str = "rank") -> DataFrame:
-    """Gapless 0-based numbers of the rows of each key, with no task holding
-    a whole key: rows are salted by a hash of ``order``, numbered inside
-    (key, salt), and shifted by the number of rows of the smaller salts.
-    ``df`` is read twice; pass a stored table."""
-    salts = max(1, -(-df.count() // rows_per_group))
-    x = df.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(salts)).cast("int"))
-    sizes = x.groupBy(key, "__salt").count()
-    shift = sizes.select(
-        F.col(key).alias("__k"), F.col("__salt").alias("__s"),
-        (F.sum("count").over(Window.partitionBy(key).orderBy("__salt")) - F.col("count")).alias("__shift"))
-    numbered = x.withColumn("__n", F.row_number().over(Window.partitionBy(key, "__salt").orderBy(order)) - 1)
-    joined = numbered.join(shift, numbered[key].eqNullSafe(F.col("__k")) & (F.col("__salt") == F.col("__s")))
-    return joined.withColumn(out, (F.col("__n") + F.col("__shift")).cast("long")).drop("__salt", "__n", "__k", "__s", "__shift")

@@ -58,8 +58,8 @@ def text_features(data: np.ndarray, offs: np.ndarray, buckets: int):
         np.log1p(offs[1:] - offs[:-1]), np.log1p(words), _per_text(np.ones(len(data), bool), offs) / w,
         _per_text(upper, offs) / size, _per_text(digit, offs) / size, _per_text(symbol, offs) / size,
         _per_text(~ascii_, offs) / size, _per_text(data == 10, offs) / size,
-        1 - distinct / w * (words > 0), top / w, np.bincount(owner, same, n) / w,
-        1 - np.bincount(po, minlength=n) / pairs * (words > 1),
+        (1 - distinct / w) * (words > 0), top / w, np.bincount(owner, same, n) / w,
+        (1 - np.bincount(po, minlength=n) / pairs) * (words > 1),
         np.bincount(owner, last, n) / w, np.bincount(owner, capital, n) / w, _per_text(data == 124, offs) / size,
     ]) if n else np.empty((0, len(STATISTICS)))
 

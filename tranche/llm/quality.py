@@ -23,7 +23,8 @@ BUCKETS = 1 << 14
 BINS = 10
 RANK = 8
 MAX_TRAIN = 12_000       # labelled rows used to fit, the first in order of a hash of doc_id
-EPOCHS = 8
+VISITS = 120_000         # rows visited in fitting, over at least MIN_EPOCHS passes
+MIN_EPOCHS = 8
 BATCH = 128
 THRESHOLD = 0.3
 FOLDS = 5
@@ -88,8 +89,9 @@ def fit(stats: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]], y: np.nda
         fm.factors[:] = 0
         return fm
     g_lin, g_fac, g_bias = np.full(size, 1e-2), np.full((size, RANK), 1e-2), 1e-2
-    for epoch in range(EPOCHS):
-        rate = 0.15 / (1 + 0.3 * epoch)
+    epochs = max(MIN_EPOCHS, -(-VISITS // len(y)))
+    for epoch in range(epochs):
+        rate = 0.15 / (1 + 3 * epoch / epochs)
         order = rng.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             rows = order[lo:lo + BATCH]
@@ -132,43 +134,46 @@ def _statistics(batch: pa.RecordBatch, text: str, chars: str):
     return np.column_stack([stats, np.log1p(np.maximum(n, 0))]), o, b, w
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> FactorisationMachine:
-    """Fit on at most ``max_train`` labelled rows that are not held out.
+def sample_features(docs: DataFrame, labelled: DataFrame, max_train: int):
+    """Statistics, (buckets, weights) and labels of at most ``max_train``
+    labelled rows; ``labelled`` has doc_id (unique, not null) and label.
 
-    The sample is the first ids in the order of a hash; only their rows of
-    ``docs`` are turned into features (the list of ids is bounded by
-    ``max_train``, so it is broadcast), and again at most ``max_train`` rows
-    come to the driver.  Null ids and null labels are not used; an id labelled
-    twice takes its larger label.
-    """
+    The sample is the first ids in the order of a hash.  Its ids are bounded
+    by ``max_train`` and broadcast; only their rows are turned into features,
+    and again at most ``max_train`` rows come to the driver."""
     order = F.xxhash64("doc_id")
-    sample = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
-              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-              .orderBy(order, "doc_id").limit(max_train))
+    sample = labelled.orderBy(order, "doc_id").limit(max_train)
 
     def extract(batches):
         for b in slices(batches):
             stats, o, k, w = _statistics(b, "text", "chars")
-            cut = np.searchsorted(o, np.arange(len(stats) + 1)).astype(np.int32)
+            cut = pa.array(np.searchsorted(o, np.arange(len(stats) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("label"), pa.array(list(stats), pa.list_(pa.float64())),
-                 pa.ListArray.from_arrays(pa.array(cut), pa.array(k.astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(cut), pa.array(w.astype(np.float32)))],
+                 pa.ListArray.from_arrays(cut, pa.array(k.astype(np.int32))), pa.ListArray.from_arrays(cut, pa.array(w.astype(np.float32)))],
                 ["doc_id", "label", "stats", "buckets", "weights"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"), _metadata(docs).alias("chars"))
-            .join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text", "chars")
+            .join(F.broadcast(sample), "doc_id").select("doc_id", F.col("label").cast("int").alias("label"), "text", "chars")
             .mapInArrow(extract, f"doc_id {kind}, label int, stats array<double>, buckets array<int>, weights array<float>")
             .orderBy(order, "doc_id", F.xxhash64("stats")).limit(max_train).toArrow())
     if not rows.num_rows:
-        return fit(np.empty((0, len(STATISTICS) + 1)), [], np.empty(0))
-    parts = [c.combine_chunks() for c in (rows["stats"], rows["buckets"], rows["weights"])]
-    stats = parts[0].flatten().to_numpy().reshape(rows.num_rows, -1)
-    offs = parts[1].offsets.to_numpy() - parts[1].offsets[0].as_py()
-    buckets, weights = parts[1].flatten().to_numpy().astype(np.int64), parts[2].flatten().to_numpy().astype(float)
-    lists = [(buckets[a:z], weights[a:z]) for a, z in zip(offs[:-1], offs[1:])]
-    return fit(stats, lists, (rows["label"].to_numpy() > 0).astype(float))
+        return np.empty((0, len(STATISTICS) + 1)), [], np.empty(0, np.int64)
+    stats, buckets, weights = (rows[c].combine_chunks() for c in ("stats", "buckets", "weights"))
+    offs = np.concatenate([[0], np.cumsum(buckets.value_lengths().to_numpy())])
+    k, w = buckets.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy().astype(float)
+    return (stats.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1),
+            [(k[x:z], w[x:z]) for x, z in zip(offs[:-1], offs[1:])], rows["label"].to_numpy())
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> FactorisationMachine:
+    """Fit on at most ``max_train`` labelled rows that are not held out.  Null
+    ids and labels are not used; an id labelled twice takes its larger label."""
+    labelled = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
+                .groupBy("doc_id").agg(F.max("quality").alias("label")))
+    stats, lists, y = sample_features(docs, labelled, max_train)
+    return fit(stats, lists, (y > 0).astype(float))
 
 
 def with_scores(docs: DataFrame, fm: FactorisationMachine, out: str = "score") -> DataFrame:
