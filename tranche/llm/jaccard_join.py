@@ -25,7 +25,7 @@ from .common import mix64, read, slices, stored, text_key, utf8
 from .graph import components
 from .shingles import shingle_sets
 
-BITMAP_BITS = 1024
+FEWEST_BITS, MOST_BITS = 512, 1 << 16   # of a bitmap; in between two to four bits per shingle
 LEADING = 8              # leading shingles looked at in the first round
 TILE_ROWS = 256          # larger tiles are cut into blocks, and pairs of blocks are tiles
 SAMPLE_ONE_IN = 16       # texts looked at for frequent shingles: they only order the prefixes
@@ -34,11 +34,17 @@ MAX_FREQUENT = 1 << 18   # frequent shingles that are broadcast (2 MB)
 FILTER_BITS = 1 << 28    # largest bit filter sent to the tasks (32 MB)
 
 
-def bitmap(values: np.ndarray) -> np.ndarray:
-    """BITMAP_BITS hashed bits of a set, as 64-bit words."""
-    bits = np.zeros(BITMAP_BITS, np.uint8)
-    bits[(mix64(values) % np.uint64(BITMAP_BITS)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+def bitmap(values: np.ndarray) -> bytes:
+    """Hashed bits of a set, a power of two that follows its size."""
+    size = min(max(FEWEST_BITS, 1 << (2 * len(values) - 1).bit_length()), MOST_BITS) if len(values) else FEWEST_BITS
+    bits = np.zeros(size, np.uint8)
+    bits[(mix64(values) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (one per row) folded to ``words`` 64-bit words."""
+    return np.bitwise_or.reduce(maps.reshape(len(maps), -1, words), axis=1)
 
 
 def needed_overlap(size_a, size_b, num: int, den: int):
@@ -46,12 +52,24 @@ def needed_overlap(size_a, size_b, num: int, den: int):
     return -(-(num * (size_a + size_b)) // (num + den))
 
 
-def may_link(sizes_a, maps_a, sizes_b, maps_b, num, den) -> np.ndarray:
+def may_link(sizes_a, maps_a: list[bytes], sizes_b, maps_b: list[bytes], num, den) -> np.ndarray:
     """False where the bit counts show that the overlap is too small: every
-    bit of one set that the other lacks stands for an element it lacks."""
-    only_a = np.bitwise_count(maps_a & ~maps_b).sum(1).astype(np.int64)
-    only_b = np.bitwise_count(maps_b & ~maps_a).sum(1).astype(np.int64)
-    return np.minimum(sizes_a - only_a, sizes_b - only_b) >= needed_overlap(sizes_a, sizes_b, num, den)
+    bit of one set that the other lacks stands for an element it lacks.
+    Bitmaps of different sizes are folded to the smaller one."""
+    words_a, words_b = (np.array([len(x) >> 3 for x in m], np.int64) for m in (maps_a, maps_b))
+    out = np.zeros(len(sizes_a), bool)
+    least = needed_overlap(sizes_a, sizes_b, num, den)
+    for wa, wb in np.unique(np.column_stack([words_a, words_b]), axis=0).tolist():
+        at = np.flatnonzero((words_a == wa) & (words_b == wb))
+        w = min(wa, wb)
+        for lo in range(0, len(at), 1 << 14):
+            i = at[lo:lo + (1 << 14)]
+            x = folded(np.frombuffer(b"".join([maps_a[j] for j in i]), np.uint64).reshape(len(i), wa), w)
+            y = folded(np.frombuffer(b"".join([maps_b[j] for j in i]), np.uint64).reshape(len(i), wb), w)
+            only_a = np.bitwise_count(x & ~y).sum(1, dtype=np.int64)
+            only_b = np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
+            out[i] = np.minimum(sizes_a[i] - only_a, sizes_b[i] - only_b) >= least[i]
+    return out
 
 
 def frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
@@ -85,7 +103,7 @@ def described(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
             for lo, hi in zip(offs[:-1], offs[1:]):
                 v, n = values[lo:hi], hi - lo
                 digest.append(hashlib.blake2b(v.tobytes(), digest_size=16).digest() if n else None)
-                bits.append(bitmap(v).tobytes())
+                bits.append(bitmap(v))
                 c = common[lo:hi]
                 p = n - -(-num * n // den) + 1 if n else 0
                 prefix.append(np.concatenate([v[~c], v[c]])[:p])
@@ -100,10 +118,6 @@ def described(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
         run, f"doc_id {kind}, tkey binary, n long, set_hash binary, bits binary, prefix array<long>")
 
 
-def _maps(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(len(col), -1)
-
-
 def bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose sizes and bitmaps allow a link."""
     x = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ma"))
@@ -113,7 +127,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         for t in batches:
             if t.num_rows:
                 na, nb = t.column("na").to_numpy(), t.column("nb").to_numpy()
-                ok = may_link(na, _maps(t.column("ma")), nb, _maps(t.column("mb")), num, den)
+                ok = may_link(na, t.column("ma").to_pylist(), nb, t.column("mb").to_pylist(), num, den)
                 yield t.select(["a", "b"]).filter(pa.array(ok))
 
     sized = pairs.join(x, "a").join(y, "b").where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
@@ -228,7 +242,7 @@ def tile_batch(t: pa.Table, new: np.ndarray, num: int, den: int):
     tile = np.cumsum(new)
     n, comp, sid = (t[c].to_numpy() for c in ("n", "comp", "sid"))
     block, off = t["block"].to_numpy(), t["i"].to_numpy() != t["j"].to_numpy()
-    maps = _maps(t["bits"].combine_chunks())
+    maps = t["bits"].to_pylist()
     at, step = np.arange(len(n)), 1
     while len(at):
         at = at[at + step < len(n)]
@@ -238,7 +252,7 @@ def tile_batch(t: pa.Table, new: np.ndarray, num: int, den: int):
         test = (comp[at] != comp[to]) & (~off[at] | (block[at] != block[to]))
         x, y = at[test], to[test]
         if len(x):
-            ok = may_link(n[x], maps[x], n[y], maps[y], num, den)
+            ok = may_link(n[x], [maps[k] for k in x], n[y], [maps[k] for k in y], num, den)
             x, y = x[ok], y[ok]
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(sid[x], sid[y])), pa.array(np.maximum(sid[x], sid[y]))], ["a", "b"])

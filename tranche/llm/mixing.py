@@ -25,7 +25,7 @@ DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = {"low_clean": 0.07, "low_toxic": 0.01, "high_clean": 0.90, "high_toxic": 0.02}
 MAIN_RATE = 1.15         # mean rate of the domain with the largest target
 STEPS = 30
-TOLERANCE = 1e-4         # of all tokens
+TOLERANCE = 1e-4         # of all tokens, at which steps end
 VISITS = 150_000         # rows visited in fitting, over at least MIN_EPOCHS passes
 MIN_EPOCHS = 8
 WORD_SCALE = 8.0         # a word's weight against a statistic's
@@ -112,46 +112,50 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
 
     ``members`` has n_tokens and posterior.  Gradients are taken in the metric
     of the documents' tokens, so a rate depends on the posterior alone, and W
-    is the inverse of the token-weighted Gram matrix of the posteriors: then
-    the step length is 1, and one step would suffice if no rate met zero."""
+    is the inverse of the token-weighted Gram matrix of the posteriors of the
+    documents whose rate is above zero (of all documents after a step that did
+    not bring the totals nearer), which makes the step length 1."""
     n = len(targets)
-    p = [F.col("posterior")[k] for k in range(n)]
-    pairs = [(a, b) for a in range(n) for b in range(a, n)]
-    first = members.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), *(F.sum(p[a] * F.col("n_tokens")) for a in range(n)),
-                        *(F.sum(p[a] * p[b] * F.col("n_tokens")) for a, b in pairs)).first()
-    total = float(first[0])
+    have, gram, total = corpus_sums(members, mixer, n)
     if not total:
         return mixer
-    have = np.array(first[1:n + 1], float) / total
-    gram = np.zeros((n, n))
-    for (a, b), v in zip(pairs, first[n + 1:]):
-        gram[a, b] = gram[b, a] = v / total
-    main = int(np.argmax(targets))
-    goal = targets / targets.sum() * (main_rate * have[main] / (targets / targets.sum())[main])
-    weight = np.linalg.inv(gram + 1e-6 * np.eye(n))
-    totals = have
+    share = targets / targets.sum()
+    main = int(np.argmax(share))
+    goal = share * main_rate * have[main] / share[main]
+    everyone, now, active, before = gram, have, gram, np.inf
     for _ in range(STEPS):
-        r = totals - goal
-        if np.abs(r).max() < TOLERANCE:
+        r = now - goal
+        off = float(np.abs(r).max())
+        if off < TOLERANCE * total:
             break
-        mixer.pull.append(weight @ r)
-        totals = expected_totals(members, mixer, n) / total
+        mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-6 * total * np.eye(n), r))
+        before = off
+        now, active, _ = corpus_sums(members, mixer, n)
     return mixer
 
 
-def expected_totals(members: DataFrame, mixer: Mixer, domains: int) -> np.ndarray:
-    """Expected tokens of each domain at the mixer's rates."""
+def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """At the mixer's rates: expected tokens of each domain, the Gram matrix of
+    the posteriors of documents with a rate, and all tokens.  One grouped sum
+    of (domains + 1) squared numbers, added up in the tasks first."""
+    size = domains + domains * domains + 1
+
     def run(batches):
+        out = np.zeros(size)
         for b in batches:
-            p = b.column("posterior").flatten().to_numpy().reshape(b.num_rows, -1) if b.num_rows else np.empty((0, domains))
-            t = (mixer.rates(p) * b.column("n_tokens").to_numpy()) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(domains, dtype=np.int32)), pa.array(np.resize(t, domains) if b.num_rows else np.zeros(domains))], ["domain", "t"])
-
-    rows = members.select("n_tokens", "posterior").mapInArrow(run, "domain int, t double").groupBy("domain").agg(F.sum("t").alias("t")).collect()
-    out = np.zeros(domains)
+            if b.num_rows:
+                p, t = b.column("posterior").flatten().to_numpy().reshape(b.num_rows, -1), b.column("n_tokens").to_numpy()
+                x = mixer.rates(p)
+                out[:domains] += (x * t) @ p
+                out[domains:-1] += ((p * (t * (x > 0))[:, None]).T @ p).ravel()
+                out[-1] += t.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(out)], ["at", "v"])
+
+    rows = members.select("n_tokens", "posterior").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(size)
     for r in rows:
-        out[r["domain"]] = r["t"]
-    return out
+        out[r["at"]] = r["v"]
+    return out[:domains], out[domains:-1].reshape(domains, domains), out[-1]
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
