@@ -44,6 +44,32 @@ def test_exact_topk_lengths_ties_and_bad_rows(spark, spread):
     assert got == brute_products(rows, 10)
 
 
+def test_many_blocks_in_many_partitions(spark, monkeypatch):
+    from tranche.llm import exact_topk, kmeans_tree
+    for module, name, value in ((exact_topk, "BLOCK", 32), (exact_topk, "QUERIES", 4), (exact_topk, "BLOCKS_PER_TASK", 2), (exact_topk, "SEEDS", 16),
+                                (kmeans_tree, "LEAF_ROWS", 20), (kmeans_tree, "LEAF_QUERIES", 3)):
+        monkeypatch.setattr(module, name, value)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = np.random.default_rng(3)
+        x = rng.normal(size=(1500, 5)) * np.exp(rng.normal(size=(1500, 1)))
+        rows = [(int(i), [float(a) for a in v]) for i, v in enumerate(x)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+        got = sorted(tuple(r) for r in top_products(df, F.col("vec_id") % 100 == 0).collect())
+        assert got == brute_products(rows, 10)
+        near = nearest_neighbours(df, F.col("vec_id") % 50 == 0).collect()
+        assert len(near) == 30 * 5
+        hit = 0
+        for q in range(0, 1500, 50):
+            s = cosines(x, x[q])
+            s[q] = -2
+            hit += len(set(np.argsort(-s)[:5].tolist()) & {r.vec_id for r in near if r.query_id == q})
+        assert hit >= 0.9 * 150
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
 def test_few_rows_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 2.0])], schema)

@@ -139,8 +139,8 @@ def top_products(df: DataFrame, is_query, k: int = K, scale: int = SCALE) -> Dat
     # every pair of a query block and a slot of vector blocks is one group
     slots = max(1, -(-v_blocks.count() // BLOCKS_PER_TASK))
     numbers = [r["block"] for r in q_blocks.select("block").collect()]   # one number per 512 queries
-    left = v_blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots))).withColumn(
-        "q", F.explode(F.array([F.lit(b) for b in numbers]))) if numbers else v_blocks.where("false").withColumn("slot", F.lit(0)).withColumn("q", F.lit(0))
+    left = v_blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).withColumn(
+        "q", F.explode(F.array([F.lit(b) for b in numbers]))) if numbers else v_blocks.where("false").withColumn("slot", F.lit(0)).withColumn("q", F.lit(0).cast("long"))
     right = q_blocks.withColumnRenamed("block", "q").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
     def search(vectors: pa.Table, queries: pa.Table) -> pa.Table:
