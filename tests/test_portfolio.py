@@ -231,3 +231,36 @@ def test_pruned_paths_match_loops(spark):
         pc = sorted([{"id": r[1], "p": r[7], "amount": Decimal(str(r[3])).quantize(Decimal("0.0001"))}
                      for r in rows if r[0] == g and r[7] <= 0.1], key=lambda c: (c["p"], c["id"]))
         assert pol_sel.get(g, set()) == set(loop_policy(pc, Decimal(300))), g
+
+
+def _alternating(n, budget):
+    """1, almost the budget, 1, a little less, ...: a skip after every pick."""
+    return [(i, Decimal(1) if i % 2 == 0 else Decimal(budget) - Decimal(i) / 2) for i in range(n)]
+
+
+@pytest.mark.parametrize("batch", [5000, 16])
+def test_policy_takes_every_fitting_loan(spark, batch):
+    """More skips than any fixed number of rounds would survive."""
+    rows = [("Q", i, float(a), float(a), .1, "A1", 36, .001 * i) for i, a in _alternating(150, 100)]
+    df = _spark_frame(spark, rows)
+    preds = df.select(F.col("id").alias("loan_id"), F.col("pd").alias("default_probability"), F.lit(0.0).alias("risk_score"))
+    got = {r["loan_id"] for r in pf.policy_select(preds, df, budget=100.0, max_risk_tolerance=1.0, batch=batch).collect()}
+    assert got == set(loop_policy([{"id": i, "amount": a} for i, a in _alternating(150, 100)], Decimal(100)))
+
+
+def test_balanced_with_large_tickets(spark):
+    rnd = random.Random(12)
+    rows = [("Q", i, a := round(rnd.choice([1.5, 2.0, rnd.uniform(30, 400)]), 2), a, .1, rnd.choice(["A1", "B1", "C1"]), 36, round(.001 * i, 4)) for i in range(240)]
+    pol = pf.PortfolioPolicy(budget=300, ticket_size=500, min_expected_return=-10, max_default_probability=1.0, max_concentration_per_grade=0.5)
+    c = pf.candidates(_spark_frame(spark, rows), policy=pol)
+    cs = [{"id": r["loan_id"], "grade": r["risk_grade"], "ticket": r["ticket"], "score": r["expected_return"] / (r["default_probability"] + 0.01)} for r in c.collect()]
+    want = loop_balanced(sorted(cs, key=lambda x: (-x["score"], x["id"])), Decimal(300), Decimal("0.5"))
+    for batch in (5000, 24):
+        assert {r["loan_id"]: r["investment_amount"] for r in pf.select_balanced(c, pol, batch=batch).collect()} == want
+
+
+def test_text_rates(spark):
+    rows = [("Q", 1, 25.0, 25.0, "12.5%", "A1", 36, .05), ("Q", 2, 25.0, 25.0, "0.2", "A1", 36, .15), ("Q", 3, 25.0, 25.0, "x", "A1", 36, .15)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("int_rate double", "int_rate string"))
+    got = {r["loan_id"]: r["interest_rate"] for r in pf.candidates(df).collect()}
+    assert got == {1: pytest.approx(.125), 2: pytest.approx(.2), 3: 0.0}

@@ -1,8 +1,9 @@
 """Budget-constrained loan selection per quarter.
 
 Money is DECIMAL(18,4): the greedy rules compare running totals with the
-budget, and float rounding flips ties.  Every strategy is a running sum over
-one quarter's candidates in rank order; none loops over rows on the driver.
+budget, and float rounding flips ties.  K4 and K5 are running sums over one
+quarter's candidates in rank order; K6 and K7, which skip, are scans in bounded
+batches (``greedy.py``).  None loops over rows on the driver.
 
 Scale: a quarter may hold a third of all loans, so a plain window over the
 quarter would be one huge task.  ``select_budgeted`` first prunes exactly:
@@ -16,14 +17,17 @@ per quarter.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import PORTFOLIO_DEFAULTS
-from ..functions.returns import expected_return
-from ..session import ensure_checkpoint_dir, materialize
+from ..functions.returns import expected_return, rate_fraction
+from ..session import materialize
+from .greedy import BATCH, greedy_scan
 
 MONEY = "decimal(18,4)"
 
@@ -58,7 +62,7 @@ def candidates(loans: DataFrame, scores: DataFrame | None = None, policy: Portfo
     g = policy.group_col
     df = loans if scores is None else loans.drop(score_col).join(scores.select("id", score_col), "id")
     amount = F.coalesce(F.col("funded_amnt"), F.col("loan_amnt"), F.lit(0.0))
-    rate = F.coalesce(F.col("int_rate"), F.lit(0.0))
+    rate = F.coalesce(rate_fraction("int_rate") if df.schema["int_rate"].dataType.simpleString() == "string" else F.col("int_rate"), F.lit(0.0))
     p = F.col(score_col)
     return df.select(
         F.col(g), F.col("id").alias("loan_id"),
@@ -128,159 +132,73 @@ def select_highest_expected_value(cands: DataFrame, policy: PortfolioPolicy = Po
 
 
 # ---------------------------------------------------------------- K6
-def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(), max_rounds: int = 64) -> DataFrame:
+def _decimal(x: float) -> Decimal:
+    return Decimal(str(x)).quantize(Decimal("0.0001"), ROUND_HALF_UP)
+
+
+def select_balanced(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy(), batch: int = BATCH) -> DataFrame:
     """K6: rank by expected_return / (p + .01) descending; a per-grade cap of
     ``budget * max_concentration_per_grade`` shrinks the ticket; a loan is
     taken when its (shrunk) amount exceeds 1 and fits the rest of the budget;
     otherwise it is skipped and the scan goes on.
 
-    Phase 1 (windows): until the first loan that does not fit, the grade
-    totals are capped running sums and the quarter total is a running sum.
-    Phase 2 (rounds): after that loan the rest is below one ticket and every
-    pick costs more than 1, so at most ``rest`` rounds each pick "the first
-    later loan whose shrunk amount is in (1, rest]" per quarter.  Rows that
-    can never qualify (ticket and grade room both above the rest) are pruned
-    before the rounds.
+    Rows leave the scan for good when their grade has at most 1 left, or when
+    neither the ticket nor what later picks can leave of the grade's cap (its
+    room less the rest) fits the rest.
     """
-    ensure_checkpoint_dir(cands.sparkSession)
-    g, B = policy.group_col, _money(policy.budget)
-    cap = _money(policy.budget * policy.max_concentration_per_grade)
-    order = _order("balanced_portfolio")
-    pos = F.struct((-F.col("balance_score")).alias("s"), F.col("loan_id").alias("i"))
-    c = (cands.where(F.col("ticket") > 1)
-         .withColumn("balance_score", F.col("expected_return") / (F.col("default_probability") + 0.01)))
-    # Exact pre-pruning of the per-grade windows (a grade of a quarter may be
-    # huge): inside salted sub-groups, a row whose local running total before
-    # it already reaches the cap has a grade total >= cap, so it and every
-    # later row of its grade get a capped amount of 0.  Rows before the
-    # earliest such row keep all their predecessors, so the grade window over
-    # the kept rows is exact for them.
-    salt = F.pmod(F.xxhash64("loan_id"), F.lit(policy.salt_buckets))
-    wa = Window.partitionBy(g, "risk_grade", "_salt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("_salt", salt).withColumn("_lprev", F.coalesce(F.sum("ticket").over(wa), _money(0)))
-    first_full = c.where(F.col("_lprev") >= cap).groupBy(g, "risk_grade").agg(F.min(pos).alias("_fp"))
-    kept = (c.where(F.col("_lprev") < cap).join(first_full, [g, "risk_grade"], "left")
-            .where(F.col("_fp").isNull() | (pos < F.col("_fp"))))
-    wg = Window.partitionBy(g, "risk_grade").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    kept = kept.withColumn("_gcum", F.sum("ticket").over(wg))
-    capped = F.least(F.col("_gcum"), cap) - F.least(F.col("_gcum") - F.col("ticket"), cap)
-    kept = kept.withColumn("_capped", capped.cast(MONEY))
-    # rows with a positive capped amount are at most cap per grade: bounded window
-    wt = Window.partitionBy(g).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ok = kept.where(F.col("_capped") > 1).withColumn("_tcum", F.sum("_capped").over(wt))
-    phase1 = ok.where(F.col("_tcum") <= B).withColumn("investment_amount", F.col("_capped"))
-    # first overflow per quarter: position and rest at that point
-    over = (ok.where(F.col("_tcum") > B)
-            .groupBy(g).agg(F.min_by(F.struct("balance_score", "loan_id", "_tcum", "_capped"),
-                                     F.struct((-F.col("balance_score")).alias("s"), F.col("loan_id"))).alias("o"))
-            .select(g, F.col("o.balance_score").alias("_os"), F.col("o.loan_id").alias("_oid"),
-                    (B - (F.col("o._tcum") - F.col("o._capped"))).cast(MONEY).alias("_rest")))
-    keep_cols = [c_ for c_ in cands.columns] + ["balance_score"]
-    sel1 = phase1.select(*keep_cols, "investment_amount")
-    used = sel1.groupBy(g, "risk_grade").agg(F.sum("investment_amount").cast(MONEY).alias("_used"))
-    remaining = (c.join(over, g)
-                 .where((F.col("balance_score") < F.col("_os"))
-                        | ((F.col("balance_score") == F.col("_os")) & (F.col("loan_id") > F.col("_oid"))))
-                 .where(F.col("_rest") > 1)
-                 .join(used, [g, "risk_grade"], "left")
-                 .withColumn("_used0", F.coalesce(F.col("_used"), _money(0)))
-                 .where((F.col("ticket") <= F.col("_rest")) | (cap - F.col("_used0") <= F.col("_rest") * 2))
-                 .select(*keep_cols))
-    remaining = materialize(remaining, "balanced-rest")
-    state = materialize(over.select(g, F.col("_rest").alias("rest"), F.col("_os").alias("pos_s"),
-                                    F.col("_oid").alias("pos_id")).where(F.col("rest") > 1), "balanced-state")
-    grade_used = materialize(used, "balanced-grades")
-    picks = None
-    for _ in range(max_rounds):
-        if state.isEmpty():
-            break
-        cand = (remaining.join(state, g)
-                .where((F.col("balance_score") < F.col("pos_s"))
-                       | ((F.col("balance_score") == F.col("pos_s")) & (F.col("loan_id") > F.col("pos_id"))))
-                .join(grade_used, [g, "risk_grade"], "left")
-                .withColumn("_amt", F.least(F.col("ticket"), cap - F.coalesce(F.col("_used"), _money(0))).cast(MONEY))
-                .where((F.col("_amt") > 1) & (F.col("_amt") <= F.col("rest"))))
-        first = (cand.groupBy(g).agg(F.min_by(F.struct(*keep_cols, "_amt", "rest"),
-                                              F.struct((-F.col("balance_score")).alias("s"), F.col("loan_id"))).alias("p"))
-                 .select(g, *[F.col("p." + k).alias(k) for k in keep_cols if k != g], F.col("p._amt").alias("investment_amount"),
-                         F.col("p.rest").alias("_rest_before")))
-        first = materialize(first, "balanced-pick")
-        if first.isEmpty():
-            break
-        picked = first.select(*keep_cols, "investment_amount")
-        picks = picked if picks is None else picks.unionByName(picked)
-        state = materialize(first.select(g, (F.col("_rest_before") - F.col("investment_amount")).cast(MONEY).alias("rest"),
-                                         F.col("balance_score").alias("pos_s"), F.col("loan_id").alias("pos_id"))
-                            .where(F.col("rest") > 1), "balanced-state")
-        add = first.select(g, "risk_grade", F.col("investment_amount").alias("_add"))
-        grade_used = materialize(grade_used.join(add, [g, "risk_grade"], "full")
-                                 .select(g, "risk_grade", (F.coalesce(F.col("_used"), _money(0))
-                                                           + F.coalesce(F.col("_add"), _money(0))).cast(MONEY).alias("_used")),
-                                 "balanced-grades")
-    out = sel1 if picks is None else sel1.unionByName(picks)
-    return out.drop("balance_score")
+    g, cap = policy.group_col, _decimal(policy.budget * policy.max_concentration_per_grade)
+    score = F.col("expected_return") / (F.col("default_probability") + 0.01)
+    rows = (cands.where(F.col("ticket") > 1).withColumn("balance_score", score)
+            .withColumn("_a", F.coalesce(-F.col("balance_score"), F.lit(float("inf")))))
+    rows = materialize(rows, "balanced-rows")
+    left = F.lit(cap).cast(MONEY) - F.coalesce(
+        F.element_at(F.from_json("used", "map<string,string>"), F.col("risk_grade")).cast(MONEY), _money(0))
+    room = (F.col("rest") > 1) & (left > 1) & ((F.col("ticket") <= F.col("rest")) | (left - F.col("rest") <= F.col("rest")))
+
+    def step(pdf):
+        rest, used, at, amounts = pdf["rest"][0], {k: Decimal(v) for k, v in json.loads(pdf["used"][0]).items()}, [], []
+        for i, (ticket, grade) in enumerate(zip(pdf["ticket"], pdf["risk_grade"])):
+            amount = min(ticket, cap - used.get(grade, Decimal(0)))
+            if 1 < amount <= rest:
+                at.append(i), amounts.append(amount)
+                rest -= amount
+                used[grade] = used.get(grade, Decimal(0)) + amount
+        return at, amounts, rest, json.dumps({k: str(v) for k, v in used.items()})
+
+    memory = rows.select(g).distinct().select(g, _money(policy.budget).alias("rest"), F.lit("{}").alias("used"))
+    return greedy_scan(rows, g, memory, room, step, batch, policy.salt_buckets, "balanced").drop("balance_score")
 
 
 # ---------------------------------------------------------------- K7
 def policy_select(preds: DataFrame, loans: DataFrame, budget: float = 5000.0, max_risk_tolerance: float = 0.15,
                   method: str = "lowest_risk", max_loans: int | None = None, group_col: str = "data_quarter",
-                  max_rounds: int = 64, salt_buckets: int = 64) -> DataFrame:
+                  batch: int = BATCH, salt_buckets: int = 64) -> DataFrame:
     """K7: keep p <= tolerance; rank (lowest_risk: p asc; highest_return:
     risk_score desc; otherwise id); take a loan when its funded amount fits
-    the rest, skip it otherwise; stop after ``max_loans``.
-
-    Rounds: of the rows after the last stop whose amount fits the current
-    rest, the running-sum prefix within the rest is taken whole; the first
-    row beyond it fails, the rest shrinks, and the scan resumes after it.
-    """
-    ensure_checkpoint_dir(preds.sparkSession)
-    B = _money(budget)
-    if method == "lowest_risk":
-        key = [F.col("default_probability").asc(), F.col("loan_id").asc()]
-        rk = F.struct(F.col("default_probability").alias("a"), F.col("loan_id").alias("b"))
-    elif method == "highest_return":
-        key = [F.col("risk_score").desc(), F.col("loan_id").asc()]
-        rk = F.struct((-F.col("risk_score")).alias("a"), F.col("loan_id").alias("b"))
-    else:
-        key = [F.col("loan_id").asc()]
-        rk = F.struct(F.lit(0.0).alias("a"), F.col("loan_id").alias("b"))
+    the rest, skip it otherwise; stop after ``max_loans``.  The rest only
+    falls, so a row above it leaves the scan for good."""
+    rank = {"lowest_risk": F.col("default_probability").cast("double"),
+            "highest_return": F.coalesce(-F.col("risk_score").cast("double"), F.lit(float("inf")))}.get(method, F.lit(0.0))
     elig = (preds.where(F.col("default_probability") <= max_risk_tolerance)
-            .join(loans.select(F.col("id").alias("loan_id"), group_col,
-                               F.col("funded_amnt").cast(MONEY).alias("amount")), "loan_id")
-            .withColumn("_rk", rk)
-            .withColumn("_salt", F.pmod(F.xxhash64("loan_id"), F.lit(salt_buckets))))
+            .join(loans.select(F.col("id").alias("loan_id"), group_col, F.col("funded_amnt").cast(MONEY).alias("amount")), "loan_id")
+            .where(F.col("amount").isNotNull()).withColumn("_a", rank))
     elig = materialize(elig, "policy-eligible")
-    state = materialize(elig.select(group_col).distinct().withColumn("rest", B).withColumn(
-        "pos", F.lit(None).cast(elig.schema["_rk"].dataType)), "policy-state")
-    taken = None
-    w = Window.partitionBy(group_col).orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
-    # exact pre-pruning (as in select_budgeted): a row whose running total
-    # inside its salted sub-group already exceeds the rest comes after the
-    # first row that fails, so only sub-group heads reach the quarter window
-    wl = Window.partitionBy(group_col, "_salt").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
-    for _ in range(max_rounds):
-        fit = (elig.join(state, group_col)
-               .where(F.col("pos").isNull() | (F.col("_rk") > F.col("pos")))
-               .where(F.col("amount") <= F.col("rest"))
-               .withColumn("_lprev", F.coalesce(F.sum("amount").over(wl), _money(0)))
-               .where(F.col("_lprev") <= F.col("rest")).drop("_lprev")
-               .withColumn("_cum", F.sum("amount").over(w)))
-        got = materialize(fit.where(F.col("_cum") <= F.col("rest")).drop("_cum", "rest", "pos"), "policy-taken")
-        stop = (fit.where(F.col("_cum") > F.col("rest"))
-                .groupBy(group_col).agg(F.min("_rk").alias("pos"), F.first("rest").alias("rest0")))
-        spent = got.groupBy(group_col).agg(F.sum("amount").alias("spent"))
-        state = materialize(stop.join(spent, group_col, "left")
-                            .select(group_col, (F.col("rest0") - F.coalesce(F.col("spent"), _money(0))).cast(MONEY)
-                                    .alias("rest"), "pos"), "policy-state")
-        taken = got if taken is None else taken.unionByName(got)
-        if state.isEmpty():
-            break
-    if taken is None:
-        return elig.limit(0).drop("_rk", "_salt")
+
+    def step(pdf):
+        rest, at = pdf["rest"][0], []
+        for i, amount in enumerate(pdf["amount"]):
+            if amount <= rest:
+                at.append(i)
+                rest -= amount
+        return at, [pdf["amount"][i] for i in at], rest, ""
+
+    memory = elig.select(group_col).distinct().select(group_col, _money(budget).alias("rest"), F.lit("").alias("used"))
+    taken = greedy_scan(elig, group_col, memory, F.col("amount") <= F.col("rest"), step, batch, salt_buckets, "policy")
     if max_loans:
-        wn = Window.partitionBy(group_col).orderBy("_rk")
-        taken = taken.withColumn("_n", F.row_number().over(wn)).where(F.col("_n") <= max_loans).drop("_n")
-    return taken.drop("_rk", "_salt")
+        order = {"lowest_risk": [F.col("default_probability")], "highest_return": [F.col("risk_score").desc()]}.get(method, [])
+        n = F.row_number().over(Window.partitionBy(group_col).orderBy(*order, "loan_id"))
+        taken = taken.withColumn("_n", n).where(F.col("_n") <= max_loans).drop("_n")
+    return taken.drop("investment_amount")
 
 
 # ---------------------------------------------------------------- K3 / K11
