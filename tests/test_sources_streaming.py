@@ -35,6 +35,24 @@ def test_load_quarters(spark):
     assert files.available_quarters(spark, d) == ["1995Q1", "1995Q2"]
 
 
+def test_columns_are_matched_by_name_and_bad_rows_kept_apart(spark, tmp_path):
+    (tmp_path / "2016Q1.csv").write_text("id,loan_amnt,annual_inc\n1,1000,50000\n9,7\n")
+    (tmp_path / "2016Q2.csv").write_text("id,annual_inc,loan_amnt,purpose\n2,60000,2000,car\n8,1,2,x,y\n")
+    (tmp_path / "2016Q3.csv").write_text("id,loan_amnt,annual_inc\n3,3000,\n")
+    rows = {r["id"]: r for r in files.load_quarters(spark, f"file:{tmp_path}", ["2016Q1", "2016Q2", "2016Q3"]).collect()}
+    assert {i: (r["loan_amnt"], r["annual_inc"], r["purpose"], r["data_quarter"]) for i, r in rows.items()} == {
+        1: (1000.0, 50000.0, None, "2016Q1"), 2: (2000.0, 60000.0, "car", "2016Q2"), 3: (3000.0, None, None, "2016Q3")}
+    bad = files.malformed_rows(spark, f"file:{tmp_path}", ["2016Q1", "2016Q2", "2016Q3"]).collect()
+    assert sorted((r["data_quarter"], r["_corrupt_record"]) for r in bad) == [("2016Q1", "9,7"), ("2016Q2", "8,1,2,x,y")]
+    assert files.available_quarters(spark, f"file:{tmp_path}") == ["2016Q1", "2016Q2", "2016Q3"]
+
+
+def test_missing_dates_sort_last(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, None), (2, dt.date(2016, 2, 1)), (3, dt.date(2015, 1, 1))], "id long, issue_d date")
+    assert [r["id"] for r in files.by_date(df).collect()] == [3, 2, 1]
+
+
 def test_missing_quarters_reported_together(spark):
     d = tempfile.mkdtemp(prefix="tranche-q-")
     with pytest.raises(FileNotFoundError) as e:
@@ -88,3 +106,26 @@ def test_materialize_and_release(spark):
     assert df.count() == 10
     assert release_materialized(spark) >= 1
     assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_a_run_releases_its_own_files_only(spark):
+    from tranche.session import materialize, run_intermediates
+    with run_intermediates() as one:
+        a = materialize(spark.range(3), "a")
+    with run_intermediates() as two:
+        b = materialize(spark.range(4), "b")
+    assert one.release(spark) == 1 and one.release(spark) == 0
+    assert b.count() == 4
+    assert not os.path.exists(a.inputFiles()[0].replace("file:", ""))
+    assert two.release(spark) == 1
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tranche.session import ensure_checkpoint_dir, local_master
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)
+    assert local_master("local") and local_master("local[8]") and not local_master("local-cluster[3,2,3000]") and not local_master("yarn")

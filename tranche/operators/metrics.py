@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import EVAL_THRESHOLDS
-from ..limits import quantile_mode
+from ..session import materialize
 from .prefix import running_sum
+from .quantiles import ACCURACY, exact_quantiles
 from .rows import combine_rows, scalars
 
 UNIFORM_EDGES = [float(x) for x in np.linspace(0, 1, 11)]
@@ -199,20 +200,15 @@ def chi2_sf_even(x: Column, df: int) -> Column:
 
 
 def hosmer_lemeshow(df: DataFrame, label: str = "label", p: str = "p", bins: int = 10,
-                    approx: bool | None = None) -> DataFrame:
+                    approx: bool = False) -> DataFrame:
     """11 quantile edges of p; bin = number of edges <= p; bins 1..10
     kept (the maximum itself falls past the last edge and is left out, as
     in the source); chi-square with bins-2 df; well calibrated if p > .05."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)]
-    mode = quantile_mode(df, approx)
-    if mode == "narrow":
-        from .quantiles import exact_quantiles
-        edges = exact_quantiles(df, [p], probs)[p]
-        edges = [] if edges[0] is None else edges
+    if approx:
+        edges = scalars(df.agg(F.percentile_approx(F.col(p), probs, 100 * ACCURACY).alias("_edges")))["_edges"] or []
     else:
-        q = (F.percentile_approx(F.col(p), probs, 100000) if mode == "approx"
-             else F.percentile(F.col(p), _lit_array(probs)))
-        edges = scalars(df.agg(q.alias("_edges")))["_edges"] or []
+        edges = [e for e in exact_quantiles(df, [p], probs)[p] if e is not None]
     b = df.withColumn("_bin", _count_le(_lit_array(edges), F.col(p)))
     g = b.where((F.col("_bin") >= 1) & (F.col("_bin") <= bins)).groupBy("_bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("o1"), F.sum(F.col(p)).alias("e1"))
@@ -249,31 +245,30 @@ def summary_row(auc: DataFrame, summ: DataFrame, ece: DataFrame, hl: DataFrame,
 
 # ------------------------------------------------------------------ D12
 def stability_index(df: DataFrame, cols: list[str], base_filter: Column, group_col: str = "data_quarter",
-                    bins: int = 10, eps: float = 1e-6, approx: bool | None = None) -> DataFrame:
+                    bins: int = 10, eps: float = 1e-6, approx: bool = False) -> DataFrame:
     """Population stability index of each column per group against the
-    base rows: decile edges of the base (exact), share per bin, and
-    sum((a - e) * ln(a / e)) with shares floored at ``eps``."""
+    base rows: decile edges of the base (exact), share per bin (missing values
+    have a bin of their own), and sum((a - e) * ln(a / e)) over the bins the
+    base has, with shares floored at ``eps``.  One grouped count over the rows;
+    the rest works on that small table."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)][1:-1]
     base_rows = df.where(base_filter)
-    mode = quantile_mode(base_rows, approx)
-    if mode == "narrow":
-        from .quantiles import exact_quantiles
-        ex = exact_quantiles(base_rows, cols, probs)
-        edges = {f"e{i}": (None if ex[c][0] is None else ex[c]) for i, c in enumerate(cols)}
+    if approx:
+        edges = scalars(base_rows.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 100 * ACCURACY).alias(c) for c in cols]))
     else:
-        quant = (lambda x: F.percentile_approx(x, probs, 100000)) if mode == "approx" \
-            else (lambda x: F.percentile(x, _lit_array(probs)))
-        edges = scalars(base_rows.agg(*[quant(F.col(c).cast("double")).alias(f"e{i}") for i, c in enumerate(cols)]))
-    x = df
+        edges = exact_quantiles(base_rows, cols, probs)
+    edges = {c: [e for e in edges[c] or [] if e is not None] for c in cols}
     structs = [F.struct(F.lit(c).alias("feature"),
-                        _count_le(_lit_array(edges[f"e{i}"] or []), F.col(c).cast("double"), strict=True).alias("bin"))
-               for i, c in enumerate(cols)]
-    long = x.select(group_col, base_filter.alias("_base"),
-                                       F.explode(F.array(*structs)).alias("r")).select(group_col, "_base", "r.*")
-    per_group = long.groupBy(group_col, "feature", "bin").agg(F.count(F.lit(1)).alias("_gn"))
-    grp_tot = long.groupBy(group_col, "feature").agg(F.count(F.lit(1)).alias("_gtot"))
-    base = long.where("_base").groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("_bn"))
-    base_tot = long.where("_base").groupBy("feature").agg(F.count(F.lit(1)).alias("_btot"))
+                        F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
+                            _count_le(_lit_array(edges[c]), F.col(c).cast("double"), strict=True)).alias("bin"))
+               for c in cols]
+    counts = (df.select(group_col, base_filter.alias("_base"), F.explode(F.array(*structs)).alias("r"))
+              .groupBy(group_col, "_base", "r.feature", "r.bin").agg(F.count(F.lit(1)).alias("n")))
+    counts = materialize(counts, "stability")
+    per_group = counts.groupBy(group_col, "feature", "bin").agg(F.sum("n").alias("_gn"))
+    grp_tot = counts.groupBy(group_col, "feature").agg(F.sum("n").alias("_gtot"))
+    base = counts.where("_base").groupBy("feature", "bin").agg(F.sum("n").alias("_bn"))
+    base_tot = counts.where("_base").groupBy("feature").agg(F.sum("n").alias("_btot"))
     grid = (grp_tot.join(base.join(base_tot, "feature"), "feature")
             .join(per_group, [group_col, "feature", "bin"], "left").na.fill(0, ["_gn"]))
     a = F.greatest(F.col("_gn") / F.col("_gtot"), F.lit(eps))

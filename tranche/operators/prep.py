@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..limits import quantile_mode
+from .quantiles import ACCURACY, exact_quantiles, modes
 
 
 # ------------------------------------------------------------------ E1 / F4
@@ -35,37 +35,26 @@ class FittedImputer:
 
 
 def fit_imputer(df: DataFrame, cols: list[str] | None = None, strategy: str = "median",
-                approx: bool | None = None) -> FittedImputer:
+                approx: bool = False) -> FittedImputer:
     """Median / mean / mode ('most_frequent') per numeric column, mode
     for text columns; a column with no values at all is filled with 0.0
     (text: '') and reported.  Exact median by default."""
     cols = cols or df.columns
-    mode = quantile_mode(df, approx) if strategy == "median" else "percentile"
-    approx = mode == "approx"
-    narrow = {}
-    if mode == "narrow":
-        from .quantiles import exact_quantiles
-        num = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
-        narrow = {c: v[0] for c, v in exact_quantiles(df, num, [0.5]).items()}
-    aggs = []
-    for i, c in enumerate(cols):
-        numeric = isinstance(df.schema[c].dataType, NumericType)
-        x = F.col(c)
-        if not numeric or strategy in ("mode", "most_frequent"):
-            a = F.mode(x, True)
-        elif strategy == "mean":
-            a = F.avg(x.cast("double"))
-        elif c in narrow:
-            a = F.lit(narrow[c]).cast("double")
-        elif approx:
-            a = F.percentile_approx(x.cast("double"), 0.5, 100000).cast("double")
-        else:
-            a = F.median(x.cast("double"))
-        aggs.append(a.alias(f"v{i}"))
-    row = df.agg(*aggs).first()
+    numeric = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+    by_mode = cols if strategy in ("mode", "most_frequent") else [c for c in cols if c not in numeric]
+    row = modes(df, by_mode) if by_mode else {}
+    rest = [c for c in cols if c not in row]
+    if rest and strategy == "mean":
+        got = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(rest)]).first()
+        row |= {c: got[f"v{i}"] for i, c in enumerate(rest)}
+    elif rest and approx:
+        got = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100 * ACCURACY).alias(f"v{i}") for i, c in enumerate(rest)]).first()
+        row |= {c: got[f"v{i}"] for i, c in enumerate(rest)}
+    elif rest:
+        row |= {c: v[0] for c, v in exact_quantiles(df, rest, [0.5]).items()}
     values, empty = {}, []
-    for i, c in enumerate(cols):
-        v = row[f"v{i}"]
+    for c in cols:
+        v = row[c]
         if v is None:
             empty.append(c)
             v = 0.0 if isinstance(df.schema[c].dataType, NumericType) else ""
@@ -143,7 +132,7 @@ class FittedScaler:
                                      "feature string, center double, scale double")
 
 
-def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx: bool | None = None) -> FittedScaler:
+def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx: bool = False) -> FittedScaler:
     """E3 standard: (x - mean) / population std; E4 minmax: (x - min) /
     (max - min); E5 robust: (x - median) / (q75 - q25); zero spread -> 1;
     E6: 'none' leaves values, anything unknown falls back to standard."""
@@ -151,12 +140,7 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         return FittedScaler("none")
     if method not in ("standard", "minmax", "robust"):
         method = "standard"
-    mode = quantile_mode(df, approx) if method == "robust" else "percentile"
-    approx = mode == "approx"
-    narrow = {}
-    if mode == "narrow":
-        from .quantiles import exact_quantiles
-        narrow = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    exact = exact_quantiles(df, cols, [0.25, 0.5, 0.75]) if method == "robust" and not approx else {}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -165,17 +149,15 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         elif method == "minmax":
             aggs += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:
-            if c in narrow:
-                q = F.array(*[F.lit(v).cast("double") for v in narrow[c]])
-            else:
-                q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
-                     else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+            q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100 * ACCURACY) if approx
+                 else F.array(*[F.lit(v).cast("double") for v in exact[c]]))
             aggs.append(q.alias(f"q{i}"))
     row = df.agg(*aggs).first()
     center, scale = {}, {}
     for i, c in enumerate(cols):
         if method == "robust":
-            q = row[f"q{i}"] or [0.0, 0.0, 0.0]
+            q = row[f"q{i}"]
+            q = [0.0, 0.0, 0.0] if not q or q[0] is None else q
             center[c], s = float(q[1]), float(q[2] - q[0])
         else:
             center[c], s = float(row[f"c{i}"] or 0.0), float(row[f"s{i}"] or 0.0)

@@ -2,9 +2,8 @@
 
 Each profile is one wide aggregate over the table (a single scan with
 partial aggregation per task), unpivoted to a long table when it is per
-column.  Quantiles are exact at any size (``approx=None``: in-buffer ``percentile``
-up to ``limits.EXACT_QUANTILE_ROWS`` rows, narrowing above); ``approx=True``
-asks for ``percentile_approx``.
+column.  Quantiles are exact (``quantiles.py``); ``approx=True`` asks for
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.fixed import QUALITY_DEFAULTS
-from ..limits import quantile_mode
+from .quantiles import ACCURACY, exact_quantiles
 from .rows import combine_rows, scalars
 
 
@@ -75,32 +74,19 @@ def duplicate_profile(df: DataFrame, max_duplicate_rate: float = QUALITY_DEFAULT
 
 
 # ------------------------------------------------------------------ A3 / A8
-def _quartiles(df: DataFrame, cols: list[str], approx: bool) -> DataFrame:
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.75], 100000) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))))
-        aggs += [q.alias(f"q__{i}"), F.count(x).alias(f"nn__{i}")]
-    return df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
-
-
-def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool | None = None,
-                min_values: int = 10, rate_base: str = "rows", rows: int | None = None) -> DataFrame:
+def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool = False,
+                min_values: int = 10, rate_base: str = "rows") -> DataFrame:
     """A3 (rate_base='rows': rate over all rows) / A8 IQR (rate_base='values':
     over non-missing values): Q1/Q3 linear, outside [Q1-1.5 IQR, Q3+1.5 IQR]
     strictly; columns with fewer than ``min_values`` values are skipped."""
     cols = cols or numeric_columns(df)
-    mode = quantile_mode(df, approx, rows)
-    if mode == "narrow":
-        from .quantiles import exact_quantiles
+    quartiles = [F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], 100 * ACCURACY).alias(f"q__{i}") for i, c in enumerate(cols)]
+    # one row of numbers -> literal bounds in the counting pass
+    qv = scalars(df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"nn__{i}") for i, c in enumerate(cols)],
+                        *(quartiles if approx else ())))
+    if not approx:
         qs = exact_quantiles(df, cols, [0.25, 0.75])
-        cnt = scalars(df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"nn__{i}")
-                                                               for i, c in enumerate(cols)]))
-        qv = {**cnt, **{f"q__{i}": qs[c] for i, c in enumerate(cols)}}
-    else:
-        # quartiles: one row of numbers (bounded) -> literal bounds in pass two
-        qv = scalars(_quartiles(df, cols, mode == "approx"))
+        qv |= {f"q__{i}": qs[c] for i, c in enumerate(cols)}
     lo, hi = [], []
     for i in range(len(cols)):
         q1, q3 = (qv[f"q__{i}"] or [None, None])[:2]
@@ -164,7 +150,7 @@ def type_profile(df: DataFrame, share: float = 0.8) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A5
-def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx: bool | None = None,
+def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx: bool = False,
                   max_missing_rate: float = QUALITY_DEFAULTS["max_missing_rate"],
                   max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"],
                   max_outlier_rate: float = QUALITY_DEFAULTS["max_outlier_rate"],
@@ -173,11 +159,9 @@ def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx:
     + .2 max(0, 1 - out/maxout) + .3 (1 - miss/2), clamped to [0, 1];
     rates as fractions of cells (missing, outliers) and rows (duplicates)."""
     n_cols = len(df.columns)
-    # pass 1 (one row): row count and missing cells; the count also decides
-    # exact vs approximate quartiles without another job
     m = scalars(missing_totals(df))
     dp = df.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    oc = outlier_iqr(df, outlier_cols, approx, rows=m["total_rows"]).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
+    oc = outlier_iqr(df, outlier_cols, approx).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
     j = combine_rows(dp, oc).select(
         F.lit(m["total_rows"]).cast("long").alias("total_rows"), F.lit(n_cols).alias("total_columns"),
         F.lit(m["total_missing_cells"]).cast("long").alias("total_missing_cells"),
@@ -301,12 +285,14 @@ def binned_aggregate(df: DataFrame, col: str, value: str, bins: int = 10) -> Dat
     width = (hi - lo) / bins
     # right-closed bins (a, b]; the minimum joins the first bin
     b = F.coalesce(F.ceil(F.try_divide(F.col(col) - lo, width)).cast("int"), F.lit(1))
-    return (df.where(F.col(col).isNotNull())
-            .withColumn("bin", F.greatest(F.lit(1), b))
-            .groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.avg(value).alias("mean"),
-                                F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
-                                F.max(value).alias("max"), F.median(value).alias("median"),
-                                F.sum(value).alias("sum")))
+    binned = df.where(F.col(col).isNotNull()).withColumn("bin", F.greatest(F.lit(1), b))
+    # the median of each bin, as the exact quantile of that bin's values
+    med = exact_quantiles(binned, [(k, F.when(F.col("bin") == k, F.col(value))) for k in range(1, bins + 1)], [0.5])
+    table = F.create_map(*[x for k, v in med.items() for x in (F.lit(k), F.lit(v[0]).cast("double"))])
+    return (binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.avg(value).alias("mean"),
+                                      F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
+                                      F.max(value).alias("max"), F.sum(value).alias("sum"))
+            .withColumn("median", F.element_at(table, F.col("bin"))))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,112 +1,107 @@
 """Exact quantiles at any size (linear interpolation, as ``percentile``).
 
 Spark's exact ``percentile`` keeps every distinct value of a column in one
-aggregation buffer, so it only suits bounded inputs.  Here every needed rank
-is located by narrowing: each pass is one job that assigns the values inside
-each target's current interval to ``buckets`` equal-width cells and returns
-per-cell count / min / max (a table of at most targets x buckets rows).  The
-cell holding the rank becomes the next interval (cells are contiguous in
-sorted order because the cell index is monotone in the value).  Once an
-interval holds at most ``collect_limit`` values they are counted per
-distinct value and the rank is read off exactly; an interval whose min equals
-its max is resolved at once (heavy ties cost nothing).
+aggregation buffer.  Here a mergeable approximate sketch gives a bracket for
+each needed rank, one aggregate counts the values below and inside every
+bracket (a bracket that misses its rank is widened, in the end to all values),
+and the values inside are counted per distinct value in a grouped aggregate, of
+which a running count reads the rank off.  Only one row per rank comes to the
+driver.  Values are ordered as Spark orders doubles: -inf first, inf, then NaN.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ACCURACY = 10_000        # of the sketch: a bracket holds a few ten-thousandths of the rows
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 4096,
-                    collect_limit: int = 100_000, max_passes: int = 24) -> dict[str, list[float | None]]:
-    """{column: [quantile at each prob]} over the non-missing values."""
-    base = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                  *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-                  *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    # targets: (column index, rank) -> [lo, hi, below, value]
-    targets: dict[tuple[int, int], list] = {}
-    for i, _ in enumerate(cols):
-        n = base[f"n{i}"]
-        if not n:
-            continue
-        for p in probs:
+
+def exact_quantiles(df: DataFrame, cols: list, probs: list[float], accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """{column: [quantile at each prob]} over the non-missing values; ``cols``
+    are names or (name, Column) pairs."""
+    named = [(c, F.col(c)) if isinstance(c, str) else c for c in cols]
+    names = [n for n, _ in named]
+    x = [c.cast("double") for _, c in named]
+    margin = 2.0 / accuracy
+    wanted = sorted({round(min(1.0, max(0.0, p + d)), 12) for p in probs for d in (-margin, margin)})
+    first = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x)],
+                   *[F.percentile_approx(v, wanted, accuracy).alias(f"q{i}") for i, v in enumerate(x)]).first()
+    # (column, rank) -> bracket; None: open on that side
+    ranks: dict[tuple[int, int], tuple[float | None, float | None]] = {}
+    for i in range(len(x)):
+        n = first[f"n{i}"]
+        for p in probs if n else ():
             h = (n - 1) * p
             for r in {math.floor(h), math.ceil(h)}:
-                targets[(i, r)] = [base[f"lo{i}"], base[f"hi{i}"], 0, None]
-    for _ in range(max_passes):
-        open_ = {k: v for k, v in targets.items() if v[3] is None}
-        for k, v in open_.items():
-            if v[0] == v[1]:
-                v[3] = v[0]
-        open_ = {k: v for k, v in open_.items() if v[3] is None}
-        if not open_:
-            break
-        keys = list(open_)
-        spec = F.array(*[F.struct(F.lit(j).alias("t"), F.lit(k[0]).alias("c"), F.lit(float(open_[k][0])).alias("a"),
-                                  F.lit(float(open_[k][1])).alias("b")) for j, k in enumerate(keys)])
-        vals = F.array(*[F.col(c).cast("double") for c in cols])
-        x = F.element_at(F.col("_vals"), F.col("_t.c") + 1)
-        width = (F.col("_t.b") - F.col("_t.a")) / buckets
-        cell = F.least(F.floor((x - F.col("_t.a")) / width), F.lit(buckets - 1)).cast("int")
-        hist = (df.select(vals.alias("_vals"), F.explode(spec).alias("_t"))
-                .where((x >= F.col("_t.a")) & (x <= F.col("_t.b")))
-                .groupBy(F.col("_t.t").alias("t"), cell.alias("cell"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx"))
-                .collect())
-        by_t: dict[int, list] = {}
-        for r in hist:
-            by_t.setdefault(r["t"], []).append(r)
-        small = []
-        for j, k in enumerate(keys):
-            lo, hi, below, _ = open_[k]
-            rank = k[1]
-            acc = below
-            for r in sorted(by_t.get(j, []), key=lambda r: r["cell"]):
-                if acc + r["n"] > rank:
-                    open_[k][0], open_[k][1], open_[k][2] = r["mn"], r["mx"], acc
-                    if r["n"] <= collect_limit:
-                        small.append(k)
-                    break
-                acc += r["n"]
-        if small:
-            _resolve_small(df, cols, targets, small)
-    for k, v in targets.items():
-        if v[3] is None:  # not resolved within max_passes: interval bound
-            v[3] = v[0]
-    out = {}
-    for i, c in enumerate(cols):
-        n = base[f"n{i}"]
-        if not n:
-            out[c] = [None] * len(probs)
-            continue
-        res = []
-        for p in probs:
+                ranks[(i, r)] = (first[f"q{i}"][wanted.index(round(max(0.0, p - margin), 12))],
+                                 first[f"q{i}"][wanted.index(round(min(1.0, p + margin), 12))])
+    found: dict[tuple[int, int], float] = {}
+    while ranks:
+        keys = list(ranks)
+        brackets = sorted({(k[0], *ranks[k]) for k in keys}, key=str)
+        counts = df.agg(*[F.count_if(_below(x[i], lo)).alias(f"b{j}") for j, (i, lo, _) in enumerate(brackets)],
+                        *[F.count_if(_inside(x[i], lo, hi)).alias(f"c{j}") for j, (i, lo, hi) in enumerate(brackets)]).first()
+        at = {b: (counts[f"b{j}"] or 0, counts[f"c{j}"] or 0) for j, b in enumerate(brackets)}
+        good, missed = {}, {}
+        for k in keys:
+            below, held = at[(k[0], *ranks[k])]
+            if below <= k[1] < below + held:
+                good[k] = (*ranks[k], k[1] - below)
+            else:       # the sketch missed: open the side where the rank lies
+                missed[k] = (None, ranks[k][1]) if k[1] < below else (ranks[k][0], None)
+        found.update(_read_off(df, x, good))
+        ranks = missed
+    out: dict[str, list[float | None]] = {}
+    for i, name in enumerate(names):
+        n = first[f"n{i}"]
+        out[name] = [None] * len(probs)
+        for j, p in enumerate(probs if n else ()):
             h = (n - 1) * p
-            a, b = targets[(i, math.floor(h))][3], targets[(i, math.ceil(h))][3]
-            res.append(a + (h - math.floor(h)) * (b - a))
-        out[c] = res
+            a, b = found[(i, math.floor(h))], found[(i, math.ceil(h))]
+            out[name][j] = a if a == b or h == math.floor(h) else a + (h - math.floor(h)) * (b - a)
     return out
 
 
-def _resolve_small(df: DataFrame, cols: list[str], targets: dict, keys: list) -> None:
-    """Count the distinct values inside each small interval and read the rank."""
-    spec = F.array(*[F.struct(F.lit(j).alias("t"), F.lit(k[0]).alias("c"), F.lit(float(targets[k][0])).alias("a"),
-                              F.lit(float(targets[k][1])).alias("b")) for j, k in enumerate(keys)])
-    vals = F.array(*[F.col(c).cast("double") for c in cols])
-    x = F.element_at(F.col("_vals"), F.col("_t.c") + 1)
-    rows = (df.select(vals.alias("_vals"), F.explode(spec).alias("_t"))
-            .where((x >= F.col("_t.a")) & (x <= F.col("_t.b")))
-            .groupBy(F.col("_t.t").alias("t"), x.alias("v")).agg(F.count(F.lit(1)).alias("n")).collect())
-    by_t: dict[int, list] = {}
-    for r in rows:
-        by_t.setdefault(r["t"], []).append(r)
-    for j, k in enumerate(keys):
-        acc = targets[k][2]
-        for r in sorted(by_t.get(j, []), key=lambda r: r["v"]):
-            if acc + r["n"] > k[1]:
-                targets[k][3] = r["v"]
-                break
-            acc += r["n"]
+def _below(v: Column, lo: float | None) -> Column:
+    return F.lit(False) if lo is None else v < F.lit(lo)
+
+
+def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
+    c = v.isNotNull()
+    c = c if lo is None else c & (v >= F.lit(lo))
+    return c if hi is None else c & (v <= F.lit(hi))
+
+
+def _read_off(df: DataFrame, x: list[Column], ranks: dict) -> dict:
+    """The value at each rank (counted from its bracket's first value)."""
+    if not ranks:
+        return {}
+    brackets = sorted({(k[0], lo, hi) for k, (lo, hi, _) in ranks.items()}, key=str)
+    parts = F.array(*[F.when(_inside(x[i], lo, hi), F.struct(F.lit(j).alias("t"), x[i].alias("v"))) for j, (i, lo, hi) in enumerate(brackets)])
+    counted = (df.select(F.explode(F.filter(parts, lambda s: s.isNotNull())).alias("s"))
+               .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    spots = F.array(*[F.struct(F.lit(brackets.index((k[0], lo, hi))).alias("t"), F.lit(k[1]).cast("long").alias("rank"), F.lit(r).cast("long").alias("r"))
+                      for k, (lo, hi, r) in ranks.items()])
+    upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
+    hits = (counted.withColumn("upto", upto)
+            .withColumn("spot", F.explode(F.filter(spots, lambda s: (s["t"] == F.col("t")) & (s["r"] >= F.col("upto") - F.col("n")) & (s["r"] < F.col("upto")))))
+            .select("t", "v", F.col("spot.rank").alias("rank")).collect())
+    return {(brackets[h["t"]][0], h["rank"]): h["v"] for h in hits}
+
+
+def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
+    """{column: most frequent value, the smallest of equally frequent ones}
+    from counts per distinct value; None where a column has no value."""
+    out: dict[str, object] = dict.fromkeys(cols)
+    for kind in ("string", "double"):
+        own = [c for c in cols if (df.schema[c].dataType.simpleString() == "string") == (kind == "string")]
+        if own:
+            parts = F.array(*[F.struct(F.lit(j).alias("t"), F.col(c).cast(kind).alias("v")) for j, c in enumerate(own)])
+            counted = (df.select(F.explode(parts).alias("s")).where("s.v IS NOT NULL")
+                       .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count(F.lit(1)).alias("n")))
+            for r in counted.groupBy("t").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("v"))).alias("m")).collect():
+                out[own[r["t"]]] = r["m"]["v"]
+    return out

@@ -66,14 +66,9 @@ def match_outcomes_by_split(listing: DataFrame, outcomes: DataFrame, windows: di
             .withColumn(label, F.coalesce(F.col("outcome_flag"), F.lit(0))).drop("outcome_flag"))
 
 
-def censored_loans(listing: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Listings with no outcome at all (anti join)."""
-    return listing.join(outcomes.select("id"), "id", "left_anti")
-
-
 def synthetic_probability(df: DataFrame, grade_col: str = "sub_grade", rate_col: str = "int_rate") -> DataFrame:
     """X9 probability: sub-grade probability (unknown .15) + .1 * min-max
-    scaled rate, clipped to [.001, .60].  Min and max come from one
+    scaled rate, clipped to [.001, .60]; missing where the rate is.  Min and max come from one
     aggregate and enter as literals."""
     table = F.create_map(*[x for g, p in zip(SUB_GRADES, SYNTHETIC_GRADE_PROBABILITY) for x in (F.lit(g), F.lit(p))])
     base = F.coalesce(F.element_at(table, F.col(grade_col)), F.lit(SYNTHETIC_UNKNOWN_PROBABILITY))
@@ -81,12 +76,13 @@ def synthetic_probability(df: DataFrame, grade_col: str = "sub_grade", rate_col:
     mm = scalars(df.agg(F.min(rate_col).alias("_rmin"), F.max(rate_col).alias("_rmax")))
     lo, hi = F.lit(mm["_rmin"]).cast("double"), F.lit(mm["_rmax"]).cast("double")
     scaled = F.try_divide(F.col(rate_col) - lo, hi - lo)
-    p = F.least(F.lit(0.60), F.greatest(F.lit(0.001), base + scaled * 0.1))
+    p = F.when(F.col(rate_col).isNotNull(), F.least(F.lit(0.60), F.greatest(F.lit(0.001), base + scaled * 0.1)))
     return df.withColumn("synthetic_probability", p)
 
 
 def synthetic_label(df: DataFrame, seed: int = 42, label: str = "label") -> DataFrame:
     """X9 draw: label = u < probability, u in (0, 1) from a seeded hash of
-    the id (repeatable, unlike an unseeded random draw)."""
+    the id (repeatable, unlike an unseeded random draw); 0 where the
+    probability is missing."""
     u = (F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
-    return synthetic_probability(df).withColumn(label, (u < F.col("synthetic_probability")).cast("int"))
+    return synthetic_probability(df).withColumn(label, F.coalesce((u < F.col("synthetic_probability")).cast("int"), F.lit(0)))

@@ -209,7 +209,7 @@ def _psi_sql() -> str:
     parts = []
     for c in PSI_COLS:
         parts.append(f"""SELECT '{c}' AS feature, data_quarter, split = 'train' AS base,
- len(list_filter(e, lambda x: x < CAST({c} AS DOUBLE))) AS bin FROM scored,
+ CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter(e, lambda x: x < CAST({c} AS DOUBLE))) END AS bin FROM scored,
  (SELECT quantile_cont(CAST({c} AS DOUBLE), {_edges_sql(_DEC)}) AS e FROM scored WHERE split = 'train')""")
     body = " UNION ALL ".join(parts)
     return with_views(f"""

@@ -1,5 +1,5 @@
-"""Queries without an SQL oracle (rows-only): MLlib models, calibration,
-the two skip-greedy selections, audit tables and user batch functions."""
+"""Queries on MLlib models, calibration, the two skip-greedy selections,
+audit tables and user batch functions; those without an SQL form are rows-only."""
 
 from __future__ import annotations
 
@@ -15,8 +15,9 @@ from ..session import ensure_checkpoint_dir, materialize
 from ..sources.loans import loan_table
 from .feature_plan import FeaturePlan
 from .inputs import labelled_loans
-from .q_portfolio import POLICY
+from .q_portfolio import CAND_SQL, POLICY
 from .registry import register, rounded
+from .views import LABELLED_SQL, LOANS_SQL, OUTCOMES_SQL, with_views
 
 
 def model_frames(spark, sf, max_features: int = 50):
@@ -79,12 +80,14 @@ def q_feature_importance(spark, sf):
     return md.feature_importance(m, fitted.feature_names, 10)
 
 
-@register("class_weights")
+@register("class_weights", with_views("""
+SELECT label, round(SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)), 6) AS weight, COUNT(*) AS n
+FROM labelled WHERE split = 'train' GROUP BY label""", LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL))
 def q_class_weights(spark, sf):
-    """Balanced class weights (option, off by default)."""
-    fitted, fr = model_frames(spark, sf)
-    return md.with_class_weights(fr["train"]).groupBy("label").agg(F.first("weight").alias("weight"),
-                                                                   F.count(F.lit(1)).alias("n"))
+    """Balanced class weights of the training loans (option, off by default)."""
+    train = labelled_loans(spark, sf).where(F.col("split") == "train").select("label")
+    return rounded(md.with_class_weights(train).groupBy("label").agg(F.first("weight").alias("weight"),
+                                                                     F.count(F.lit(1)).alias("n")))
 
 
 def _calibrated(spark, sf, kind):
@@ -133,7 +136,49 @@ def q_temporal_cv(spark, sf):
     return spark.createDataFrame(pd.DataFrame(md.temporal_cv(allm, md.ModelConfig("logistic", max_iter=100), qs)))
 
 
-@register("portfolio_balanced")
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_BALANCED_SQL = _recursive(with_views("""
+SELECT data_quarter, loan_id, CAST(amt AS DOUBLE) AS investment_amount, default_probability,
+ round(expected_return, 6) AS expected_return, risk_grade FROM s WHERE amt IS NOT NULL""", LOANS_SQL, CAND_SQL, """
+grades AS MATERIALIZED (SELECT risk_grade, row_number() OVER (ORDER BY risk_grade) AS g FROM (SELECT DISTINCT risk_grade FROM cand))""", """
+c AS MATERIALIZED (
+ SELECT cand.*, g, row_number() OVER (PARTITION BY data_quarter
+   ORDER BY expected_return / (default_probability + 0.01e0) DESC, loan_id) AS n
+ FROM cand JOIN grades USING (risk_grade) WHERE reason IS NULL AND ticket > 1)""", """
+s AS (
+ SELECT data_quarter, CAST(0 AS BIGINT) AS n, CAST(5000 AS DECIMAL(18,4)) AS rest,
+  [CAST(0 AS DECIMAL(18,4)) FOR i IN range(100)] AS used, CAST(NULL AS DECIMAL(18,4)) AS amt, CAST(NULL AS BIGINT) AS loan_id,
+  CAST(NULL AS DOUBLE) AS default_probability, CAST(NULL AS DOUBLE) AS expected_return, CAST(NULL AS VARCHAR) AS risk_grade
+ FROM (SELECT DISTINCT data_quarter FROM c)
+ UNION ALL
+ SELECT data_quarter, n, CAST(rest - COALESCE(a, 0) AS DECIMAL(18,4)),
+  [CAST(CASE WHEN i + 1 = g THEN used[i + 1] + COALESCE(a, 0) ELSE used[i + 1] END AS DECIMAL(18,4)) FOR i IN range(100)],
+  CAST(a AS DECIMAL(18,4)), loan_id, default_probability, expected_return, risk_grade
+ FROM (SELECT c.data_quarter, c.n, c.g, s.rest, s.used, c.loan_id, c.default_probability, c.expected_return, c.risk_grade,
+   CASE WHEN LEAST(c.ticket, 1500 - s.used[c.g]) > 1 AND LEAST(c.ticket, 1500 - s.used[c.g]) <= s.rest
+        THEN LEAST(c.ticket, 1500 - s.used[c.g]) END AS a
+  FROM s JOIN c ON c.data_quarter = s.data_quarter AND c.n = s.n + 1))"""))
+
+_POLICY_SQL = _recursive(with_views("""
+SELECT data_quarter, loan_id, CAST(amount AS DOUBLE) AS amount, default_probability FROM s WHERE taken""", LOANS_SQL, """
+c AS MATERIALIZED (
+ SELECT data_quarter, id AS loan_id, CAST(funded_amnt AS DECIMAL(18,4)) AS amount, pd AS default_probability,
+  row_number() OVER (PARTITION BY data_quarter ORDER BY pd, id) AS n
+ FROM loans WHERE pd <= 0.15e0 AND funded_amnt IS NOT NULL)""", """
+s AS (
+ SELECT data_quarter, CAST(0 AS BIGINT) AS n, CAST(5000 AS DECIMAL(18,4)) AS rest, false AS taken, CAST(NULL AS BIGINT) AS loan_id,
+  CAST(NULL AS DECIMAL(18,4)) AS amount, CAST(NULL AS DOUBLE) AS default_probability
+ FROM (SELECT DISTINCT data_quarter FROM c)
+ UNION ALL
+ SELECT c.data_quarter, c.n, CAST(CASE WHEN c.amount <= s.rest THEN s.rest - c.amount ELSE s.rest END AS DECIMAL(18,4)),
+  c.amount <= s.rest, c.loan_id, c.amount, c.default_probability
+ FROM s JOIN c ON c.data_quarter = s.data_quarter AND c.n = s.n + 1)"""))
+
+
+@register("portfolio_balanced", _BALANCED_SQL)
 def q_portfolio_balanced(spark, sf):
     """K6: balanced selection (score / (p + .01), 30 % grade cap, skip-greedy)."""
     loans = loan_table(spark, sf)
@@ -143,7 +188,7 @@ def q_portfolio_balanced(spark, sf):
                               "default_probability", "expected_return", "risk_grade"))
 
 
-@register("policy_select")
+@register("policy_select", _POLICY_SQL)
 def q_policy_select(spark, sf):
     """K7: policy selection (p <= .15, lowest risk, whole funded amounts
     that fit the rest, 5 000 per quarter)."""
@@ -180,7 +225,9 @@ def _doc_stats(pdf: pd.DataFrame) -> pd.DataFrame:
                          "n_chars": text.str.len().astype("int64")})
 
 
-@register("batch_apply")
+@register("batch_apply", """
+SELECT doc_id, CAST(len([x FOR x IN regexp_split_to_array(COALESCE(text, ''), '\\s+') IF x <> '']) AS BIGINT) AS n_words,
+ CAST(length(COALESCE(text, '')) AS BIGINT) AS n_chars FROM documents""")
 def q_batch_apply(spark, sf):
     """G1: a user pandas function over Arrow batches of whole documents."""
     from ..sources.tables import table

@@ -454,7 +454,7 @@ def q_target_distribution(spark, sf):
 
 
 @register("synthetic_risk", with_views("""
-SELECT id, round(LEAST(0.60e0, GREATEST(0.001e0, COALESCE(CASE sub_grade
+SELECT id, CASE WHEN int_rate IS NOT NULL THEN round(LEAST(0.60e0, GREATEST(0.001e0, COALESCE(CASE sub_grade
   WHEN 'A1' THEN 0.005 WHEN 'A2' THEN 0.008 WHEN 'A3' THEN 0.012 WHEN 'A4' THEN 0.015 WHEN 'A5' THEN 0.020
   WHEN 'B1' THEN 0.025 WHEN 'B2' THEN 0.030 WHEN 'B3' THEN 0.035 WHEN 'B4' THEN 0.045 WHEN 'B5' THEN 0.055
   WHEN 'C1' THEN 0.065 WHEN 'C2' THEN 0.075 WHEN 'C3' THEN 0.085 WHEN 'C4' THEN 0.095 WHEN 'C5' THEN 0.105
@@ -462,7 +462,7 @@ SELECT id, round(LEAST(0.60e0, GREATEST(0.001e0, COALESCE(CASE sub_grade
   WHEN 'E1' THEN 0.210 WHEN 'E2' THEN 0.230 WHEN 'E3' THEN 0.250 WHEN 'E4' THEN 0.270 WHEN 'E5' THEN 0.290
   WHEN 'F1' THEN 0.320 WHEN 'F2' THEN 0.350 WHEN 'F3' THEN 0.380 WHEN 'F4' THEN 0.410 WHEN 'F5' THEN 0.440
   WHEN 'G1' THEN 0.470 WHEN 'G2' THEN 0.500 WHEN 'G3' THEN 0.530 WHEN 'G4' THEN 0.560 WHEN 'G5' THEN 0.600 END, 0.15)
-  + (int_rate - mn) / (mx - mn) * 0.1e0)), 6) AS synthetic_probability
+  + (int_rate - mn) / (mx - mn) * 0.1e0)), 6) END AS synthetic_probability
 FROM loans, (SELECT MIN(int_rate) AS mn, MAX(int_rate) AS mx FROM loans)"""))
 def q_synthetic_risk(spark, sf):
     """Synthetic default probability (the draw itself is seeded, see

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -50,18 +54,57 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used when the cluster
-    sets one; a scratch folder is created only when it is unset (local runs
-    and tests).
+    sets one.  Unset, a scratch folder is made for a local master only: on a
+    cluster its executors could not read each other's files there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not local_master(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         current = tempfile.mkdtemp(prefix="tranche-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def local_master(master: str) -> bool:
+    """True for ``local`` and ``local[...]``: one process, one disk."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
+class Intermediates:
+    """The files that one run has written with ``materialize``."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def release(self, spark: SparkSession) -> int:
+        """Delete them (on whatever file system they live), once the results
+        that read them have been consumed; other runs' files stay."""
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        n = 0
+        while self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            n += bool(p.getFileSystem(conf).delete(p, True))
+        return n
+
+
+_CURRENT: ContextVar[Intermediates] = ContextVar("intermediates", default=Intermediates())
+
+
+@contextmanager
+def run_intermediates():
+    """What is materialised inside the block belongs to the handle it gives."""
+    handle = Intermediates()
+    token = _CURRENT.set(handle)
+    try:
+        yield handle
+    finally:
+        _CURRENT.reset(token)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     return a DataFrame reading it back.
@@ -71,28 +114,14 @@ def materialize(df, name: str = "stage"):
     twice), keeps columnar pruning / pushdown on the re-read, and survives
     executor loss because the files live on shared storage.
     """
-    import uuid
-
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tranche-{name}-{uuid.uuid4().hex}"
+    _CURRENT.get().paths.append(path)
     df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
-_MATERIALIZED: list[str] = []
-
-
-def release_materialized(spark) -> int:
-    """Delete the intermediates this process wrote with ``materialize`` (on
-    whatever file system the checkpoint folder lives).  Call it after the
-    results that read them have been consumed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _MATERIALIZED:
-        p = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
-        if p.getFileSystem(conf).delete(p, True):
-            n += 1
-    return n
+def release_materialized(spark: SparkSession) -> int:
+    """Delete what was materialised outside any ``run_intermediates`` block."""
+    return _CURRENT.get().release(spark)

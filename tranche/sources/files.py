@@ -3,37 +3,46 @@
 A quarter file is read as text columns named by its header (nothing is
 inferred, no pass over the data to guess types) and then typed with the
 tolerant cleaners; a bad cell becomes NULL instead of failing the file or
-silently re-reading it untyped.  Many quarters are
-one multi-path scan; the quarter label comes from the file name.
+silently re-reading it untyped, and a row with too few or too many fields is
+kept apart.  The quarter label comes from the file name.
 """
 
 from __future__ import annotations
 
 import json
-import os
+import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as cl
 
-#: Columns of a quarterly loan file, all read as text then typed.
-FILE_COLUMNS = [
-    "id", "member_id", "loan_amnt", "funded_amnt", "funded_amnt_inv", "term", "int_rate", "installment", "grade",
-    "sub_grade", "emp_title", "emp_length", "home_ownership", "annual_inc", "verification_status", "loan_status",
-    "purpose", "title", "zip_code", "addr_state", "dti", "delinq_2yrs", "earliest_cr_line", "inq_last_6mths",
-    "open_acc", "pub_rec", "revol_bal", "revol_util", "total_acc", "fico_range_low", "fico_range_high", "issue_d",
-]
+#: Numeric columns of a quarterly loan file; the others are text, percents, dates or terms.
 NUMERIC = ["id", "member_id", "loan_amnt", "funded_amnt", "funded_amnt_inv", "installment", "annual_inc", "dti",
            "delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal", "total_acc", "fico_range_low",
            "fico_range_high"]
 
 
-def quarter_paths(directory: str, quarters: list[str], fs_exists=os.path.exists) -> list[str]:
+CORRUPT = "_corrupt_record"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` (local, HDFS, object store) and its Path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def quarter_paths(spark: SparkSession, directory: str, quarters: list[str]) -> list[str]:
     """S3: every missing quarter is reported at once."""
     paths = [f"{directory.rstrip('/')}/{q}.csv" for q in quarters]
-    missing = [q for q, p in zip(quarters, paths) if not fs_exists(p)]
+    missing = [q for q, p in zip(quarters, paths) if not path_exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"missing quarter files: {', '.join(missing)} in {directory}")
     return paths
@@ -59,23 +68,56 @@ def type_loan_file(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
-def load_quarters(spark: SparkSession, directory: str, quarters: list[str], check_files: bool = True) -> DataFrame:
-    """One scan over the quarter files, typed, tagged with
-    ``data_quarter`` from the file name (no global sort: order at output)."""
-    paths = quarter_paths(directory, quarters) if check_files else \
-        [f"{directory.rstrip('/')}/{q}.csv" for q in quarters]
-    # header names, every value as text (no inference pass); columns are
-    # matched by name, so files with other column orders still line up
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False).csv(paths)
-    q = F.regexp_extract(F.input_file_name(), r"([0-9]{4}Q[1-4])\.csv$", 1)
-    return type_loan_file(raw.withColumn("data_quarter", q))
+def scan_quarters(spark: SparkSession, directory: str, quarters: list[str]) -> DataFrame:
+    """The files' rows as text, columns by header name, with ``data_quarter``
+    from the file name and the whole line in ``_corrupt_record`` where a row
+    does not have its header's number of fields.
+
+    Files with the same header line are one scan, parsed with that header as
+    the schema; scans are united by name, and a column that a file lacks is
+    missing there.  (Lines are parsed with ``from_csv``: a CSV scan does not
+    answer queries on the malformed rows alone.)
+    """
+    by_header: dict[str, list[str]] = {}
+    for path in quarter_paths(spark, directory, quarters):
+        first = spark.read.text(path).limit(1).collect()
+        by_header.setdefault(first[0][0] if first else "", []).append(path)
+    scans = []
+    for header, paths in by_header.items():
+        names = [n.strip().strip('"') for n in header.lstrip("\ufeff").split(",")]
+        schema = ", ".join(f"`{c}` string" for c in (*names, CORRUPT))
+        lines = spark.read.text(paths).select("value", F.input_file_name().alias("file"))
+        scans.append(lines.where((F.col("value") != header) & (F.trim("value") != ""))
+                     .select(F.from_csv("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"),
+                             F.regexp_extract("file", r"([0-9]{4}Q[1-4])\.csv$", 1).alias("data_quarter"))
+                     .select("r.*", "data_quarter"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def load_quarters(spark: SparkSession, directory: str, quarters: list[str]) -> DataFrame:
+    """The well-formed rows of the quarter files, typed, tagged with
+    ``data_quarter`` (no global sort: order at output)."""
+    raw = scan_quarters(spark, directory, quarters)
+    return type_loan_file(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
+
+
+def malformed_rows(spark: SparkSession, directory: str, quarters: list[str]) -> DataFrame:
+    """data_quarter and line of the rows that ``load_quarters`` leaves out."""
+    raw = scan_quarters(spark, directory, quarters)
+    return raw.where(F.col(CORRUPT).isNotNull()).select("data_quarter", CORRUPT)
 
 
 def available_quarters(spark: SparkSession, directory: str) -> list[str]:
     """S4 on files: quarter labels of the files present (a directory
     listing, no data read)."""
-    import re
-    return sorted(m.group(1) for f in os.listdir(directory) if (m := re.match(r"^([0-9]{4}Q[1-4])\.csv$", f)))
+    fs, p = _file_system(spark, directory)
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return sorted(m.group(1) for n in names if (m := re.match(r"^([0-9]{4}Q[1-4])\.csv$", n)))
+
+
+def by_date(df: DataFrame, date_col: str = "issue_d", tie: str = "id") -> DataFrame:
+    """Rows by date, missing dates last, ties by id."""
+    return df.orderBy(F.col(date_col).asc_nulls_last(), F.col(tie).asc_nulls_last())
 
 
 @dataclass
@@ -103,9 +145,9 @@ class PipelineConfig:
         return cfg
 
     @classmethod
-    def from_file(cls, path: str) -> "PipelineConfig":
-        with open(path) as f:
-            text = f.read()
+    def from_file(cls, spark: SparkSession, path: str) -> "PipelineConfig":
+        """JSON or YAML from any file system that Spark reads."""
+        text = spark.read.text(path, wholetext=True).first()[0]
         if path.endswith((".yaml", ".yml")):
             try:
                 import yaml  # optional
