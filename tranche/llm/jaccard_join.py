@@ -4,12 +4,13 @@ Two texts link when their sets of word shingles are similar enough.  Equal
 sets are one class from the start.  A link needs a shared shingle among the
 first of both sets in one fixed order (prefix filter; shingles that a sample
 of texts shows to be frequent come last).  First every class is held against
-the smallest class that shares one of its leading shingles, which joins big
-groups of copies with linear work.  Then every prefix shingle whose classes
-are not all joined yet is a tile: its members, in order of size, are compared
-with those of their size band by their hashed bitmaps, whose bit counts bound
-the overlap from above.  What the bound lets through is verified on the whole
-sorted arrays of shingle hashes, and the links' components are the result.
+a few others that share one of its leading shingles, which joins big groups of
+copies with linear work.  Then every prefix shingle whose classes
+are not all joined yet is a tile: its members, in order of size, are paired
+with those of their size band as far as the shingle's places allow a link, and
+the hashed bitmaps of a pair bound its overlap from above by their bit counts.
+What the bound lets through is verified on the whole sorted arrays of shingle
+hashes, and the links' components are the result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from .graph import components
 from .shingles import shingle_sets
 
 FEWEST_BITS, MOST_BITS = 512, 1 << 16   # of a bitmap; in between two to four bits per shingle
-LEADING = 8              # leading shingles looked at in the first round
+LEADING = 8              # prefix shingles looked at in one turn of the leaders
+LEADERS = 3              # classes that a class is held against for each of them
+TURNS = 2                # turns before the tiles; they only spare the tiles work
 TILE_ROWS = 256          # larger tiles are cut into blocks, and pairs of blocks are tiles
 SAMPLE_ONE_IN = 16       # texts looked at for frequent shingles: they only order the prefixes
 FREQUENT_FROM = 4        # in the sample
@@ -77,7 +80,7 @@ def frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
     sample share.  Any set gives the same result; this one keeps tiles small."""
     def run(batches):
         seen = set()
-        for b in slices(batches):
+        for b in slices(batches, limit=2 << 20):
             new = [i for i, k in enumerate(b.column("tkey").to_pylist()) if k not in seen and not seen.add(k)]
             values, _ = shingle_sets(*utf8(b.column("text").take(pa.array(new, pa.int32()))), words)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["s"])
@@ -94,7 +97,7 @@ def described(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     frequent = frequent_shingles(texts, words)
 
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, limit=2 << 20):
             values, offs = shingle_sets(*utf8(b.column("text")), words)
             common = np.zeros(len(values), bool)
             if len(frequent):
@@ -161,7 +164,7 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, nu
 
     def arrays(batches):
         seen = set()
-        for b in slices(batches):
+        for b in slices(batches, limit=2 << 20):
             at = b.column("at").to_numpy()
             hit = np.flatnonzero(words_of[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
             keys = b.column("tkey").take(pa.array(hit)).to_pylist()
@@ -190,28 +193,39 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, nu
     return stored(both.mapInArrow(exact, "a long, b long"), "links")
 
 
-def leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class with the smallest class of its size band that shares one of
-    its leading shingles: at most LEADING pairs per class."""
+def with_components(sets: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """``sets`` with the component reached so far; a class alone is its own."""
+    if joined is None:
+        return sets.withColumn("comp", F.col("sid"))
+    return (sets.join(joined.select(F.col("node").alias("sid"), "comp"), "sid", "left")
+            .withColumn("comp", F.coalesce("comp", "sid")))
+
+
+def leader_pairs(sets: DataFrame, joined: DataFrame | None, turn: int, num: int, den: int) -> DataFrame:
+    """Each class with LEADERS classes of its size band that share one of
+    LEADING prefix shingles (the next ones at every turn) and are not joined
+    with it yet: at most LEADERS * LEADING pairs per class.  Leaders are drawn
+    by hashes, so that every member of a large group is tried against several."""
     band = F.floor(F.log("n") / float(np.log(den / num))) if num < den else F.col("n")
-    keys = sets.select("sid", band.cast("long").alias("band"), F.explode(F.slice("prefix", 1, LEADING)).alias("key"))
-    leaders = keys.groupBy("key", "band").agg(F.min("sid").alias("b"), F.max("sid").alias("last")).where("b <> last").select("key", "band", "b")
-    return keys.join(leaders, ["key", "band"]).where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
+    keys = with_components(sets.select("sid", "n", "prefix"), joined).select(
+        "sid", "comp", band.cast("long").alias("band"), F.explode(F.slice("prefix", 1 + turn * LEADING, LEADING)).alias("key"))
+    drawn = [F.min_by("sid", F.xxhash64("sid", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
+    leaders = (keys.groupBy("key", "band").agg(F.array_distinct(F.array(*drawn)).alias("bs"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+               .where("c0 <> c1").select("key", "band", "bs"))
+    return (keys.join(leaders, ["key", "band"]).select("sid", F.explode("bs").alias("b")).where("sid <> b")
+            .select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct())
 
 
 def tile_pairs(sets: DataFrame, joined: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes not joined yet that share a prefix shingle and pass
-    the bound.  Tiles of over TILE_ROWS members are cut into blocks by a hash,
-    and every pair of blocks is a tile of its own."""
-    own = sets.join(joined.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    posts = own.select("sid", "comp", F.explode("prefix").alias("key"))
+    """Pairs of classes not joined yet that share a prefix shingle and whose
+    sizes and places of it allow a link.  Tiles of over TILE_ROWS members are
+    cut into blocks by a hash, and every pair of blocks is a tile of its own."""
+    posts = with_components(sets.select("sid", "n", "prefix"), joined).select("sid", "comp", "n", F.posexplode("prefix").alias("pos", "key"))
     open_keys = posts.groupBy("key").agg(F.count("*").alias("rows"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key", "rows")
-    blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
-    members = (posts.join(open_keys, "key").withColumn("blocks", blocks)
-               .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("key", "sid", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    tiles = (members.join(sets.select("sid", "n", "bits"), "sid")
+    tiles = (posts.join(open_keys, "key").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "sid", "comp", "n", "pos", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid"))
 
     def compare(batches):
@@ -238,24 +252,22 @@ def tile_pairs(sets: DataFrame, joined: DataFrame, num: int, den: int) -> DataFr
 
 def tile_batch(t: pa.Table, new: np.ndarray, num: int, den: int):
     """Compare every member with the next, the next but one, ... of its tile
-    while the sizes stay in its band."""
+    while the sizes stay in its band.  If the tile's shingle is the first that
+    two sets share, they share no more than what follows it in each."""
     tile = np.cumsum(new)
-    n, comp, sid = (t[c].to_numpy() for c in ("n", "comp", "sid"))
-    block, off = t["block"].to_numpy(), t["i"].to_numpy() != t["j"].to_numpy()
-    maps = t["bits"].to_pylist()
+    n, pos, comp, sid, block = (t[c].to_numpy() for c in ("n", "pos", "comp", "sid", "block"))
+    off = t["i"].to_numpy() != t["j"].to_numpy()
     at, step = np.arange(len(n)), 1
     while len(at):
         at = at[at + step < len(n)]
         to = at + step
         band = (tile[at] == tile[to]) & (n[at] * den >= n[to] * num)
         at, to = at[band], to[band]
-        test = (comp[at] != comp[to]) & (~off[at] | (block[at] != block[to]))
+        test = ((comp[at] != comp[to]) & (~off[at] | (block[at] != block[to]))
+                & (np.minimum(n[at] - pos[at], n[to] - pos[to]) >= needed_overlap(n[at], n[to], num, den)))
         x, y = at[test], to[test]
         if len(x):
-            ok = may_link(n[x], [maps[k] for k in x], n[y], [maps[k] for k in y], num, den)
-            x, y = x[ok], y[ok]
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(sid[x], sid[y])), pa.array(np.maximum(sid[x], sid[y]))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(sid[x], sid[y])), pa.array(np.maximum(sid[x], sid[y]))], ["a", "b"])
         step += 1
 
 
@@ -275,10 +287,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sets = stored(rows.where("n > 0").groupBy("set_hash").agg(
         F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ("tkey", "n", "bits", "prefix")))
         .withColumn("sid", F.monotonically_increasing_id()), "sets")
-    first = verified(stored(bounded(leader_pairs(sets, num, den), sets, num, den), "pairs"), sets, texts, words, num, den)
-    joined = stored(components(first), "joined")
-    second = verified(stored(tile_pairs(sets, joined, num, den), "pairs"), sets, texts, words, num, den)
-    comps = components(first.union(second))
+    links = joined = None
+    for turn in range(TURNS):
+        pairs = stored(bounded(leader_pairs(sets, joined, turn, num, den), sets, num, den), "pairs")
+        new = verified(pairs, sets, texts, words, num, den)
+        links = new if links is None else links.union(new)
+        joined = stored(components(links), "joined")
+    pairs = stored(bounded(tile_pairs(sets, joined, num, den), sets, num, den), "pairs")
+    links = links.union(verified(pairs, sets, texts, words, num, den))
+    comps = components(links)
     grouped = sets.select("set_hash", "sid", "least_id").join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
         "set_hash", "least_id", F.coalesce("comp", "sid").alias("comp"))
     least = grouped.groupBy("comp").agg(F.min("least_id").alias("component_id"))
