@@ -31,8 +31,8 @@ from .suffix_sort import common_prefix, deep_shallow_order
 
 LENGTH = 400
 GRAM = 64
-MOST_CONTEXTS = 256      # distinct contexts of one anchor that are sorted in one group
-SLICE = 2 << 20
+MOST_CONTEXTS = 4096     # distinct contexts of one anchor that are sorted in one group (3 MB)
+SLICE = 1 << 20
 _TABLE, _BASE = byte_table(11)
 
 
