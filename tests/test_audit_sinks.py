@@ -79,5 +79,23 @@ def test_save_model(spark):
         spark.createDataFrame([(float(i), i % 2) for i in range(20)], "x double, label int"))
     m = md.train(df, md.ModelConfig("logistic", max_iter=20))
     d = tempfile.mkdtemp(prefix="tranche-m-")
-    md.save_model(m, {"features": ["x"]}, d)
-    assert os.path.isdir(os.path.join(d, "model")) and spark.read.json(os.path.join(d, "metadata")).count() == 1
+    one = md.save_model(m, {"features": ["x"]}, d)
+    two = md.save_model(m, {"features": ["x"]}, d)
+    assert one != two
+    for f in (one, two):
+        assert os.path.isdir(os.path.join(f, "model")) and spark.read.json(os.path.join(f, "metadata")).count() == 1
+
+
+def test_folds_are_stratified(spark):
+    from tranche.operators import models as md
+    df = spark.range(4000).selectExpr("id", "cast(id % 10 = 0 as int) AS label")
+    n = {(r["label"], r["fold"]): r["count"] for r in md.fold_column(df).groupBy("label", "fold").count().collect()}
+    assert len(n) == 10 and all(abs(n[0, f] - 720) <= 64 and abs(n[1, f] - 80) <= 64 for f in range(5))
+    assert abs(max(n[1, f] for f in range(5)) - min(n[1, f] for f in range(5))) <= 40
+
+
+def test_parameter_grids_are_whole():
+    from tranche.operators import models as md
+    for kind, points in (("random_forest", 36), ("gbt", 243)):
+        cfg = md.ModelConfig(kind)
+        assert len(md.param_grid(md.build_estimator(cfg, 10), cfg)) == points

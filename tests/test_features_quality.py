@@ -106,3 +106,47 @@ def test_fitted_values_come_from_training_rows_only(spark):
     inc_all = [r[0] for r in lab.select("annual_inc").collect() if r[0] is not None]
     if statistics.median(inc_all) != statistics.median(inc_train):
         assert fitted.imputer.values["annual_income"] != pytest.approx(statistics.median(inc_all))
+
+
+def test_rows_with_missing_features_are_dropped(spark):
+    """with the drop strategy a row with any missing feature goes, in the
+    fit and in the transform, and its label with it."""
+    from tranche.plans.inputs import labelled_loans
+    lab = labelled_loans(spark, "/root/testdata/sf0.001").where(F.col("split") == "train")
+    plan = FeaturePlan(categories={"credit_history": False, "derived_features": False}, dummies=False, top_states=0, max_features=0,
+                       missing_strategy="drop")
+    fitted = plan.fit(lab)
+    whole = fitted.raw_features(lab).na.drop(subset=fitted.names_before_selection)
+    out = fitted.transform(lab)
+    assert 0 < out.count() == whole.count()
+    assert out.na.drop().count() == out.count()
+    df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 3.0), (3, None, 4.0)], "id long, a double, b double")
+    assert [r["id"] for r in prep.drop_missing(df, ["a", "b"]).collect()] == [2]
+
+
+def test_blocks_can_be_switched_off_and_metadata_names_them(spark):
+    """X8, X10."""
+    from tranche.plans.inputs import labelled_loans
+    lab = labelled_loans(spark, "/root/testdata/sf0.001").where(F.col("split") == "train")
+    on = FeaturePlan(dummies=False, top_states=0, max_features=0).fit(lab)
+    off = FeaturePlan(dummies=False, top_states=0, max_features=0, categories={"credit_history": False}).fit(lab)
+    assert set(off.feature_names) < set(on.feature_names) and "fico_score" not in off.feature_names
+    meta = off.metadata()
+    assert meta["n_features"] == len(meta["feature_names"]) == len(off.feature_names)
+    assert meta["scaling"] == "standard" and meta["categories"] == {} and meta["top_states"] == []
+
+
+def test_too_many_categories_are_refused(spark, monkeypatch):
+    from tranche.plans import feature_plan
+    from tranche.plans.inputs import labelled_loans
+    monkeypatch.setattr(feature_plan, "MAX_CATEGORIES", 3)
+    with pytest.raises(ValueError):
+        FeaturePlan().fit_categories(labelled_loans(spark, "/root/testdata/sf0.001"))
+
+
+def test_unknown_scaling_falls_back_to_standard(spark):
+    """E6."""
+    df = spark.createDataFrame([(1.0,), (3.0,)], "x double")
+    assert prep.fit_scaler(df, ["x"], "none").method == "none"
+    odd = prep.fit_scaler(df, ["x"], "odd")
+    assert odd.method == "standard" and odd.center["x"] == 2.0 and odd.scale["x"] == 1.0

@@ -134,12 +134,10 @@ def batch_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
                 batch_size: int = 10000) -> DataFrame:
     """Apply a user function to Arrow batches of at most
     ``batch_size`` rows, in parallel over partitions (``mapInPandas``)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(int(batch_size)))
-
     def run(batches):
         for pdf in batches:
-            yield fn(pdf)
+            for at in range(0, len(pdf), batch_size):
+                yield fn(pdf.iloc[at:at + batch_size].reset_index(drop=True))
 
     return df.mapInPandas(run, schema)
 

@@ -24,6 +24,9 @@ DUMMY_SOURCES = {"grade": "grade", "purpose": "purpose", "home_ownership": "home
                  "verification_status": "verified"}
 
 
+MAX_CATEGORIES = 2000    # distinct values that become flags, over all category columns
+
+
 @dataclass
 class FeaturePlan:
     categories: dict[str, bool] = field(default_factory=dict)
@@ -46,8 +49,12 @@ class FeaturePlan:
         cats: dict[str, list[str]] = {}
         present = [c for c in DUMMY_SOURCES if c in cols] if self.dummies else []
         if present:
-            row = train.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in present]).first()
-            cats = {c: list(row[c]) for c in present}
+            values = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in present])
+            seen = (train.select(F.explode(values).alias("s")).where("s.v IS NOT NULL").select("s.*").distinct()
+                    .limit(MAX_CATEGORIES + 1).collect())
+            if len(seen) > MAX_CATEGORIES:
+                raise ValueError(f"over {MAX_CATEGORIES} category values in {present}: too many for flags")
+            cats = {c: sorted(r["v"] for r in seen if r["c"] == c) for c in present}
         states: list[str] = []
         if self.top_states and "addr_state" in cols:
             states = [r["addr_state"] for r in

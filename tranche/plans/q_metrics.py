@@ -15,6 +15,7 @@ from ..operators import backtest as bt
 from ..operators import metrics as mt
 from .inputs import labelled_loans
 from .q_portfolio import CAND_SQL, _ranked, lowest_risk_selection
+from ..session import materialize
 from .registry import register, rounded
 from .views import LABELLED_SQL, LOANS_SQL, OUTCOMES_SQL, with_views
 
@@ -150,16 +151,19 @@ def q_brier_decomposition(spark, sf):
 _HL_PROBS = [float(x) for x in np.linspace(0, 1, 11)]
 
 
-@register("hosmer_lemeshow", with_views(f"""
-SELECT round(stat, 6) AS hosmer_lemeshow_statistic,
- round(exp(-stat / 2) * (1 + stat / 2 + pow(stat / 2, 2) / 2 + pow(stat / 2, 3) / 6), 6) AS hosmer_lemeshow_pvalue,
- exp(-stat / 2) * (1 + stat / 2 + pow(stat / 2, 2) / 2 + pow(stat / 2, 3) / 6) > 0.05 AS well_calibrated FROM (
+_HL_CTE = f"""
+hl AS (SELECT stat, exp(-stat / 2) * (1 + stat / 2 + pow(stat / 2, 2) / 2 + pow(stat / 2, 3) / 6) AS pv FROM (
  SELECT COALESCE(SUM(CASE WHEN e1 > 0 THEN (o1 - e1) * (o1 - e1) / e1 ELSE 0 END
   + CASE WHEN n - e1 > 0 THEN ((n - o1) - (n - e1)) * ((n - o1) - (n - e1)) / (n - e1) ELSE 0 END), 0) AS stat FROM (
   SELECT bin, COUNT(*) AS n, SUM(label) AS o1, SUM(p) AS e1 FROM (
    SELECT *, len(list_filter(edges, lambda e: e <= p)) AS bin FROM scored,
     (SELECT quantile_cont(p, {_edges_sql(_HL_PROBS)}) AS edges FROM scored))
-  WHERE bin BETWEEN 1 AND 10 GROUP BY bin))""", *VIEWS))
+  WHERE bin BETWEEN 1 AND 10 GROUP BY bin)))"""
+
+
+@register("hosmer_lemeshow", with_views("""
+SELECT round(stat, 6) AS hosmer_lemeshow_statistic, round(pv, 6) AS hosmer_lemeshow_pvalue, pv > 0.05 AS well_calibrated
+FROM hl""", *VIEWS, _HL_CTE))
 def q_hosmer_lemeshow(spark, sf):
     """Hosmer-Lemeshow statistic, closed-form p-value (8 df)."""
     return rounded(mt.hosmer_lemeshow(scored(spark, sf)))
@@ -236,13 +240,15 @@ SELECT rule, round(value, 6) AS value, threshold, passed FROM (
   SELECT SUM(pos * ((neg_cum - neg) + neg / 2.0e0)) / (SUM(pos) * SUM(neg)) AS a FROM auc_g)
  UNION ALL SELECT 'warn_auc', a, 0.70e0, a >= 0.70 FROM (
   SELECT SUM(pos * ((neg_cum - neg) + neg / 2.0e0)) / (SUM(pos) * SUM(neg)) AS a FROM auc_g)
- UNION ALL SELECT 'max_brier', AVG((p - label) * (p - label)), 0.20e0, AVG((p - label) * (p - label)) <= 0.20 FROM scored)""",
-                                   *VIEWS, _AUC_CTE.format(by="", part="")))
+ UNION ALL SELECT 'max_brier', AVG((p - label) * (p - label)), 0.20e0, AVG((p - label) * (p - label)) <= 0.20 FROM scored
+ UNION ALL SELECT 'min_calibration_p', pv, 0.05e0, pv >= 0.05 FROM hl)""",
+                                   *VIEWS, _AUC_CTE.format(by="", part=""), _HL_CTE))
 def q_model_gate(spark, sf):
-    """Performance gate rows (AUC >= .65, warn < .70, Brier <= .20)."""
+    """Performance gate rows (AUC >= .65, warn < .70, Brier <= .20,
+    calibration p >= .05)."""
     from ..operators.audit import model_gate
-    s = scored(spark, sf)
-    return rounded(model_gate(mt.roc_auc(s), mt.score_summary(s)))
+    s = materialize(scored(spark, sf), "scored")
+    return rounded(model_gate(mt.roc_auc(s), mt.score_summary(s), mt.hosmer_lemeshow(s)))
 
 
 # ------------------------------------------------------------------ backtest
@@ -395,7 +401,7 @@ def q_max_drawdown(spark, sf):
 @register("summary_metrics", with_views(f"""
 SELECT round(a, 6) AS model_auc, round(b, 6) AS model_brier_score, round(e, 6) AS calibration_error,
  round(dr, 6) AS portfolio_default_rate, round(roi, 6) AS portfolio_roi, round(sh, 6) AS sharpe_ratio,
- round(ti, 6) AS total_investment, ls AS loans_selected FROM
+ round(ti, 6) AS total_investment, ls AS loans_selected, pv > 0.05 AS well_calibrated FROM hl,
  (SELECT SUM(pos * ((neg_cum - neg) + neg / 2.0e0)) / (SUM(pos) * SUM(neg)) AS a FROM auc_g),
  (SELECT AVG((p - label) * (p - label)) AS b FROM scored),
  (SELECT SUM(abs(conf - acc) * cnt / tot) AS e FROM (
@@ -404,11 +410,11 @@ SELECT round(a, 6) AS model_auc, round(b, 6) AS model_brier_score, round(e, 6) A
  (SELECT AVG(default_rate) AS dr, AVG((total_interest_income - total_losses) / total_investment) AS roi,
    AVG(CASE WHEN loans_selected > 1 THEN mret / (vol + 1e-8) END) AS sh, SUM(total_investment) AS ti,
    SUM(loans_selected) AS ls FROM ({_REALISED}))""",
-                                       *SEL_VIEWS, VIEWS[-1], _AUC_CTE.format(by="", part="")))
+                                       *SEL_VIEWS, VIEWS[-1], _AUC_CTE.format(by="", part=""), _HL_CTE))
 def q_summary_metrics(spark, sf):
-    """One summary row (AUC, Brier, ECE, realised rate / ROI / Sharpe, amount, count)."""
-    s = scored(spark, sf)
+    """One summary row (AUC, Brier, ECE, realised rate / ROI / Sharpe,
+    amount, count, calibration flag)."""
+    s = materialize(scored(spark, sf), "scored")     # four metrics read it
     real = _realised(spark, sf)
-    row = mt.summary_row(mt.roc_auc(s), mt.score_summary(s), mt.expected_calibration_error(s),
-                         mt.hosmer_lemeshow(s), real).drop("well_calibrated")
-    return rounded(row)
+    return rounded(mt.summary_row(mt.roc_auc(s), mt.score_summary(s), mt.expected_calibration_error(s),
+                                  mt.hosmer_lemeshow(s), real))
