@@ -122,11 +122,12 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
     share = targets / targets.sum()
     main = int(np.argmax(share))
     goal = share * main_rate * have[main] / share[main]
-    everyone, now, active, before = gram, have, gram, np.inf
+    everyone, now, active, before, stalled = gram, have, gram, np.inf, 0
     for _ in range(STEPS):
         r = now - goal
         off = float(np.abs(r).max())
-        if off < TOLERANCE * total:
+        stalled = stalled + 1 if off > 0.999 * before else 0
+        if off < TOLERANCE * total or stalled == 3:     # met, or as near as nonnegative rates come
             break
         mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-6 * total * np.eye(n), r))
         before = off
