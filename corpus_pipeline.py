@@ -7,6 +7,8 @@ one's docs.  All but the last return the columns of documents.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +19,33 @@ from tranche.llm.mixing import mixed
 from tranche.llm.packing import pack_documents
 from tranche.llm.quality import THRESHOLD, train, with_scores
 from tranche.llm.suffix_dedup import without_repeats
+from tranche.session import Intermediates, run_intermediates
+
+_HELD: list[Intermediates] = []
+
+
+def stage(function):
+    """A stage whose intermediate files go when the next stage begins: its
+    rows have been written by then."""
+    @wraps(function)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _HELD:
+            _HELD.pop().release(spark)
+        with run_intermediates() as own:
+            _HELD.append(own)
+            return function(spark, docs, sf_dir)
+
+    return begin
 
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = train(docs, read(spark, sf_dir, "labels"))
     return with_scores(docs, model, "__score").where(F.col("__score") >= THRESHOLD).drop("__score")
 
 
+@stage
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near duplicates: five-word shingles, a
     similarity of 0.8 or more.  It is the row with the smallest id (null ids
@@ -42,17 +63,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return keyed.join(keep, "__row").dropDuplicates(["__row"]).select(*docs.columns)
 
 
+@stage
 def no_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that occur at another place too are cut out."""
     return without_repeats(docs)
 
 
+@stage
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out by the rates that bring the domains'
     expected tokens to the target weights."""
     return mixed(docs, read(spark, sf_dir, "labels"))
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their places in sequences of at most 1024 tokens."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -73,6 +97,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; the last one's rows."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES[:-1]:
+        docs = stored(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
