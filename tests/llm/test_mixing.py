@@ -26,6 +26,15 @@ def test_targets_out_of_reach_stay_nonnegative(spark):
     assert fit_rates(df.limit(0), Mixer(None), np.array([1.0, 0.0])).pull == []
 
 
+def test_a_domain_hardly_there_does_not_blow_up(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.02, 1e-3, 3.0, 0.3], 300)
+    df = spark.createDataFrame([(100, [float(v) for v in b]) for b in p], "n_tokens long, posterior array<double>")
+    mixer = fit_rates(df, Mixer(None), np.array([0.07, 0.01, 0.9, 0.02]))
+    x = mixer.rates(p)
+    assert x.max() < 12 and abs((x @ p)[2] / p[:, 2].sum() - MAIN_RATE) < 0.03
+
+
 def test_softmax_tells_domains_apart():
     rng = np.random.default_rng(1)
     stats = rng.normal(size=(600, 16))

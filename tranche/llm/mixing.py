@@ -24,6 +24,7 @@ from .quality import BUCKETS, MAX_TRAIN, _metadata, _statistics, assemble, sampl
 DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = {"low_clean": 0.07, "low_toxic": 0.01, "high_clean": 0.90, "high_toxic": 0.02}
 MAIN_RATE = 1.15         # mean rate of the domain with the largest target
+MOST_REPEATS = 4.0       # mean rate that a target may ask of a domain
 STEPS = 30
 TOLERANCE = 1e-4         # of all tokens, at which steps end
 VISITS = 150_000         # rows visited in fitting, over at least MIN_EPOCHS passes
@@ -121,7 +122,7 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
         return mixer
     share = targets / targets.sum()
     main = int(np.argmax(share))
-    goal = share * main_rate * have[main] / share[main]
+    goal = np.minimum(share * main_rate * have[main] / share[main], MOST_REPEATS * have)   # a domain hardly there stays small
     everyone, now, active, before, stalled = gram, have, gram, np.inf, 0
     for _ in range(STEPS):
         r = now - goal
@@ -129,7 +130,7 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
         stalled = stalled + 1 if off > 0.999 * before else 0
         if off < TOLERANCE * total or stalled == 3:     # met, or as near as nonnegative rates come
             break
-        mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-6 * total * np.eye(n), r))
+        mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-5 * total * np.eye(n), r))
         before = off
         now, active, _ = corpus_sums(members, mixer, n)
     return mixer
@@ -188,8 +189,10 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     Tokens are words.  The domain totals are scaled so that the domain with
     the largest target has a mean rate near MAIN_RATE.  Null and empty texts
     have no tokens and the rate of their posterior.  Repeated and null ids are
-    rows like others.  Domains without labelled rows stay near probability 0
-    and cannot reach a target.  An empty table gives no rows.
+    rows like others.  A domain's target is lowered to MOST_REPEATS times its
+    tokens, so a domain hardly there, or without labelled rows, falls short of
+    it instead of repeating a few documents endlessly.  An empty table gives
+    no rows.
     """
     mixer, members = fit_mixer(docs, label_domains(labels), targets)
     kind = members.schema["doc_id"].dataType.simpleString()
