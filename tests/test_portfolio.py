@@ -264,3 +264,18 @@ def test_text_rates(spark):
     df = spark.createDataFrame(rows, SCHEMA.replace("int_rate double", "int_rate string"))
     got = {r["loan_id"]: r["interest_rate"] for r in pf.candidates(df).collect()}
     assert got == {1: pytest.approx(.125), 2: pytest.approx(.2), 3: 0.0}
+
+
+def test_budget_cut_sits_below_the_first_row_shuffle(spark):
+    """The rows' only exchanges come after the filter on the last bucket, and
+    few rows pass it."""
+    rows = [("Q", i, 25.0, 25.0, .2, "A1", 36, .0001 * i) for i in range(5000)] + [("R", 9000, 25.0, 25.0, .2, "A1", 36, None)]
+    pol = pf.PortfolioPolicy(budget=100, min_expected_return=-10, max_default_probability=1.0)
+    c = pf.candidates(_spark_frame(spark, rows), policy=pol)
+    bucket = pf._bucket(F.col("default_probability"), True)
+    assert pf.cut_by_score(c, bucket, pol).count() < 100
+    plan = pf.select_lowest_risk(c, pol)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert sum("Window [" in line for line in plan[:join]) == 2     # both windows over rows stand above the filtering join
+    got = {r["loan_id"] for r in pf.select_lowest_risk(c, pol).collect()}
+    assert got == {0, 1, 2, 3, 9000}

@@ -6,8 +6,9 @@ quarter's candidates in rank order; K6 and K7, which skip, are scans in bounded
 batches (``greedy.py``).  None loops over rows on the driver.
 
 Scale: a quarter may hold a third of all loans, so a plain window over the
-quarter would be one huge task.  ``select_budgeted`` first prunes exactly:
-rows are salted into ``salt_buckets`` sub-groups and a row whose running
+quarter would be one huge task.  ``select_budgeted`` first adds up tickets per
+score bucket and filters out, before any row is shuffled, the buckets that the
+budget cannot reach.  Then it prunes exactly: rows are salted into ``salt_buckets`` sub-groups and a row whose running
 total *inside its sub-group* already exceeds the budget cannot be selected
 (its quarter-wide running total is at least as large), so only the head of
 each sub-group survives.  The exact quarter-wide window then runs on the
@@ -18,6 +19,7 @@ per quarter.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, replace
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -103,11 +105,41 @@ def _order(strategy: str) -> list[Column]:
     return [F.col("default_probability").asc(), F.col("loan_id").asc()]
 
 
-def select_budgeted(cands: DataFrame, order: list[Column], policy: PortfolioPolicy = PortfolioPolicy()) -> DataFrame:
+SCORE_BUCKETS = 4096
+
+
+def _bucket(rank: Column, null_first: bool) -> Column:
+    """A bucket that grows with ``rank``, whatever its range; missing values
+    and NaN at the ends where the sort puts them."""
+    first, last = F.lit(-1), F.lit(SCORE_BUCKETS + 1)
+    r = rank.cast("double")
+    return (F.when(r.isNull(), first if null_first else last).when(F.isnan(r), last if null_first else first)
+            .otherwise(F.floor((F.atan(r) / math.pi + 0.5) * SCORE_BUCKETS).cast("int")))
+
+
+def cut_by_score(cands: DataFrame, bucket: Column, policy: PortfolioPolicy) -> DataFrame:
+    """The candidates that a running total in rank order can still reach: the
+    ticket totals of all earlier score buckets of their group, added up before
+    the shuffle, do not exceed the budget.  The table of last buckets has one
+    row per group."""
+    g = policy.group_col
+    totals = cands.groupBy(g, bucket.alias("_b")).agg(F.sum("ticket").alias("_t"))
+    before = F.sum("_t").over(Window.partitionBy(g).orderBy("_b")) - F.col("_t")
+    last = totals.withColumn("_before", before).where(F.col("_before") <= _money(policy.budget)).groupBy(g).agg(F.max("_b").alias("_last"))
+    return cands.join(F.broadcast(last), g).where(bucket <= F.col("_last")).drop("_last")
+
+
+def select_budgeted(cands: DataFrame, order: list[Column], policy: PortfolioPolicy = PortfolioPolicy(),
+                    bucket: Column | None = None) -> DataFrame:
     """Fill the budget in rank order; the first loan that overflows gets the
     rest when the rest exceeds 1; nothing after it is taken.  Returns the
-    selected rows with ``investment_amount``."""
+    selected rows with ``investment_amount``.
+
+    With a score ``bucket`` (which follows the order's first key) the rows
+    beyond the budget are filtered out before any row is shuffled."""
     g, B = policy.group_col, _money(policy.budget)
+    if bucket is not None:
+        cands = cut_by_score(materialize(cands, "candidates"), bucket, policy)
     salt = F.pmod(F.xxhash64("loan_id"), F.lit(policy.salt_buckets))
     w_local = Window.partitionBy(g, "_salt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     pruned = (cands.withColumn("_salt", salt)
@@ -123,12 +155,12 @@ def select_budgeted(cands: DataFrame, order: list[Column], policy: PortfolioPoli
 
 def select_lowest_risk(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy()) -> DataFrame:
     """K4: by default probability ascending (id breaks ties)."""
-    return select_budgeted(cands, _order("lowest_risk"), policy)
+    return select_budgeted(cands, _order("lowest_risk"), policy, _bucket(F.col("default_probability"), True))
 
 
 def select_highest_expected_value(cands: DataFrame, policy: PortfolioPolicy = PortfolioPolicy()) -> DataFrame:
     """K5: by expected return descending (id breaks ties)."""
-    return select_budgeted(cands, _order("highest_expected_value"), policy)
+    return select_budgeted(cands, _order("highest_expected_value"), policy, _bucket(-F.col("expected_return"), False))
 
 
 # ---------------------------------------------------------------- K6
