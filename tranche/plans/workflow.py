@@ -1,14 +1,15 @@
 """End-to-end run (section 3.1): labels -> quality gate -> features ->
 model -> calibration -> per-quarter selection -> backtest -> report.
 
-Every stage output is a lazy DataFrame; actions happen only at the gate,
-the fits, and the final report.  The assembled feature matrix is written
-once to the shared checkpoint folder before the iterative fits.
+Tables that several steps read (labels, feature matrix, scores, metrics,
+selections, realised portfolio) are written once to the shared checkpoint
+folder; the others are lazy.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,6 @@ from ..operators import models as md
 from ..operators import portfolio as pf
 from ..operators import quality as qa
 from ..session import ensure_checkpoint_dir, materialize
-from ..sources.loans import loan_table
 from .feature_plan import FeaturePlan
 from .inputs import labelled_loans
 
@@ -40,6 +40,7 @@ class RunConfig:
     min_quality_score: float = 0.80
     gate: bool = True
     benchmarks: tuple[str, ...] = ("market", "random")  # B5 switches
+    stop_at_model_gate: bool = False   # A14 raises instead of only reporting
 
 
 def quality_gate(df: DataFrame, min_score: float) -> DataFrame:
@@ -54,35 +55,61 @@ def quality_gate(df: DataFrame, min_score: float) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "split string, quality_score double, passed boolean")
 
 
+class ModelGateError(RuntimeError):
+    pass
+
+
+def split_metrics(scored: DataFrame) -> DataFrame:
+    """M6: AUC, summary, calibration error and Hosmer-Lemeshow of each split
+    that ``scored`` has rows of, one row per split."""
+    from ..operators.rows import combine_rows
+    parts = []
+    for split in sorted(r[0] for r in scored.select("split").distinct().collect()):     # three at most
+        one = scored.where(F.col("split") == split)
+        parts.append(combine_rows(mt.roc_auc(one), mt.score_summary(one), mt.expected_calibration_error(one), mt.hosmer_lemeshow(one))
+                     .withColumn("split", F.lit(split)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[str, DataFrame]:
+    """The whole run's tables; what several steps read is stored once.  The
+    model's gate judges the validation quarters; ``audit`` has a row per step."""
     cfg = cfg or RunConfig()
     ensure_checkpoint_dir(spark)
-    # labels feed the gate, the fit, the transform and the backtest: compute once
-    lab = materialize(labelled_loans(spark, sf_dir), "labelled")
     out: dict[str, DataFrame] = {}
+    log: list[dict] = []
+    step = lambda name, action: au.timed(name, action, log)
+
+    # labels feed the gate, the fit, the transform, the selection and the backtest
+    lab = step("labels", lambda: materialize(labelled_loans(spark, sf_dir), "labelled"))
     if cfg.gate:
-        out["quality_gate"] = quality_gate(lab.drop("label"), cfg.min_quality_score)
-    fitted = cfg.features.fit(lab.where(F.col("split") == "train"))
-    mat = materialize(fitted.assemble(fitted.transform(lab)).select("id", "data_quarter", "split", "label", "features"),
-                      "run-features")
+        out["quality_gate"] = step("quality_gate", lambda: quality_gate(lab.drop("label"), cfg.min_quality_score))
+    fitted = step("features", lambda: cfg.features.fit(lab.where(F.col("split") == "train")))
+    mat = step("matrix", lambda: materialize(fitted.assemble(fitted.transform(lab)).select("id", "data_quarter", "split", "label", "features"),
+                                             "run-features"))
     train = mat.where(F.col("split") == "train")
-    model = md.grid_search(train, cfg.model)[0] if cfg.search else md.train(train, cfg.model)
-    scored = md.score(model, mat.where(F.col("split") != "train"))
+    model = step("model", lambda: md.grid_search(train, cfg.model)[0] if cfg.search else md.train(train, cfg.model))
+    scored = md.score(model, mat)
     if cfg.calibrate:
         c = (cal.PlattCalibrator() if cfg.calibrate == "platt" else cal.IsotonicCalibrator())
-        c.fit(scored.where(F.col("split") == "validation"))
+        step("calibration", lambda: c.fit(scored.where(F.col("split") == "validation")))
         scored = c.transform(scored).withColumn("p", F.col("p_cal"))
-    scores = materialize(scored.select("id", "data_quarter", "split", "label", "p"), "run-scores")
-    back = scores.where(F.col("split") == "backtest")
-    from ..operators.rows import combine_rows
-    out["model_metrics"] = combine_rows(mt.roc_auc(back), mt.score_summary(back),
-                                        mt.expected_calibration_error(back), mt.hosmer_lemeshow(back))
-    loans = loan_table(spark, sf_dir).where(F.col("data_quarter").isin(
-        [r[0] for r in back.select("data_quarter").distinct().collect()]))
-    sel = pf.select_investments(loans, back.select("id", F.col("p").alias("pd")), cfg.policy)
-    out["selection"] = sel
-    so = bt.attach_outcomes(sel, lab.select("id", "label"))
-    real = bt.realised(so)
+    scores = step("scores", lambda: materialize(scored.select("id", "data_quarter", "split", "label", "p"), "run-scores"))
+    metrics = step("metrics", lambda: materialize(split_metrics(scores), "run-metrics"))
+    out["split_metrics"] = metrics
+    out["model_metrics"] = metrics.where(F.col("split") == "backtest").drop("split")
+    val = metrics.where(F.col("split") == "validation")
+    out["model_gate"] = step("model_gate", lambda: materialize(au.model_gate(val, val, val), "run-gate"))
+    if cfg.stop_at_model_gate and out["model_gate"].where("NOT passed AND rule <> 'warn_auc'").count():
+        raise ModelGateError("the model misses its limits on the validation quarters")
+
+    chosen = {}
+    for split in ("validation", "backtest"):
+        own = lab.where(F.col("split") == split)
+        pds = scores.where(F.col("split") == split).select("id", F.col("p").alias("pd"))
+        chosen[split] = step(f"selection_{split}", lambda own=own, pds=pds: materialize(pf.select_investments(own, pds, cfg.policy), "run-selection"))
+    sel, out["selection"], out["selection_validation"] = chosen["backtest"], chosen["backtest"], chosen["validation"]
+    real = step("backtest", lambda: materialize(bt.realised(bt.attach_outcomes(sel, lab.select("id", "label"))), "run-realised"))
     back_loans = lab.where(F.col("split") == "backtest")
     market = bt.market_benchmark(back_loans)
     out["backtest"] = bt.result_row(real, market, cfg.policy.budget)
@@ -90,16 +117,27 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
         out["benchmark_market"] = market
     if "random" in cfg.benchmarks:
         sizes = sel.groupBy(cfg.policy.group_col).agg(F.count(F.lit(1)).alias("n"))
-        out["benchmark_random"] = bt.random_benchmark(back_loans, sizes)
+        out["benchmark_random"] = step("benchmark_random", lambda: bt.random_benchmark(back_loans, sizes))
         if "market" in cfg.benchmarks:
             out["benchmark_compare"] = bt.compare(real, market, out["benchmark_random"])
     out["feature_importance"] = md.feature_importance(model, fitted.feature_names) \
         if hasattr(model, "coefficients") or hasattr(model, "featureImportances") else None
-    out["report"] = au.report_table(
-        {"model": out["model_metrics"].drop("well_calibrated"),
-         "investment": real.agg(F.sum("total_investment").alias("total_investment"),
-                                F.sum("loans_selected").alias("loans_selected"),
-                                F.avg("default_rate").alias("portfolio_default_rate"),
-                                F.avg("roi_proxy").alias("portfolio_roi"))},
-        {"roc_auc": ("min", 0.65), "brier_score": ("max", 0.20), "hosmer_lemeshow_pvalue": ("min", 0.05)})
+
+    realised = real.agg(F.sum("total_investment").alias("total_investment"), F.sum("loans_selected").alias("loans_selected"),
+                        F.avg("default_rate").alias("portfolio_default_rate"), F.avg("roi_proxy").alias("portfolio_roi"))
+    facts = spark.createDataFrame([(len(fitted.names_before_selection), len(fitted.feature_names), len(fitted.states))],
+                                  "features_built int, features_selected int, states_flagged int")
+    sections = {
+        "executive": realised.select("portfolio_roi", "portfolio_default_rate"),
+        "data": lab.groupBy().pivot("split", ["train", "validation", "backtest"]).agg(F.count(F.lit(1)))
+                   .select(*[F.col(s).alias(f"{s}_rows") for s in ("train", "validation", "backtest")]),
+        "features": facts,
+        "model": out["model_metrics"].drop("well_calibrated"),
+        "investment": pf.portfolio_metrics(sel).agg(F.sum("total_investment").alias("invested"), F.sum("loan_count").alias("loans"),
+                                                    F.avg("avg_risk_score").alias("avg_risk_score")),
+        "backtest": realised,
+    }
+    out["report"] = au.report_table(sections, {"roc_auc": ("min", 0.65), "brier_score": ("max", 0.20), "hosmer_lemeshow_pvalue": ("min", 0.05)})
+    out["audit"] = spark.createDataFrame([(i, r["step"], r["seconds"], r["status"], r["error"]) for i, r in enumerate(log)],
+                                         "position int, step string, seconds double, status string, error string")
     return out
