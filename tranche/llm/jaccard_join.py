@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import run_intermediates
 from .common import mix64, read, slices, stored, text_key, utf8
 from .graph import components
 from .shingles import shingle_sets
@@ -155,6 +156,14 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, nu
 
     Only the texts of the pairs' classes are turned into arrays again; a bit
     filter of bounded size spares the others, and the join makes it exact."""
+    with run_intermediates() as own:
+        found = _linking(pairs, sets, texts, words, num, den)
+    links = stored(found, "links")
+    own.release(pairs.sparkSession)
+    return links
+
+
+def _linking(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     needed = stored(pairs.select("a").union(pairs.select("b")).distinct()
                     .join(sets.select(F.col("sid").alias("a"), "tkey"), "a").select(F.col("a").alias("sid"), "tkey"), "needed")
     expected = needed.count()
@@ -190,7 +199,7 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, nu
 
     both = (pairs.join(whole.select(F.col("sid").alias("a"), F.col("items").alias("ia")), "a")
             .join(whole.select(F.col("sid").alias("b"), F.col("items").alias("ib")), "b"))
-    return stored(both.mapInArrow(exact, "a long, b long"), "links")
+    return both.mapInArrow(exact, "a long, b long")
 
 
 def with_components(sets: DataFrame, joined: DataFrame | None) -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import run_intermediates
 from .common import byte_table, inverse64, mix64, powers, read, slices, stored, text_key, utf8
 from .jaccard_join import bit_filter
 from .suffix_sort import common_prefix, deep_shallow_order
@@ -263,6 +264,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     (columns tkey and text; copies of a text count once) whose every byte is
     covered by a string of ``length`` bytes that starts at another place of
     the distinct texts as well.  Texts without such a range have no row."""
+    with run_intermediates() as own:
+        found = _covered(texts, length, gram)
+    spans = stored(found, "spans")
+    own.release(texts.sparkSession)
+    return spans
+
+
+def _covered(texts: DataFrame, length: int, gram: int) -> DataFrame:
     found = stored(repeated_anchors(texts, length, gram), "anchors")
     bits, size = bit_filter(found, lambda n: F.col("h").bitwiseAND(n - 1), found.count())
     places = stored(contexts_of(texts, bits, size, length, gram), "places")
@@ -312,7 +321,7 @@ def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = _keyed(docs)
     texts = rows.select("tkey", "text")
     copies = rows.groupBy("tkey").agg(F.count("*").alias("copies"))
-    spans = stored(repeated_spans(texts, length).join(copies.where("copies = 1"), "tkey").select("tkey", "spans"), "spans")
+    spans = stored(repeated_spans(texts, length).join(copies.where("copies = 1"), "tkey").select("tkey", "spans"), "own-spans")
     bits, size = bit_filter(spans, lambda n: F.pmod(F.xxhash64("tkey"), F.lit(n)), spans.count())
 
     def passing(batches):
