@@ -4,7 +4,7 @@ Two texts link when their sets of word shingles are similar enough.  Equal
 sets are one class from the start.  A link needs a shared shingle among the
 first of both sets in one fixed order (prefix filter; shingles that a sample
 of texts shows to be frequent come last).  First every class is held against
-a few others that share one of its leading shingles, which joins big groups of
+a few others that share one of its smallest shingles, which joins big groups of
 copies with linear work.  Then every prefix shingle whose classes
 are not all joined yet is a tile: its members, in order of size, are paired
 with those of their size band as far as the shingle's places allow a link, and
@@ -28,9 +28,9 @@ from .graph import components
 from .shingles import shingle_sets
 
 FEWEST_BITS, MOST_BITS = 512, 1 << 16   # of a bitmap; in between two to four bits per shingle
-LEADING = 8              # prefix shingles looked at in one turn of the leaders
+LEADING = 8              # smallest shingle hashes looked at in one turn of the leaders
 LEADERS = 3              # classes that a class is held against for each of them
-TURNS = 2                # turns before the tiles; they only spare the tiles work
+TURNS = 1                # turns before the tiles; they only spare the tiles work
 TILE_ROWS = 256          # larger tiles are cut into blocks, and pairs of blocks are tiles
 SAMPLE_ONE_IN = 16       # texts looked at for frequent shingles: they only order the prefixes
 FREQUENT_FROM = 4        # in the sample
@@ -93,7 +93,9 @@ def frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
 
 
 def described(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """doc_id, tkey, n, set_hash, bits, prefix of every row."""
+    """doc_id, tkey, n, set_hash, bits, small (the bitmap folded to its least
+    size), prefix and heads (the smallest hashes, which near copies share with
+    a probability near their similarity)."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     frequent = frequent_shingles(texts, words)
 
@@ -103,23 +105,25 @@ def described(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
             common = np.zeros(len(values), bool)
             if len(frequent):
                 common = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values
-            digest, bits, prefix, ends = [], [], [], [0]
+            digest, bits, small, prefix, ends, heads = [], [], [], [], [0], []
             for lo, hi in zip(offs[:-1], offs[1:]):
                 v, n = values[lo:hi], hi - lo
                 digest.append(hashlib.blake2b(v.tobytes(), digest_size=16).digest() if n else None)
                 bits.append(bitmap(v))
+                small.append(folded(np.frombuffer(bits[-1], np.uint64)[None], FEWEST_BITS // 64).tobytes())
                 c = common[lo:hi]
                 p = n - -(-num * n // den) + 1 if n else 0
                 prefix.append(np.concatenate([v[~c], v[c]])[:p])
                 ends.append(ends[-1] + p)
+                heads.append(v[:LEADING * TURNS].view(np.int64))
             flat = np.concatenate([*prefix, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("tkey"), pa.array(np.diff(offs), pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "tkey", "n", "set_hash", "bits", "prefix"])
+                 pa.array(bits, pa.binary()), pa.array(small, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "tkey", "n", "set_hash", "bits", "small", "prefix", "heads"])
 
     return texts.select("doc_id", "tkey", "text").mapInArrow(
-        run, f"doc_id {kind}, tkey binary, n long, set_hash binary, bits binary, prefix array<long>")
+        run, f"doc_id {kind}, tkey binary, n long, set_hash binary, bits binary, small binary, prefix array<long>, heads array<long>")
 
 
 def bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -212,12 +216,12 @@ def with_components(sets: DataFrame, joined: DataFrame | None) -> DataFrame:
 
 def leader_pairs(sets: DataFrame, joined: DataFrame | None, turn: int, num: int, den: int) -> DataFrame:
     """Each class with LEADERS classes of its size band that share one of
-    LEADING prefix shingles (the next ones at every turn) and are not joined
+    LEADING smallest shingles (the next ones at every turn) and are not joined
     with it yet: at most LEADERS * LEADING pairs per class.  Leaders are drawn
     by hashes, so that every member of a large group is tried against several."""
     band = F.floor(F.log("n") / float(np.log(den / num))) if num < den else F.col("n")
-    keys = with_components(sets.select("sid", "n", "prefix"), joined).select(
-        "sid", "comp", band.cast("long").alias("band"), F.explode(F.slice("prefix", 1 + turn * LEADING, LEADING)).alias("key"))
+    keys = with_components(sets.select("sid", "n", "heads"), joined).select(
+        "sid", "comp", band.cast("long").alias("band"), F.explode(F.slice("heads", 1 + turn * LEADING, LEADING)).alias("key"))
     drawn = [F.min_by("sid", F.xxhash64("sid", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
     leaders = (keys.groupBy("key", "band").agg(F.array_distinct(F.array(*drawn)).alias("bs"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                .where("c0 <> c1").select("key", "band", "bs"))
@@ -227,14 +231,14 @@ def leader_pairs(sets: DataFrame, joined: DataFrame | None, turn: int, num: int,
 
 def tile_pairs(sets: DataFrame, joined: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes not joined yet that share a prefix shingle and whose
-    sizes and places of it allow a link.  Tiles of over TILE_ROWS members are
+    sizes, places of it and small bitmaps allow a link.  Tiles of over TILE_ROWS members are
     cut into blocks by a hash, and every pair of blocks is a tile of its own."""
     posts = with_components(sets.select("sid", "n", "prefix"), joined).select("sid", "comp", "n", F.posexplode("prefix").alias("pos", "key"))
     open_keys = posts.groupBy("key").agg(F.count("*").alias("rows"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key", "rows")
-    tiles = (posts.join(open_keys, "key").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+    tiles = (posts.join(open_keys, "key").join(sets.select("sid", "small"), "sid").withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
              .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "sid", "comp", "n", "pos", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+             .select("key", "sid", "comp", "n", "pos", "small", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid"))
 
     def compare(batches):
@@ -266,6 +270,7 @@ def tile_batch(t: pa.Table, new: np.ndarray, num: int, den: int):
     tile = np.cumsum(new)
     n, pos, comp, sid, block = (t[c].to_numpy() for c in ("n", "pos", "comp", "sid", "block"))
     off = t["i"].to_numpy() != t["j"].to_numpy()
+    maps = np.frombuffer(b"".join(t["small"].to_pylist()), np.uint64).reshape(len(n), -1)
     at, step = np.arange(len(n)), 1
     while len(at):
         at = at[at + step < len(n)]
@@ -275,6 +280,11 @@ def tile_batch(t: pa.Table, new: np.ndarray, num: int, den: int):
         test = ((comp[at] != comp[to]) & (~off[at] | (block[at] != block[to]))
                 & (np.minimum(n[at] - pos[at], n[to] - pos[to]) >= needed_overlap(n[at], n[to], num, den)))
         x, y = at[test], to[test]
+        if len(x):
+            only_x = np.bitwise_count(maps[x] & ~maps[y]).sum(1, dtype=np.int64)
+            only_y = np.bitwise_count(maps[y] & ~maps[x]).sum(1, dtype=np.int64)
+            ok = np.minimum(n[x] - only_x, n[y] - only_y) >= needed_overlap(n[x], n[y], num, den)
+            x, y = x[ok], y[ok]
         if len(x):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(sid[x], sid[y])), pa.array(np.maximum(sid[x], sid[y]))], ["a", "b"])
         step += 1
@@ -294,7 +304,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), text_key().alias("tkey"))
     rows = stored(described(texts, words, num, den), "shingled")
     sets = stored(rows.where("n > 0").groupBy("set_hash").agg(
-        F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ("tkey", "n", "bits", "prefix")))
+        F.min("doc_id").alias("least_id"), *(F.first(c).alias(c) for c in ("tkey", "n", "bits", "small", "prefix", "heads")))
         .withColumn("sid", F.monotonically_increasing_id()), "sets")
     links = joined = None
     for turn in range(TURNS):
