@@ -25,8 +25,6 @@ VERIFICATION_STATUSES = ["Verified", "Source Verified", "Not Verified"]
 
 APPLICATION_TYPES = ["Individual", "Joint App"]
 
-INITIAL_LIST_STATUSES = ["w", "f"]
-
 # Employment length text -> years (enum form: under one year 0.5, 10+ -> 12).
 EMP_LENGTH_YEARS = {
     "< 1 year": 0.5, "1 year": 1.0, "2 years": 2.0, "3 years": 3.0,
@@ -40,16 +38,16 @@ OUTCOME_DEFAULT_STATUSES = [
     "Charged Off", "Default", "Does not meet the credit policy. Status:Charged Off",
 ]
 
-# Synthetic-label probability per sub-grade (A1..G5, in order); unknown -> 0.15.
-SYNTHETIC_GRADE_PROBABILITY = [
-    0.005, 0.008, 0.012, 0.015, 0.020,
-    0.025, 0.030, 0.035, 0.045, 0.055,
-    0.065, 0.075, 0.085, 0.095, 0.105,
-    0.120, 0.135, 0.150, 0.170, 0.190,
-    0.210, 0.230, 0.250, 0.270, 0.290,
-    0.320, 0.350, 0.380, 0.410, 0.440,
-    0.470, 0.500, 0.530, 0.560, 0.600,
-]
+# Synthetic-label probability per sub-grade; unknown -> 0.15.
+SYNTHETIC_GRADE_PROBABILITY = {
+    "A1": 0.005, "A2": 0.008, "A3": 0.012, "A4": 0.015, "A5": 0.020,
+    "B1": 0.025, "B2": 0.030, "B3": 0.035, "B4": 0.045, "B5": 0.055,
+    "C1": 0.065, "C2": 0.075, "C3": 0.085, "C4": 0.095, "C5": 0.105,
+    "D1": 0.120, "D2": 0.135, "D3": 0.150, "D4": 0.170, "D5": 0.190,
+    "E1": 0.210, "E2": 0.230, "E3": 0.250, "E4": 0.270, "E5": 0.290,
+    "F1": 0.320, "F2": 0.350, "F3": 0.380, "F4": 0.410, "F5": 0.440,
+    "G1": 0.470, "G2": 0.500, "G3": 0.530, "G4": 0.560, "G5": 0.600,
+}
 SYNTHETIC_UNKNOWN_PROBABILITY = 0.15
 
 # Letter risk for the combined risk score; unknown letter -> 0.35.

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixed import (OUTCOME_DEFAULT_STATUSES, SUB_GRADES, SYNTHETIC_GRADE_PROBABILITY,
-                               SYNTHETIC_UNKNOWN_PROBABILITY)
+from ..functions.fixed import OUTCOME_DEFAULT_STATUSES, SYNTHETIC_GRADE_PROBABILITY, SYNTHETIC_UNKNOWN_PROBABILITY
 
 
 def _flag(statuses) -> "F.Column":
@@ -70,7 +69,7 @@ def synthetic_probability(df: DataFrame, grade_col: str = "sub_grade", rate_col:
     """X9 probability: sub-grade probability (unknown .15) + .1 * min-max
     scaled rate, clipped to [.001, .60]; missing where the rate is.  Min and max come from one
     aggregate and enter as literals."""
-    table = F.create_map(*[x for g, p in zip(SUB_GRADES, SYNTHETIC_GRADE_PROBABILITY) for x in (F.lit(g), F.lit(p))])
+    table = F.create_map(*[x for g, p in SYNTHETIC_GRADE_PROBABILITY.items() for x in (F.lit(g), F.lit(p))])
     base = F.coalesce(F.element_at(table, F.col(grade_col)), F.lit(SYNTHETIC_UNKNOWN_PROBABILITY))
     from .rows import scalars
     mm = scalars(df.agg(F.min(rate_col).alias("_rmin"), F.max(rate_col).alias("_rmax")))
