@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tranche.llm.catalog import QUERIES
-from tranche.llm.mixing import DOMAINS, MAIN_RATE, TARGETS, Mixer, corpus_sums, fit_rates, fit_softmax, mixed, mixing_rates
+from tranche.llm.mixing import DOMAINS, MAIN_RATE, MOST_REPEATS, TARGETS, Mixer, corpus_sums, fit_mixer, fit_rates, fit_softmax, label_domains, mixed, mixing_rates
 
 
 def test_rates_meet_the_targets(spark):
@@ -35,6 +35,29 @@ def test_a_domain_hardly_there_does_not_blow_up(spark):
     assert x.max() < 12 and abs((x @ p)[2] / p[:, 2].sum() - MAIN_RATE) < 0.03
 
 
+def test_scarce_domains_meet_the_stated_targets(spark):
+    rows, labels = [], []
+    for d, n in enumerate((4, 2, 390, 8)):      # documents of low_clean, low_toxic, high_clean, high_toxic
+        for _ in range(n):
+            i = len(rows)
+            rows.append((i, " ".join(f"{DOMAINS[d]}{(i * 7 + j) % 20}" for j in range(60))))
+            labels.append((i, d >> 1, d & 1))
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    goal = np.array([TARGETS[d] for d in DOMAINS])
+    got = mixing_rates(docs, known).collect()
+    totals = np.array([[r.n_tokens * r.rate * r[f"p_{d}"] for d in DOMAINS] for r in got]).sum(0)
+    assert np.abs(totals / totals.sum() - goal).max() < 5e-3
+    out = {d: 0 for d in DOMAINS}
+    for r in mixed(docs, known).collect():
+        out[r.text.split()[0].rstrip("0123456789")] += 1
+    assert abs(out["low_clean"] / sum(out.values()) - 0.07) < 0.02
+    capped, _ = fit_mixer(docs, label_domains(known), TARGETS, most_repeats=MOST_REPEATS)
+    assert np.allclose(capped.asked, goal) and capped.reached[0] < 0.05 and capped.reached[2] > 0.92
+    free, _ = fit_mixer(docs, label_domains(known), TARGETS)
+    assert np.abs(free.reached - free.asked).max() < 5e-3
+
+
 def test_softmax_tells_domains_apart():
     rng = np.random.default_rng(1)
     stats = rng.normal(size=(600, 16))

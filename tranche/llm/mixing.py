@@ -24,7 +24,7 @@ from .quality import BUCKETS, MAX_TRAIN, _metadata, _statistics, assemble, sampl
 DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = {"low_clean": 0.07, "low_toxic": 0.01, "high_clean": 0.90, "high_toxic": 0.02}
 MAIN_RATE = 1.15         # mean rate of the domain with the largest target
-MOST_REPEATS = 4.0       # mean rate that a target may ask of a domain
+MOST_REPEATS = 4.0       # mean rate that a capped fit lets a target ask of a domain; no cap in the queries
 STEPS = 30
 TOLERANCE = 1e-4         # of all tokens, at which steps end
 VISITS = 150_000         # rows visited in fitting, over at least MIN_EPOCHS passes
@@ -81,6 +81,8 @@ def fit_softmax(stats, lists, y, domains: int, seed: int = 1) -> Softmax:
 class Mixer:
     model: Softmax
     pull: list[np.ndarray] = field(default_factory=list)   # one vector of domains per step
+    asked: np.ndarray | None = None      # share of the expected tokens that each domain should have
+    reached: np.ndarray | None = None    # and has at these rates
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         """Replay the projected steps: x <- max(0, x - p . pull), from 1."""
@@ -108,21 +110,29 @@ def with_posteriors(docs: DataFrame, mixer: Mixer, tokens: str, posterior: str,
     return x.mapInArrow(run, schema)
 
 
-def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate: float = MAIN_RATE) -> Mixer:
+def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate: float = MAIN_RATE, most_repeats: float | None = MOST_REPEATS) -> Mixer:
     """Projected gradient on 1/2 r' W r, r = expected domain totals - targets.
 
     ``members`` has n_tokens and posterior.  Gradients are taken in the metric
     of the documents' tokens, so a rate depends on the posterior alone, and W
     is the inverse of the token-weighted Gram matrix of the posteriors of the
     documents whose rate is above zero (of all documents after a step that did
-    not bring the totals nearer), which makes the step length 1."""
+    not bring the totals nearer), which makes the step length 1.
+
+    ``most_repeats`` lowers the target of a domain to that many times its
+    tokens and leaves the others as they are, so the shares change; None fits
+    the targets as stated.  The mixer's ``asked`` and ``reached`` tell the
+    stated and the fitted shares either way."""
     n = len(targets)
     have, gram, total = corpus_sums(members, mixer, n)
+    share = targets / targets.sum()
+    mixer.asked, mixer.reached = share, np.zeros(n)
     if not total:
         return mixer
-    share = targets / targets.sum()
     main = int(np.argmax(share))
-    goal = np.minimum(share * main_rate * have[main] / share[main], MOST_REPEATS * have)   # a domain hardly there stays small
+    goal = share * main_rate * have[main] / share[main]
+    if most_repeats is not None:
+        goal = np.minimum(goal, most_repeats * have)
     everyone, now, active, before, stalled = gram, have, gram, np.inf, 0
     for _ in range(STEPS):
         r = now - goal
@@ -133,6 +143,8 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
         mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-5 * total * np.eye(n), r))
         before = off
         now, active, _ = corpus_sums(members, mixer, n)
+    if now.sum():
+        mixer.reached = now / now.sum()
     return mixer
 
 
@@ -167,13 +179,14 @@ def label_domains(labels: DataFrame) -> DataFrame:
         F.max((F.col("quality") > 0).cast("int") * 2 + (F.col("toxic") > 0).cast("int")).alias("label"))
 
 
-def fit_mixer(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], main_rate: float = MAIN_RATE, max_train: int = MAX_TRAIN) -> tuple[Mixer, DataFrame]:
+def fit_mixer(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], main_rate: float = MAIN_RATE, max_train: int = MAX_TRAIN,
+              most_repeats: float | None = None) -> tuple[Mixer, DataFrame]:
     """The fitted mixer and the stored table doc_id, tkey, n_tokens, posterior."""
     goal = np.array([targets[d] for d in targets], float)
     mixer = Mixer(fit_softmax(*sample_features(docs, labelled, max_train), len(goal)))
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"), _metadata(docs).alias("n_chars"), text_key().alias("tkey"))
     members = stored(with_posteriors(slim, mixer, "n_tokens", "posterior", "rate").select("doc_id", "tkey", "n_tokens", "posterior"), "members")
-    return fit_rates(members, mixer, goal, main_rate), members
+    return fit_rates(members, mixer, goal, main_rate, most_repeats), members
 
 
 def copies_of(rate, *identity):
@@ -183,18 +196,18 @@ def copies_of(rate, *identity):
     return F.floor(rate + u).cast("int")
 
 
-def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, most_repeats: float | None = None) -> DataFrame:
     """doc_id, n_tokens, p_<domain>, rate, copies per row.
 
     Tokens are words.  The domain totals are scaled so that the domain with
     the largest target has a mean rate near MAIN_RATE.  Null and empty texts
     have no tokens and the rate of their posterior.  Repeated and null ids are
-    rows like others.  A domain's target is lowered to MOST_REPEATS times its
-    tokens, so a domain hardly there, or without labelled rows, falls short of
-    it instead of repeating a few documents endlessly.  An empty table gives
-    no rows.
+    rows like others.  A scarce domain's documents are repeated as often as
+    its target needs, unless ``most_repeats`` caps that at so many times its
+    tokens; a domain that no document is likely to be of, such as one without
+    labelled rows, falls short.  An empty table gives no rows.
     """
-    mixer, members = fit_mixer(docs, label_domains(labels), targets)
+    mixer, members = fit_mixer(docs, label_domains(labels), targets, most_repeats=most_repeats)
     kind = members.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -207,9 +220,9 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
                         copies_of(F.col("rate"), F.col("doc_id"), F.col("tkey")).alias("copies"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, most_repeats: float | None = None) -> DataFrame:
     """``docs`` with every row as often as its copies say."""
-    mixer, _ = fit_mixer(docs, label_domains(labels), targets)
+    mixer, _ = fit_mixer(docs, label_domains(labels), targets, most_repeats=most_repeats)
     rated = with_posteriors(docs, mixer, "__tokens", "__posterior", "__rate")
     n = copies_of(F.col("__rate"), F.col("doc_id"), text_key())
     return rated.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n))).select(*docs.columns)
