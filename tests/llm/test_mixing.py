@@ -1,8 +1,11 @@
+import warnings
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tranche.llm.catalog import QUERIES
-from tranche.llm.mixing import DOMAINS, MAIN_RATE, MOST_REPEATS, TARGETS, Mixer, corpus_sums, fit_mixer, fit_rates, fit_softmax, label_domains, mixed, mixing_rates
+from tranche.llm.mixing import DOMAINS, MAIN_RATE, MOST_REPEATS, TARGETS, TOLERANCE, Mixer, corpus_sums, fit_mixer, fit_rates, fit_softmax, label_domains, mixed, mixing_rates
 
 
 def test_rates_meet_the_targets(spark):
@@ -54,8 +57,27 @@ def test_scarce_domains_meet_the_stated_targets(spark):
     assert abs(out["low_clean"] / sum(out.values()) - 0.07) < 0.02
     capped, _ = fit_mixer(docs, label_domains(known), TARGETS, most_repeats=MOST_REPEATS)
     assert np.allclose(capped.asked, goal) and capped.reached[0] < 0.05 and capped.reached[2] > 0.92
-    free, _ = fit_mixer(docs, label_domains(known), TARGETS)
-    assert np.abs(free.reached - free.asked).max() < 5e-3
+
+
+@pytest.mark.parametrize("seed", [5, 8, 9])
+def test_last_step_is_the_nearest(spark, seed):
+    rng = np.random.default_rng(seed)      # targets far from the mix: most rates are zero
+    p = rng.dirichlet([0.05, 2.0, 0.3, 0.02], 200)
+    t = rng.integers(1, 900, 200)
+    target = np.array([0.5, 0.05, 0.05, 0.4])
+    df = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(t, p)], "n_tokens long, posterior array<double>").coalesce(1)
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        mixer = fit_rates(df, Mixer(None), target)
+    goal = np.minimum(target * MAIN_RATE * (t @ p)[0] / target[0], MOST_REPEATS * (t @ p))
+    off = [(t * Mixer(None, mixer.pull[:i]).rates(p)) @ p - goal for i in range(len(mixer.pull) + 1)]
+    assert len(off) > 1 and all(b @ b < a @ a for a, b in zip(off, off[1:]))
+    assert np.isclose(mixer.distance, np.abs(off[-1]).max() / t.sum())
+    assert any("from its target" in str(w.message) for w in said) == (mixer.distance >= TOLERANCE)
+    x, y = mixer.rates(p), mixer.rates(p)         # many plain steps from there come hardly nearer
+    for _ in range(3000):
+        y = np.maximum(0, y - p @ ((t * y) @ p - goal) / np.linalg.eigvalsh((p * t[:, None]).T @ p)[-1])
+    assert np.linalg.norm((t * x) @ p - goal) < np.linalg.norm((t * y) @ p - goal) + 1e-3 * t.sum()
 
 
 def test_softmax_tells_domains_apart():

@@ -4,14 +4,15 @@ A softmax classifier, fitted on the labelled table, gives every document the
 probability of each domain.  A document's expected tokens of a domain are its
 tokens times that probability times its rate.  Nonnegative rates that bring
 the domains' totals to the targets are found by projected gradient steps for
-a weighted least squares problem: a step is one grouped sum over the corpus,
-of as many numbers as there are domains, and every document replays the steps
-so far on its own posterior, so no state is kept between them.
+a least squares problem: a step is a few grouped sums over the corpus, of some
+squared number of domains, and every document replays the steps so far on its
+own posterior, so no state is kept between them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import warnings
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,11 @@ DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = {"low_clean": 0.07, "low_toxic": 0.01, "high_clean": 0.90, "high_toxic": 0.02}
 MAIN_RATE = 1.15         # mean rate of the domain with the largest target
 MOST_REPEATS = 4.0       # mean rate that a capped fit lets a target ask of a domain; no cap in the queries
-STEPS = 30
+VISITS_OF_CORPUS = 60    # grouped sums, at most
+TURNS = 12               # Newton turns of a step
 TOLERANCE = 1e-4         # of all tokens, at which steps end
+LEAST_GAIN = 1e-3        # of the squared distance, that a step brings at full length
+FLAT = 1e-7              # of the squared distance, that a plain step gains where the projected gradient is near zero
 VISITS = 150_000         # rows visited in fitting, over at least MIN_EPOCHS passes
 MIN_EPOCHS = 8
 WORD_SCALE = 8.0         # a word's weight against a statistic's
@@ -83,6 +87,7 @@ class Mixer:
     pull: list[np.ndarray] = field(default_factory=list)   # one vector of domains per step
     asked: np.ndarray | None = None      # share of the expected tokens that each domain should have
     reached: np.ndarray | None = None    # and has at these rates
+    distance: float = 0.0                # largest distance of a fitted total from its goal, of all tokens
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         """Replay the projected steps: x <- max(0, x - p . pull), from 1."""
@@ -111,20 +116,27 @@ def with_posteriors(docs: DataFrame, mixer: Mixer, tokens: str, posterior: str,
 
 
 def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate: float = MAIN_RATE, most_repeats: float | None = MOST_REPEATS) -> Mixer:
-    """Projected gradient on 1/2 r' W r, r = expected domain totals - targets.
+    """Projected gradient on 1/2 r' r, r = expected domain totals - targets.
 
     ``members`` has n_tokens and posterior.  Gradients are taken in the metric
-    of the documents' tokens, so a rate depends on the posterior alone, and W
-    is the inverse of the token-weighted Gram matrix of the posteriors of the
-    documents whose rate is above zero (of all documents after a step that did
-    not bring the totals nearer), which makes the step length 1.
+    of the documents' tokens, so a rate depends on the posterior alone.  A step
+    x <- max(0, x - p . pull) is implicit: its pull is the gradient at the rates
+    it leads to, times a length, so it never leads further away.  The pull is
+    found by Newton turns on a convex problem of as many numbers as there are
+    domains, shortened until they descend; the first turn is the gradient in
+    the metric of the inverse Gram matrix of the documents with a rate, and
+    mostly enough.  Only pulls that came nearer are kept, so the last are the
+    best.  Steps that gain little are lengthened until the projected gradient
+    is near zero.  ``distance`` tells what is left, with a warning where the
+    targets are not met.
 
     ``most_repeats`` lowers the target of a domain to that many times its
     tokens and leaves the others as they are, so the shares change; None fits
     the targets as stated.  The mixer's ``asked`` and ``reached`` tell the
     stated and the fitted shares either way."""
     n = len(targets)
-    have, gram, total = corpus_sums(members, mixer, n)
+    have, gram, total, squares = corpus_sums(members, mixer, n)
+    half = squares / 2
     share = targets / targets.sum()
     mixer.asked, mixer.reached = share, np.zeros(n)
     if not total:
@@ -133,26 +145,54 @@ def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate:
     goal = share * main_rate * have[main] / share[main]
     if most_repeats is not None:
         goal = np.minimum(goal, most_repeats * have)
-    everyone, now, active, before, stalled = gram, have, gram, np.inf, 0
-    for _ in range(STEPS):
+    steepest, visits, damping, now, held = np.linalg.eigvalsh(gram)[-1], 0, 1e-5 * total, have, gram
+    while np.abs(now - goal).max() >= TOLERANCE * total and visits < VISITS_OF_CORPUS:
         r = now - goal
-        off = float(np.abs(r).max())
-        stalled = stalled + 1 if off > 0.999 * before else 0
-        if off < TOLERANCE * total or stalled == 3:     # met, or as near as nonnegative rates come
-            break
-        mixer.pull.append(np.linalg.solve((active if off < before else everyone) + 1e-5 * total * np.eye(n), r))
-        before = off
-        now, active, _ = corpus_sums(members, mixer, n)
+        pull, low, at, active = np.zeros(n), half, now, held
+        best = r @ r, None
+        for _ in range(TURNS):
+            climb = at - goal - damping * pull       # against the slope of the step's convex problem
+            if climb @ climb < 0.01 * (r @ r):
+                break
+            way, length = np.linalg.solve(active + damping * np.eye(n), climb), 1.0
+            while visits < VISITS_OF_CORPUS and length > 1e-4:
+                tried = pull + length * way
+                sums, some, _, squares = corpus_sums(members, replace(mixer, pull=[*mixer.pull, tried]), n)
+                visits += 1
+                height = squares / 2 + goal @ tried + damping / 2 * (tried @ tried)
+                off = sums - goal
+                if off @ off < best[0]:
+                    best = off @ off, tried, sums, some, squares / 2
+                if height <= low - 1e-4 * length * (climb @ way):
+                    break
+                length /= 4
+            else:
+                break
+            pull, low, at, active = tried, height, sums, some
+            if np.abs(off).max() < TOLERANCE * total:
+                break
+        gain = 1 - best[0] / (r @ r)
+        if best[1] is not None:
+            mixer.pull.append(best[1])
+            _, _, now, held, half = best
+        if gain < LEAST_GAIN:
+            if slope(members, mixer, now - goal) < FLAT * steepest * ((now - goal) @ (now - goal)):
+                break
+            damping = max(damping / 10, 1e-12 * total)
+    mixer.distance = float(np.abs(now - goal).max() / total)
+    if mixer.distance >= TOLERANCE:
+        warnings.warn(f"mixing: a domain's expected tokens stay {mixer.distance:.2g} of all tokens from its target", stacklevel=2)
     if now.sum():
         mixer.reached = now / now.sum()
     return mixer
 
 
-def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndarray, np.ndarray, float]:
+def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndarray, np.ndarray, float, float]:
     """At the mixer's rates: expected tokens of each domain, the Gram matrix of
-    the posteriors of documents with a rate, and all tokens.  One grouped sum
-    of (domains + 1) squared numbers, added up in the tasks first."""
-    size = domains + domains * domains + 1
+    the posteriors of documents with a rate, all tokens, and the tokens times
+    squared rates.  One grouped sum of some (domains + 1) squared numbers, added
+    up in the tasks first."""
+    size = domains + domains * domains + 2
 
     def run(batches):
         out = np.zeros(size)
@@ -161,15 +201,30 @@ def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndar
                 p, t = b.column("posterior").flatten().to_numpy().reshape(b.num_rows, -1), b.column("n_tokens").to_numpy()
                 x = mixer.rates(p)
                 out[:domains] += (x * t) @ p
-                out[domains:-1] += ((p * (t * (x > 0))[:, None]).T @ p).ravel()
-                out[-1] += t.sum()
+                out[domains:-2] += ((p * (t * (x > 0))[:, None]).T @ p).ravel()
+                out[-2:] += t.sum(), t @ (x * x)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(out)], ["at", "v"])
 
     rows = members.select("n_tokens", "posterior").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
     out = np.zeros(size)
     for r in rows:
         out[r["at"]] = r["v"]
-    return out[:domains], out[domains:-1].reshape(domains, domains), out[-1]
+    return out[:domains], out[domains:-2].reshape(domains, domains), out[-2], out[-1]
+
+
+def slope(members: DataFrame, mixer: Mixer, r: np.ndarray) -> float:
+    """Squared length, in the documents' tokens, of the projected gradient of
+    the squared distance at the mixer's rates; a rate of zero cannot fall."""
+    def run(batches):
+        out = 0.0
+        for b in batches:
+            if b.num_rows:
+                p, t = b.column("posterior").flatten().to_numpy().reshape(b.num_rows, -1), b.column("n_tokens").to_numpy()
+                g = p @ r
+                out += float(t @ np.square(np.where(mixer.rates(p) > 0, g, np.minimum(g, 0))))
+        yield pa.RecordBatch.from_arrays([pa.array([out])], ["v"])
+
+    return members.select("n_tokens", "posterior").mapInArrow(run, "v double").agg(F.sum("v")).first()[0] or 0.0
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
