@@ -10,7 +10,9 @@ are not all joined yet is a tile: its members, in order of size, are paired
 with those of their size band as far as the shingle's places allow a link, and
 the hashed bitmaps of a pair bound its overlap from above by their bit counts.
 What the bound lets through is verified on the whole sorted arrays of shingle
-hashes, and the links' components are the result.
+hashes, and the links' components are the result.  They are not the join's
+links: pairs of classes that are joined already are never compared, so neither
+all links nor the number of links of a document can be had from here.
 """
 
 from __future__ import annotations
@@ -287,8 +289,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     Two texts link when den * |intersection| >= num * |union| of their sets of
     ``words``-word shingles (A-Z lowered; a shorter text is one shingle).
     Null, empty and wordless texts have no shingle and link with nothing:
-    their component is their own id.  component_id is the smallest id that
-    links reach; null ids count only where a component has no other.  Repeated
+    their component is their own id.  The components are returned, not the
+    links; those inside a joined group are mostly not looked for.  component_id
+    is the smallest id that links reach; null ids count only where a component has no other.  Repeated
     rows are in one component and each is returned.  An empty table gives no
     rows.
     """
