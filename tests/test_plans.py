@@ -30,3 +30,11 @@ def test_global_auc_has_no_single_partition_row_window(spark):
     p = plan(E.queries()["roc_auc"](spark, SF))
     # the only window over all score groups is partitioned by bucket
     assert "windowspecdefinition(_bucket" in p
+
+
+def test_end_to_end_compares_with_both_benchmarks(spark):
+    from tranche.plans.catalog import load
+    rows = load()[0]["end_to_end"](spark, "/root/testdata/sf0.001").collect()
+    got = {r["metric"]: r["value"] for r in rows if r["section"] == "backtest"}
+    assert {"portfolio_roi", "default_rate_vs_market", "default_rate_vs_random", "roi_vs_market", "roi_vs_random"} <= set(got)
+    assert all(got[m] is not None for m in ("roi_vs_market", "roi_vs_random"))

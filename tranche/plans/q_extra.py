@@ -107,9 +107,10 @@ def q_validate_run_data(spark, sf):
 @register("end_to_end")
 def q_end_to_end(spark, sf):
     """3.1: the whole run (labels, gate, features, logistic model, Platt
-    calibration, selection on backtest quarters, backtest) as its report."""
+    calibration, selection on backtest quarters, backtest against the market
+    and random benchmarks) as its report."""
     from .workflow import RunConfig, run
-    return run(spark, sf, RunConfig(benchmarks=("market",)))["report"]
+    return run(spark, sf, RunConfig())["report"]
 
 
 _SCORED = "scored AS (SELECT label, pd AS p FROM labelled)"

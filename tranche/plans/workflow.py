@@ -135,9 +135,15 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
         "model": out["model_metrics"].drop("well_calibrated"),
         "investment": pf.portfolio_metrics(sel).agg(F.sum("total_investment").alias("invested"), F.sum("loan_count").alias("loans"),
                                                     F.avg("avg_risk_score").alias("avg_risk_score")),
-        "backtest": realised,
+        "backtest": realised if "benchmark_compare" not in out else joined_row(realised, out["benchmark_compare"]),
     }
     out["report"] = au.report_table(sections, {"roc_auc": ("min", 0.65), "brier_score": ("max", 0.20), "hosmer_lemeshow_pvalue": ("min", 0.05)})
     out["audit"] = spark.createDataFrame([(i, r["step"], r["seconds"], r["status"], r["error"]) for i, r in enumerate(log)],
                                          "position int, step string, seconds double, status string, error string")
     return out
+
+
+def joined_row(realised: DataFrame, compared: DataFrame) -> DataFrame:
+    """The realised figures and the mean gains over the benchmarks, one row."""
+    gains = compared.agg(*(F.avg(c).alias(c) for c in ("default_rate_vs_market", "default_rate_vs_random", "roi_vs_market", "roi_vs_random")))
+    return realised.withColumn("__one", F.lit(1)).join(gains.withColumn("__one", F.lit(1)), "__one").drop("__one")
