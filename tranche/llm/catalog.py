@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .centroids import OP12_SQL, op12_centroids
 from .exact_topk import OP10_SQL, op10_exact_topk
 from .jaccard_join import op5_jaccard_join
 from .kmeans_tree import op7_kmeans_tree
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_best_fit_shards": op8_best_fit_shards,
     "op9_quality": op9_quality,
     "op10_exact_topk": op10_exact_topk,
+    "op12_centroids": op12_centroids,
 }
 
 ORACLE: dict[str, str] = {
     "op10_exact_topk": OP10_SQL,
+    "op12_centroids": OP12_SQL,
 }
