@@ -6,6 +6,7 @@ from .centroids import OP12_SQL, op12_centroids
 from .exact_topk import OP10_SQL, op10_exact_topk
 from .jaccard_join import op5_jaccard_join
 from .kmeans_tree import op7_kmeans_tree
+from .merkle import OP11_SQL, op11_merkle_manifest
 from .mixing import op2_soft_mixing
 from .packing import op3_pattern_packing
 from .quality import op9_quality
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_best_fit_shards": op8_best_fit_shards,
     "op9_quality": op9_quality,
     "op10_exact_topk": op10_exact_topk,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_centroids": op12_centroids,
 }
 
 ORACLE: dict[str, str] = {
     "op10_exact_topk": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
     "op12_centroids": OP12_SQL,
 }
