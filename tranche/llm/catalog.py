@@ -6,6 +6,7 @@ from .centroids import OP12_SQL, op12_centroids
 from .exact_topk import OP10_SQL, op10_exact_topk
 from .jaccard_join import op5_jaccard_join
 from .kmeans_tree import op7_kmeans_tree
+from .lattice_scores import op13_lattice_scores
 from .merkle import OP11_SQL, op11_merkle_manifest
 from .mixing import op2_soft_mixing
 from .packing import op3_pattern_packing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_exact_topk": op10_exact_topk,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_centroids": op12_centroids,
+    "op13_lattice_scores": op13_lattice_scores,
 }
 
 ORACLE: dict[str, str] = {
