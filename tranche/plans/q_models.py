@@ -72,6 +72,16 @@ def q_grid_search(spark, sf):
     return spark.createDataFrame(pd.DataFrame(res))
 
 
+@register("grid_folds", with_views("""
+SELECT label, fold, CAST((n - fold + 4) // 5 AS BIGINT) AS n FROM (
+ SELECT label, COUNT(*) AS n FROM labelled WHERE split = 'train' GROUP BY label), (SELECT CAST(unnest(range(5)) AS INTEGER) AS fold)
+WHERE n > fold""", LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL))
+def q_grid_folds(spark, sf):
+    """M5: rows of each class per fold of the training loans."""
+    train = labelled_loans(spark, sf).where(F.col("split") == "train").select("id", "label")
+    return md.fold_column(train).groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     """M8: top ten |coefficients| of the logistic model."""
