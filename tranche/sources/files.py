@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as cl
+from .records import field_names, first_record, records
 
 #: Numeric columns of a quarterly loan file; the others are text, percents, dates or terms.
 NUMERIC = ["id", "member_id", "loan_amnt", "funded_amnt", "funded_amnt_inv", "installment", "annual_inc", "dti",
@@ -70,27 +71,30 @@ def type_loan_file(raw: DataFrame) -> DataFrame:
 
 def scan_quarters(spark: SparkSession, directory: str, quarters: list[str]) -> DataFrame:
     """The files' rows as text, columns by header name, with ``data_quarter``
-    from the file name and the whole line in ``_corrupt_record`` where a row
+    from the file name and the whole record in ``_corrupt_record`` where a row
     does not have its header's number of fields.
 
-    Files with the same header line are one scan, parsed with that header as
-    the schema; scans are united by name, and a column that a file lacks is
-    missing there.  (Lines are parsed with ``from_csv``: a CSV scan does not
-    answer queries on the malformed rows alone.)
+    Files with the same header are one scan, parsed with that header as the
+    schema; scans are united by name, and a column that a file lacks is
+    missing there.  Quoted fields may hold line breaks, commas and doubled
+    quotes (``records`` cuts the files).
     """
     by_header: dict[str, list[str]] = {}
     for path in quarter_paths(spark, directory, quarters):
-        first = spark.read.text(path).limit(1).collect()
-        by_header.setdefault(first[0][0] if first else "", []).append(path)
+        header = first_record(spark, path)
+        if header is not None:
+            by_header.setdefault(header, []).append(path)
     scans = []
     for header, paths in by_header.items():
-        names = [n.strip().strip('"') for n in header.lstrip("\ufeff").split(",")]
+        names = [c.replace("`", "``") for c in field_names(header)]
         schema = ", ".join(f"`{c}` string" for c in (*names, CORRUPT))
-        lines = spark.read.text(paths).select("value", F.input_file_name().alias("file"))
-        scans.append(lines.where((F.col("value") != header) & (F.trim("value") != ""))
-                     .select(F.from_csv("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"),
+        parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "multiLine": "true"}
+        scans.append(records(spark, paths)
+                     .select(F.from_csv("record", schema, parse).alias("r"),
                              F.regexp_extract("file", r"([0-9]{4}Q[1-4])\.csv$", 1).alias("data_quarter"))
                      .select("r.*", "data_quarter"))
+    if not scans:
+        raise ValueError(f"no header in any quarter file of {directory}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
