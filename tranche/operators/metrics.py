@@ -41,7 +41,7 @@ def _count_le(edges_col: Column, x: Column, strict: bool = False) -> Column:
 
 
 # ------------------------------------------------------------------ V1 / D4
-def roc_auc(df: DataFrame, label: str = "label", p: str = "p", by=None, buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", p: str = "p", by=None, buckets: int | None = None) -> DataFrame:
     """V1: ROC-AUC with ties counted half (Mann-Whitney)."""
     by = _by(by)
     g = df.groupBy(*by, p).agg(F.sum(F.col(label)).cast("long").alias("_pos"),
@@ -143,7 +143,7 @@ def best_threshold(df: DataFrame, label: str = "label", p: str = "p", steps: int
 
 
 # ------------------------------------------------------------------ V7 / V8 / D5 / D17
-def _uniform_bin(p: Column) -> Column:
+def uniform_bin(p: Column) -> Column:
     """Index 0..9 = number of inner edges strictly below p (p = 0 -> 0)."""
     return _count_le(_lit_array(UNIFORM_EDGES[1:-1]), p, strict=True)
 
@@ -153,7 +153,7 @@ def expected_calibration_error(df: DataFrame, label: str = "label", p: str = "p"
     by = _by(by)
     x = F.col(p)
     in_any = x > UNIFORM_EDGES[0]
-    b = df.where(in_any).groupBy(*by, _uniform_bin(x).alias("bin")).agg(
+    b = df.where(in_any).groupBy(*by, uniform_bin(x).alias("bin")).agg(
         F.count(F.lit(1)).alias("_cnt"), F.avg(F.col(label).cast("double")).alias("acc"), F.avg(x).alias("conf"))
     tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
     j = b.join(tot, by) if by else b.withColumn("_one", F.lit(1)).join(tot.withColumn("_one", F.lit(1)), "_one")
@@ -163,7 +163,7 @@ def expected_calibration_error(df: DataFrame, label: str = "label", p: str = "p"
 
 def reliability_curve(df: DataFrame, label: str = "label", p: str = "p", by=None) -> DataFrame:
     """V8: per non-empty uniform bin: fraction of positives, mean score, count."""
-    return df.groupBy(*_by(by), _uniform_bin(F.col(p)).alias("bin")).agg(
+    return df.groupBy(*_by(by), uniform_bin(F.col(p)).alias("bin")).agg(
         F.avg(F.col(label).cast("double")).alias("fraction_positives"), F.avg(F.col(p)).alias("mean_predicted"),
         F.count(F.lit(1)).alias("count"))
 
@@ -205,10 +205,11 @@ def hosmer_lemeshow(df: DataFrame, label: str = "label", p: str = "p", bins: int
     kept (the maximum itself falls past the last edge and is left out, as
     in the source); chi-square with bins-2 df; well calibrated if p > .05."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)]
+    df = materialize(df.select(label, p), "hosmer-input")
     if approx:
         edges = scalars(df.agg(F.percentile_approx(F.col(p), probs, 100 * ACCURACY).alias("_edges")))["_edges"] or []
     else:
-        edges = [e for e in exact_quantiles(df, [p], probs)[p] if e is not None]
+        edges = [e for e in exact_quantiles(df, [p], probs, stored=True)[p] if e is not None]
     b = df.withColumn("_bin", _count_le(_lit_array(edges), F.col(p)))
     g = b.where((F.col("_bin") >= 1) & (F.col("_bin") <= bins)).groupBy("_bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("o1"), F.sum(F.col(p)).alias("e1"))
@@ -252,17 +253,18 @@ def stability_index(df: DataFrame, cols: list[str], base_filter: Column, group_c
     base has, with shares floored at ``eps``.  One grouped count over the rows;
     the rest works on that small table."""
     probs = [float(x) for x in np.linspace(0, 1, bins + 1)][1:-1]
-    base_rows = df.where(base_filter)
+    df = materialize(df.select(group_col, base_filter.alias("_base"), *[F.col(c).cast("double").alias(c) for c in cols]), "stability-input")
+    base_rows = df.where("_base")
     if approx:
         edges = scalars(base_rows.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 100 * ACCURACY).alias(c) for c in cols]))
     else:
-        edges = exact_quantiles(base_rows, cols, probs)
+        edges = exact_quantiles(base_rows, cols, probs, stored=True)
     edges = {c: [e for e in edges[c] or [] if e is not None] for c in cols}
     structs = [F.struct(F.lit(c).alias("feature"),
                         F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
                             _count_le(_lit_array(edges[c]), F.col(c).cast("double"), strict=True)).alias("bin"))
                for c in cols]
-    counts = (df.select(group_col, base_filter.alias("_base"), F.explode(F.array(*structs)).alias("r"))
+    counts = (df.select(group_col, "_base", F.explode(F.array(*structs)).alias("r"))
               .groupBy(group_col, "_base", "r.feature", "r.bin").agg(F.count(F.lit(1)).alias("n")))
     counts = materialize(counts, "stability")
     per_group = counts.groupBy(group_col, "feature", "bin").agg(F.sum("n").alias("_gn"))

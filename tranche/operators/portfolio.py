@@ -126,7 +126,8 @@ def cut_by_score(cands: DataFrame, bucket: Column, policy: PortfolioPolicy) -> D
     totals = cands.groupBy(g, bucket.alias("_b")).agg(F.sum("ticket").alias("_t"))
     before = F.sum("_t").over(Window.partitionBy(g).orderBy("_b")) - F.col("_t")
     last = totals.withColumn("_before", before).where(F.col("_before") <= _money(policy.budget)).groupBy(g).agg(F.max("_b").alias("_last"))
-    return cands.join(F.broadcast(last), g).where(bucket <= F.col("_last")).drop("_last")
+    # written, so that Spark knows its size and broadcasts it only if small
+    return cands.join(materialize(last, "last-buckets"), g).where(bucket <= F.col("_last")).drop("_last")
 
 
 def select_budgeted(cands: DataFrame, order: list[Column], policy: PortfolioPolicy = PortfolioPolicy(),
@@ -139,7 +140,7 @@ def select_budgeted(cands: DataFrame, order: list[Column], policy: PortfolioPoli
     beyond the budget are filtered out before any row is shuffled."""
     g, B = policy.group_col, _money(policy.budget)
     if bucket is not None:
-        cands = cut_by_score(materialize(cands, "candidates"), bucket, policy)
+        cands = cut_by_score(cands, bucket, policy)
     salt = F.pmod(F.xxhash64("loan_id"), F.lit(policy.salt_buckets))
     w_local = Window.partitionBy(g, "_salt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     pruned = (cands.withColumn("_salt", salt)

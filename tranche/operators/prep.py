@@ -149,10 +149,8 @@ def fit_scaler(df: DataFrame, cols: list[str], method: str = "standard", approx:
         elif method == "minmax":
             aggs += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:
-            q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100 * ACCURACY) if approx
-                 else F.array(*[F.lit(v).cast("double") for v in exact[c]]))
-            aggs.append(q.alias(f"q{i}"))
-    row = df.agg(*aggs).first()
+            aggs += [F.percentile_approx(x, [0.25, 0.5, 0.75], 100 * ACCURACY).alias(f"q{i}")] if approx else []
+    row = df.agg(*aggs).first() if aggs else {f"q{i}": exact[c] for i, c in enumerate(cols)}
     center, scale = {}, {}
     for i, c in enumerate(cols):
         if method == "robust":

@@ -8,6 +8,7 @@ column.  Quantiles are exact (``quantiles.py``); ``approx=True`` asks for
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.fixed import QUALITY_DEFAULTS
+from ..session import materialize
 from .quantiles import ACCURACY, exact_quantiles
 from .rows import combine_rows, scalars
 
@@ -50,54 +52,93 @@ def missing_profile(df: DataFrame, max_missing_rate: float = QUALITY_DEFAULTS["m
         (F.col("missing_count") * 100.0 / F.col("_n") > max_missing_rate * 100).alias("high_missing"))
 
 
-def missing_totals(df: DataFrame) -> DataFrame:
-    """A1 totals: missing cells, overall percent, columns with any missing."""
-    cols = df.columns
+def missing_totals(df: DataFrame, by: str | None = None) -> DataFrame:
+    """A1 totals: missing cells, overall percent, columns with any missing
+    (per value of ``by``, which is then no cell)."""
+    cols = [c for c in df.columns if c != by]
     per = [F.count_if(_missing(df, c)) for c in cols]
-    return df.agg(F.count(F.lit(1)).alias("n"), *[p.alias(f"m{i}") for i, p in enumerate(per)]).select(
-        F.col("n").alias("total_rows"), F.lit(len(cols)).alias("total_columns"),
+    keys = [by] if by else []
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[p.alias(f"m{i}") for i, p in enumerate(per)]).select(
+        *keys, F.col("n").alias("total_rows"), F.lit(len(cols)).alias("total_columns"),
         reduce(lambda a, b: a + b, [F.col(f"m{i}") for i in range(len(cols))]).alias("total_missing_cells"),
         reduce(lambda a, b: a + b, [(F.col(f"m{i}") > 0).cast("int") for i in range(len(cols))])
         .alias("columns_with_missing"))
 
 
 # ------------------------------------------------------------------ A2
-def duplicate_profile(df: DataFrame, max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"]) -> DataFrame:
-    """A2: rows equal to an earlier row on all columns (NULL equals NULL):
-    count(*) - count(distinct row); partial aggregation dedups map-side."""
+def row_hash(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row, as two longs; equal rows have equal ones.
+    (Missing values leave a hash as it is, so where they stand is hashed too.)"""
+    cols = [F.col(c) for c in df.columns]
+    return [F.xxhash64(*cols), F.xxhash64(F.array(*[c.isNull() for c in cols]), *reversed(cols), F.lit(1))]
+
+
+def repeated_rows(df: DataFrame, by: str | None = None, hashes: Callable[[DataFrame], list[Column]] = row_hash) -> DataFrame:
+    """Rows that equal an earlier row on all columns (NULL equals NULL), per
+    value of ``by``: duplicate_rows, one row per value that has any.
+
+    Two hashes of 64 bits are grouped instead of the rows; only rows whose
+    hashes repeat are compared in full, so that equal hashes of different rows
+    are no duplicates.  Their keys are written: Spark broadcasts them if small.
+    """
+    keys = [by] if by else []
+    marks = [h.alias(f"_h{i}") for i, h in enumerate(hashes(df))]
+    named = [f"_h{i}" for i in range(len(marks))]
+    more = materialize(df.select(*keys, *marks).groupBy(*keys, *named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-hashes")
+    rows = more.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
+    again = df.select("*", *marks).join(more.select(*keys, *named), [*keys, *named], "left_semi").select(*df.columns)
+    different = again.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_different"))
+    if by:
+        return rows.join(different, by).select(by, (F.col("_rows") - F.col("_different")).alias("duplicate_rows"))
+    return combine_rows(rows, different).select(F.coalesce(F.col("_rows") - F.col("_different"), F.lit(0)).alias("duplicate_rows"))
+
+
+def duplicate_profile(df: DataFrame, max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"],
+                      hashes: Callable[[DataFrame], list[Column]] = row_hash) -> DataFrame:
+    """A2: rows equal to an earlier row on all columns (NULL equals NULL)."""
     total = df.agg(F.count(F.lit(1)).alias("total_rows"))
-    distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return combine_rows(total, distinct).select(
-        "total_rows", (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"),
-        ((F.col("total_rows") - F.col("distinct_rows")) * 100.0 / F.col("total_rows")).alias("duplicate_rate_percent"),
+    return combine_rows(total, repeated_rows(df, hashes=hashes)).select(
+        "total_rows", "duplicate_rows",
+        F.try_divide(F.col("duplicate_rows") * 100.0, F.col("total_rows")).alias("duplicate_rate_percent"),
     ).withColumn("exceeds_threshold", F.col("duplicate_rate_percent") > max_duplicate_rate * 100)
 
 
 # ------------------------------------------------------------------ A3 / A8
+def _double(c) -> Column:
+    return F.col(c).cast("double")
+
+
+def outlier_bounds(quartiles: list[float | None]) -> tuple[float | None, float | None]:
+    """[Q1 - 1.5 IQR, Q3 + 1.5 IQR]; open where there are no values."""
+    q1, q3 = (quartiles or [None, None])[:2]
+    return (None, None) if q1 is None or q3 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+
+
+def _outside(v: Column, bounds: tuple[float | None, float | None]) -> Column:
+    lo, hi = (F.lit(b).cast("double") for b in bounds)
+    return (v < lo) | (v > hi)
+
+
 def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool = False,
-                min_values: int = 10, rate_base: str = "rows") -> DataFrame:
+                min_values: int = 10, rate_base: str = "rows", stored: bool = False) -> DataFrame:
     """A3 (rate_base='rows': rate over all rows) / A8 IQR (rate_base='values':
     over non-missing values): Q1/Q3 linear, outside [Q1-1.5 IQR, Q3+1.5 IQR]
-    strictly; columns with fewer than ``min_values`` values are skipped."""
+    strictly; columns with fewer than ``min_values`` values are skipped.  The
+    numeric columns are written once (unless ``df`` is a ``stored`` table)."""
     cols = cols or numeric_columns(df)
-    quartiles = [F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], 100 * ACCURACY).alias(f"q__{i}") for i, c in enumerate(cols)]
-    # one row of numbers -> literal bounds in the counting pass
-    qv = scalars(df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"nn__{i}") for i, c in enumerate(cols)],
-                        *(quartiles if approx else ())))
-    if not approx:
-        qs = exact_quantiles(df, cols, [0.25, 0.75])
-        qv |= {f"q__{i}": qs[c] for i, c in enumerate(cols)}
-    lo, hi = [], []
-    for i in range(len(cols)):
-        q1, q3 = (qv[f"q__{i}"] or [None, None])[:2]
-        lo.append(None if q1 is None else q1 - 1.5 * (q3 - q1))
-        hi.append(None if q3 is None else q3 + 1.5 * (q3 - q1))
+    if not stored:
+        df = materialize(df.select(*[_double(c).alias(c) for c in cols]), "outlier-input")
+    if approx:
+        got = scalars(df.agg(*[F.percentile_approx(_double(c), [0.25, 0.75], 100 * ACCURACY).alias(f"q{i}") for i, c in enumerate(cols)]))
+        quartiles = {c: got[f"q{i}"] for i, c in enumerate(cols)}
+    else:
+        quartiles = exact_quantiles(df, cols, [0.25, 0.75], stored=True)
+    bounds = {c: outlier_bounds(quartiles[c]) for c in cols}
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                     *[F.count_if(_outside(_double(c), bounds[c])).alias(f"o{i}") for i, c in enumerate(cols)])
     lit = lambda v: F.lit(v).cast("double")
-    counted = df.agg(*[F.count_if((F.col(c).cast("double") < lit(lo[i])) | (F.col(c).cast("double") > lit(hi[i])))
-                       .alias(f"o{i}") for i, c in enumerate(cols)])
-    structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"o{i}").alias("outlier_count"),
-                        F.lit(qv[f"nn__{i}"]).cast("long").alias("total_values"), lit(lo[i]).alias("lower_bound"),
-                        lit(hi[i]).alias("upper_bound"), F.lit(qv["_n"]).cast("long").alias("_rows"))
+    structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"o{i}").alias("outlier_count"), F.col(f"n{i}").alias("total_values"),
+                        lit(bounds[c][0]).alias("lower_bound"), lit(bounds[c][1]).alias("upper_bound"), F.col("_rows"))
                for i, c in enumerate(cols)]
     out = counted.select(F.explode(F.array(*structs)).alias("r")).select("r.*").where(F.col("total_values") >= min_values)
     base = F.col("_rows") if rate_base == "rows" else F.col("total_values")
@@ -106,6 +147,21 @@ def outlier_iqr(df: DataFrame, cols: list[str] | None = None, approx: bool = Fal
                       (F.col("outlier_count") * scale / base).alias("outlier_rate"))
 
 
+def outlier_totals(df: DataFrame, cols: list[str], by: str, values: list, min_values: int = 10) -> DataFrame:
+    """A3 per group: outliers over all columns (``by``, total_outliers), with
+    each group's own quartiles, found for all groups at once.  ``df`` is a
+    written table; ``values`` are the groups."""
+    parts = [((v, c), F.when(F.col(by) == F.lit(v), _double(c))) for v in values for c in cols]
+    quartiles = exact_quantiles(df, parts, [0.25, 0.75], stored=True)
+    marked = [F.struct(F.count(part).alias("n"), F.count_if(_outside(part, outlier_bounds(quartiles[name]))).alias("o")).alias(f"s{i}")
+              for i, (name, part) in enumerate(parts)]
+    row = df.agg(*marked).first()       # a count per group and column
+    total = {v: 0 for v in values}
+    for i, ((v, _), _) in enumerate(parts):
+        total[v] += row[f"s{i}"]["o"] if row[f"s{i}"]["n"] >= min_values else 0
+    return df.sparkSession.createDataFrame(list(total.items()), f"{by} {df.schema[by].dataType.simpleString()}, total_outliers long")
+
+
 def outlier_zscore(df: DataFrame, cols: list[str] | None = None, z: float = 3.0) -> DataFrame:
     """A8 z-score: |x - mean| / sample std > z; rate over non-missing values."""
     cols = cols or numeric_columns(df)
@@ -150,6 +206,24 @@ def type_profile(df: DataFrame, share: float = 0.8) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A5
+def _score(totals: DataFrame, max_missing_rate: float, max_duplicate_rate: float, max_outlier_rate: float, min_quality_score: float,
+           keys: tuple[str, ...] = ()) -> DataFrame:
+    """The weighted score from total_rows, total_columns, total_missing_cells,
+    duplicate_rows and total_outliers."""
+    cells = F.col("total_rows") * F.col("total_columns")
+    miss = F.try_divide(F.col("total_missing_cells"), cells)
+    dup = F.try_divide(F.col("duplicate_rows") * 100.0, F.col("total_rows")) / 100.0
+    out = F.try_divide(F.col("total_outliers"), cells)
+    score = (0.3 * F.greatest(F.lit(0.0), 1 - miss / max_missing_rate)
+             + 0.2 * F.greatest(F.lit(0.0), 1 - dup / max_duplicate_rate)
+             + 0.2 * F.greatest(F.lit(0.0), 1 - out / max_outlier_rate)
+             + 0.3 * (1 - miss / 2))
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
+    return totals.select(*keys, "total_rows", "total_columns", "total_missing_cells", "duplicate_rows", "total_outliers",
+                         (miss * 100).alias("missing_percentage_overall"), (out * 100).alias("overall_outlier_rate_percent"),
+                         score.alias("quality_score")).withColumn("passed_validation", F.col("quality_score") >= min_quality_score)
+
+
 def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx: bool = False,
                   max_missing_rate: float = QUALITY_DEFAULTS["max_missing_rate"],
                   max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"],
@@ -157,30 +231,27 @@ def quality_score(df: DataFrame, outlier_cols: list[str] | None = None, approx:
                   min_quality_score: float = QUALITY_DEFAULTS["min_quality_score"]) -> DataFrame:
     """A5: .3 max(0, 1 - miss/maxmiss) + .2 max(0, 1 - dup/maxdup)
     + .2 max(0, 1 - out/maxout) + .3 (1 - miss/2), clamped to [0, 1];
-    rates as fractions of cells (missing, outliers) and rows (duplicates)."""
-    n_cols = len(df.columns)
-    m = scalars(missing_totals(df))
-    dp = df.distinct().agg(F.count(F.lit(1)).alias("_distinct"))
-    oc = outlier_iqr(df, outlier_cols, approx).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
-    j = combine_rows(dp, oc).select(
-        F.lit(m["total_rows"]).cast("long").alias("total_rows"), F.lit(n_cols).alias("total_columns"),
-        F.lit(m["total_missing_cells"]).cast("long").alias("total_missing_cells"),
-        (F.lit(m["total_rows"]) - F.col("_distinct")).alias("duplicate_rows"),
-        (((F.lit(m["total_rows"]) - F.col("_distinct")) * 100.0 / F.lit(m["total_rows"])).alias("duplicate_rate_percent")),
-        "total_outliers")
-    cells = F.col("total_rows") * n_cols
-    miss = F.col("total_missing_cells") / cells
-    dup = F.col("duplicate_rate_percent") / 100.0
-    out = F.col("total_outliers") / cells
-    score = (0.3 * F.greatest(F.lit(0.0), 1 - miss / max_missing_rate)
-             + 0.2 * F.greatest(F.lit(0.0), 1 - dup / max_duplicate_rate)
-             + 0.2 * F.greatest(F.lit(0.0), 1 - out / max_outlier_rate)
-             + 0.3 * (1 - miss / 2))
-    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
-    return j.select("total_rows", "total_columns", "total_missing_cells", "duplicate_rows", "total_outliers",
-                    (miss * 100).alias("missing_percentage_overall"),
-                    (out * 100).alias("overall_outlier_rate_percent"),
-                    score.alias("quality_score")).withColumn("passed_validation", F.col("quality_score") >= min_quality_score)
+    rates as fractions of cells (missing, outliers) and rows (duplicates).
+    The rows are computed and written once; every figure reads that table."""
+    df = materialize(df, "quality-input")
+    found = outlier_iqr(df, outlier_cols, approx, stored=True).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("total_outliers"))
+    return _score(combine_rows(missing_totals(df), repeated_rows(df), found), max_missing_rate, max_duplicate_rate, max_outlier_rate, min_quality_score)
+
+
+def quality_scores(df: DataFrame, by: str, values: list, max_missing_rate: float = QUALITY_DEFAULTS["max_missing_rate"],
+                   max_duplicate_rate: float = QUALITY_DEFAULTS["max_duplicate_rate"],
+                   max_outlier_rate: float = QUALITY_DEFAULTS["max_outlier_rate"],
+                   min_quality_score: float = QUALITY_DEFAULTS["min_quality_score"], stored: bool = False) -> DataFrame:
+    """A5 of every group in ``values`` of ``by`` (a row each, 0 rows: missing
+    score), each figure from one grouped pass for all groups."""
+    df = df if stored else materialize(df, "quality-input")
+    kind = df.schema[by].dataType.simpleString()
+    groups = df.sparkSession.createDataFrame([(v,) for v in values], f"{by} {kind}")
+    own = df.where(F.col(by).isin(list(values)))
+    cols = [c for c in numeric_columns(df) if c != by]
+    totals = (groups.join(missing_totals(own, by), by, "left").join(repeated_rows(own, by), by, "left")
+              .join(outlier_totals(own, cols, by, list(values)), by, "left").na.fill(0, ["total_rows", "duplicate_rows", "total_outliers"]))
+    return _score(totals, max_missing_rate, max_duplicate_rate, max_outlier_rate, min_quality_score, (by,))
 
 
 # ------------------------------------------------------------------ A7
@@ -191,11 +262,11 @@ def quality_rules(df: DataFrame, name: str = "dataset",
     """score = (1 - missing rate)(1 - duplicate rate) and rule results
     (errors / warnings as '; '-joined text, empty when none)."""
     cols = df.columns
+    df = materialize(df, "rules-input")
     mp = missing_profile(df, max_missing_rate)
     bad = mp.where(F.col("missing_pct") > max_missing_rate * 100).agg(F.sort_array(F.collect_list("column_name")).alias("bad_cols"))
     mt = missing_totals(df)
-    dp = duplicate_profile(df).select("duplicate_rows")
-    j = combine_rows(mt, dp, bad)
+    j = combine_rows(mt, repeated_rows(df), bad)
     cells = F.col("total_rows") * len(cols)
     miss = F.when(cells > 0, F.col("total_missing_cells") / cells).otherwise(0.0)
     dup = F.when(F.col("total_rows") > 0, F.col("duplicate_rows") / F.col("total_rows")).otherwise(0.0)
@@ -280,6 +351,7 @@ def binned_aggregate(df: DataFrame, col: str, value: str, bins: int = 10) -> Dat
     """Equal-width bins of ``col`` over [min, max] (the minimum lands in
     bin 1, the maximum in the last), with count / mean / std / min / max /
     median of ``value`` per bin."""
+    df = materialize(df.select(*dict.fromkeys([col, value])), "binned-input")
     mm = scalars(df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi")))
     lo, hi = F.lit(mm["_lo"]).cast("double"), F.lit(mm["_hi"]).cast("double")
     width = (hi - lo) / bins

@@ -1,95 +1,133 @@
 """Exact quantiles at any size (linear interpolation, as ``percentile``).
 
 Spark's exact ``percentile`` keeps every distinct value of a column in one
-aggregation buffer.  Here a mergeable approximate sketch gives a bracket for
-each needed rank, one aggregate counts the values below and inside every
-bracket (a bracket that misses its rank is widened, in the end to all values),
-and the values inside are counted per distinct value in a grouped aggregate, of
-which a running count reads the rank off.  Only one row per rank comes to the
-driver.  Values are ordered as Spark orders doubles: -inf first, inf, then NaN.
+aggregation buffer.  Here the values' ordered bits are descended instead: a
+round counts, for all columns at once, the children of the prefixes that hold
+a wanted rank (16 more bits each), and a running count over a prefix's at most
+65,536 children says which child holds the rank.  A prefix with few rows is
+read off at once, so most inputs take two rounds and none more than four.
+Neither a task's window nor the driver gets more rows than that, whatever the
+size of the table.  Values are ordered as Spark orders doubles: -inf first,
+inf, then NaN; -0.0 is 0.0.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000        # of the sketch: a bracket holds a few ten-thousandths of the rows
+from ..session import materialize
 
+ACCURACY = 10_000        # of approximate percentiles, where a caller asks for them
+ROUND_BITS = 16
+READ_OFF = 1 << ROUND_BITS
 
-def exact_quantiles(df: DataFrame, cols: list, probs: list[float], accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+_FRACTION = 52           # bits of a double's fraction; its exponent's bias is 1023
+_INFINITE = 2047 << _FRACTION
+_NAN = _INFINITE + (1 << (_FRACTION - 1))
+
+
+def ordered_bits(v: Column) -> Column:
+    """A long for each double, in the doubles' order (missing: missing).
+
+    The exponent is taken from the logarithm, corrected by comparisons with
+    powers of two; dividing by a power of two and scaling the rest to an
+    integer are exact.
+    """
+    size = F.abs(v)
+    a = F.when((size > 0) & (size < math.inf), size).otherwise(F.lit(1.0))
+    two = F.lit(2.0)
+    near = F.floor(F.log2(a))
+    below = near - (a < F.pow(two, near)).cast("int")
+    e = below + (a >= F.pow(two, below + 1)).cast("int")
+    normal = ((e + 1023) * F.lit(1 << _FRACTION) + ((a / F.pow(two, F.greatest(e, F.lit(-1022))) - 1) * float(1 << _FRACTION)).cast("long"))
+    small = (a / F.lit(math.ldexp(1.0, -1074))).cast("long")
+    bits = (F.when(F.isnan(v), F.lit(_NAN)).when(size == math.inf, F.lit(_INFINITE)).when(size == 0, F.lit(0))
+            .when(a < math.ldexp(1.0, -1022), small).otherwise(normal))
+    return F.when(v.isNotNull(), F.when(v < 0, -bits).otherwise(bits))
+
+
+def value_of(bits: int) -> float:
+    """The double that ``ordered_bits`` maps to ``bits``."""
+    size = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -size if bits < 0 else size
+
+
+def exact_quantiles(df: DataFrame, cols: list, probs: list[float], read_off: int = READ_OFF,
+                    stored: bool = False) -> dict[str, list[float | None]]:
     """{column: [quantile at each prob]} over the non-missing values; ``cols``
-    are names or (name, Column) pairs."""
+    are names or (name, Column) pairs.  The columns are written once to the
+    shared checkpoint folder, unless ``stored`` says that ``df`` is a written
+    table.  A prefix of at most ``read_off`` rows is read off at once."""
     named = [(c, F.col(c)) if isinstance(c, str) else c for c in cols]
     names = [n for n, _ in named]
-    x = [c.cast("double") for _, c in named]
-    margin = 2.0 / accuracy
-    wanted = sorted({round(min(1.0, max(0.0, p + d)), 12) for p in probs for d in (-margin, margin)})
-    first = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x)],
-                   *[F.percentile_approx(v, wanted, accuracy).alias(f"q{i}") for i, v in enumerate(x)]).first()
-    # (column, rank) -> bracket; None: open on that side
-    ranks: dict[tuple[int, int], tuple[float | None, float | None]] = {}
-    for i in range(len(x)):
-        n = first[f"n{i}"]
-        for p in probs if n else ():
-            h = (n - 1) * p
-            for r in {math.floor(h), math.ceil(h)}:
-                ranks[(i, r)] = (first[f"q{i}"][wanted.index(round(max(0.0, p - margin), 12))],
-                                 first[f"q{i}"][wanted.index(round(min(1.0, p + margin), 12))])
-    found: dict[tuple[int, int], float] = {}
-    while ranks:
-        keys = list(ranks)
-        brackets = sorted({(k[0], *ranks[k]) for k in keys}, key=str)
-        counts = df.agg(*[F.count_if(_below(x[i], lo)).alias(f"b{j}") for j, (i, lo, _) in enumerate(brackets)],
-                        *[F.count_if(_inside(x[i], lo, hi)).alias(f"c{j}") for j, (i, lo, hi) in enumerate(brackets)]).first()
-        at = {b: (counts[f"b{j}"] or 0, counts[f"c{j}"] or 0) for j, b in enumerate(brackets)}
-        good, missed = {}, {}
-        for k in keys:
-            below, held = at[(k[0], *ranks[k])]
-            if below <= k[1] < below + held:
-                good[k] = (*ranks[k], k[1] - below)
-            else:       # the sketch missed: open the side where the rank lies
-                missed[k] = (None, ranks[k][1]) if k[1] < below else (ranks[k][0], None)
-        found.update(_read_off(df, x, good))
-        ranks = missed
+    if not names or not probs:
+        return {n: [None] * len(probs) for n in names}
+    flat = df.select(*[c.cast("double").alias(f"v{i}") for i, (_, c) in enumerate(named)])
+    if not stored:
+        flat = materialize(flat, "quantile-input")
+    values = (flat.select(F.posexplode(F.array(*flat.columns)).alias("t", "v")).where(F.col("v").isNotNull())
+              .select("t", ordered_bits(F.col("v")).alias("bits")))
+    spots = _first_round(values, probs)
+    depth, sizes = ROUND_BITS, {}
+    for t, _, n, *_ in spots:
+        sizes[t] = n
+    ranks = {(t, rank): (child, left, held) for t, rank, _, child, left, held in spots}
+    while depth < 64:
+        known, depth = depth, 64 if max((held for *_, held in ranks.values()), default=0) <= read_off else depth + ROUND_BITS
+        ranks = _next_round(values, ranks, known, depth)
     out: dict[str, list[float | None]] = {}
-    for i, name in enumerate(names):
-        n = first[f"n{i}"]
+    for t, name in enumerate(names):
         out[name] = [None] * len(probs)
-        for j, p in enumerate(probs if n else ()):
-            h = (n - 1) * p
-            a, b = found[(i, math.floor(h))], found[(i, math.ceil(h))]
-            out[name][j] = a if a == b or h == math.floor(h) else a + (h - math.floor(h)) * (b - a)
+        for j, p in enumerate(probs if t in sizes else ()):
+            low, high, share = _places(sizes[t], p)
+            a, b = (value_of(ranks[t, r][0]) for r in (low, high))
+            out[name][j] = a if a == b or not share else a + share * (b - a)
     return out
 
 
-def _below(v: Column, lo: float | None) -> Column:
-    return F.lit(False) if lo is None else v < F.lit(lo)
+def _places(n: int, p: float) -> tuple[int, int, float]:
+    h = (n - 1) * p
+    return math.floor(h), math.ceil(h), h - math.floor(h)
 
 
-def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
-    c = v.isNotNull()
-    c = c if lo is None else c & (v >= F.lit(lo))
-    return c if hi is None else c & (v <= F.lit(hi))
+def _first_round(values: DataFrame, probs: list[float]) -> list[tuple]:
+    """(t, rank, rows of t, child, rank inside the child, its rows) of the ranks
+    around each prob."""
+    w = Window.partitionBy("t")
+    counted = (values.groupBy("t", F.shiftright("bits", 64 - ROUND_BITS).alias("child")).agg(F.count(F.lit(1)).alias("held"))
+               .withColumn("upto", F.sum("held").over(w.orderBy("child"))).withColumn("n", F.sum("held").over(w)))
+    h = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    wanted = F.array_distinct(F.array(*[f(x).cast("long") for x in h for f in (F.floor, F.ceil)]))
+    before = F.col("upto") - F.col("held")
+    rows = counted.withColumn("rank", F.explode(F.filter(wanted, lambda r: (r >= before) & (r < F.col("upto"))))).collect()
+    return [(r["t"], r["rank"], r["n"], r["child"], r["rank"] - (r["upto"] - r["held"]), r["held"]) for r in rows]
 
 
-def _read_off(df: DataFrame, x: list[Column], ranks: dict) -> dict:
-    """The value at each rank (counted from its bracket's first value)."""
+def _next_round(values: DataFrame, ranks: dict, known: int, depth: int) -> dict:
+    """Each rank's child of ``depth`` bits, inside its prefix of ``known``."""
     if not ranks:
-        return {}
-    brackets = sorted({(k[0], lo, hi) for k, (lo, hi, _) in ranks.items()}, key=str)
-    parts = F.array(*[F.when(_inside(x[i], lo, hi), F.struct(F.lit(j).alias("t"), x[i].alias("v"))) for j, (i, lo, hi) in enumerate(brackets)])
-    counted = (df.select(F.explode(F.filter(parts, lambda s: s.isNotNull())).alias("s"))
-               .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    spots = F.array(*[F.struct(F.lit(brackets.index((k[0], lo, hi))).alias("t"), F.lit(k[1]).cast("long").alias("rank"), F.lit(r).cast("long").alias("r"))
-                      for k, (lo, hi, r) in ranks.items()])
-    upto = F.sum("n").over(Window.partitionBy("t").orderBy("v"))
-    hits = (counted.withColumn("upto", upto)
-            .withColumn("spot", F.explode(F.filter(spots, lambda s: (s["t"] == F.col("t")) & (s["r"] >= F.col("upto") - F.col("n")) & (s["r"] < F.col("upto")))))
-            .select("t", "v", F.col("spot.rank").alias("rank")).collect())
-    return {(brackets[h["t"]][0], h["rank"]): h["v"] for h in hits}
+        return ranks
+    spark = values.sparkSession
+    inside: dict[tuple[int, int], list] = {}
+    for (t, rank), (prefix, left, _) in ranks.items():
+        inside.setdefault((t, prefix), []).append((rank, left))
+    # a row per column and wanted prefix: at most two per prob
+    wanted = spark.createDataFrame([(t, p, spots) for (t, p), spots in inside.items()],
+                                   "t int, prefix long, spots array<struct<rank:long,left:long>>")
+    prefixed = values.withColumn("prefix", F.shiftright("bits", 64 - known))
+    child = F.col("bits") if depth == 64 else F.shiftright("bits", 64 - depth)
+    counted = (prefixed.join(F.broadcast(wanted.select("t", "prefix")), ["t", "prefix"], "left_semi")
+               .groupBy("t", "prefix", child.alias("child")).agg(F.count(F.lit(1)).alias("held"))
+               .withColumn("upto", F.sum("held").over(Window.partitionBy("t", "prefix").orderBy("child"))))
+    before = F.col("upto") - F.col("held")
+    rows = (counted.join(F.broadcast(wanted), ["t", "prefix"])
+            .withColumn("spot", F.explode(F.filter("spots", lambda s: (s["left"] >= before) & (s["left"] < F.col("upto")))))
+            .select("t", "spot.rank", "child", (F.col("spot.left") - before).alias("left"), "held").collect())
+    return {(r["t"], r["rank"]): (r["child"], r["left"], r["held"]) for r in rows}
 
 
 def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:

@@ -68,7 +68,8 @@ class FeaturePlan:
         ensure_checkpoint_dir(train.sparkSession)
         train = materialize(drop_leaking(train), "fit-input")
         fitted = self.fit_categories(train)
-        raw = fitted.raw_features(train)
+        # the feature expressions are evaluated once; all later fits read columns
+        raw = materialize(fitted.raw_features(train), "fit-features")
         names = [c for c in raw.columns if c not in fitted.keep_cols(train)]
         if self.missing_strategy == "drop":
             imputer = FittedImputer("drop")

@@ -43,12 +43,14 @@ class RunConfig:
     stop_at_model_gate: bool = False   # A14 raises instead of only reporting
 
 
-def quality_gate(df: DataFrame, min_score: float) -> DataFrame:
-    """Quality score per split; raise when any split fails."""
-    rows = []
-    for split in ("train", "validation", "backtest"):
-        r = qa.quality_score(df.where(F.col("split") == split).drop("split")).first()
-        rows.append((split, float(r["quality_score"]), bool(r["quality_score"] >= min_score)))
+def quality_gate(df: DataFrame, min_score: float, stored: bool = False) -> DataFrame:
+    """Quality score per split, from one grouped pass per figure; raise
+    when any split fails (one without rows does)."""
+    splits = ["train", "validation", "backtest"]
+    rows = [(r["split"], None if r["quality_score"] is None else float(r["quality_score"]),
+             r["quality_score"] is not None and bool(r["quality_score"] >= min_score))
+            for r in qa.quality_scores(df, "split", splits, stored=stored).collect()]
+    rows.sort(key=lambda r: splits.index(r[0]))
     failed = [s for s, _, ok in rows if not ok]
     if failed:
         raise QualityGateError(f"quality gate failed for {failed}")
@@ -83,7 +85,7 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
     # labels feed the gate, the fit, the transform, the selection and the backtest
     lab = step("labels", lambda: materialize(labelled_loans(spark, sf_dir), "labelled"))
     if cfg.gate:
-        out["quality_gate"] = step("quality_gate", lambda: quality_gate(lab.drop("label"), cfg.min_quality_score))
+        out["quality_gate"] = step("quality_gate", lambda: quality_gate(lab.drop("label"), cfg.min_quality_score, stored=True))
     fitted = step("features", lambda: cfg.features.fit(lab.where(F.col("split") == "train")))
     mat = step("matrix", lambda: materialize(fitted.assemble(fitted.transform(lab)).select("id", "data_quarter", "split", "label", "features"),
                                              "run-features"))
