@@ -46,21 +46,29 @@ def _rule(cond: Column, message: str) -> Column:
     return F.when(F.coalesce(cond, F.lit(False)), F.lit(message))
 
 
+#: amounts and counts that a loan row may lack but that are never negative
+NON_NEGATIVE = ("annual_inc", "dti", "delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal", "total_acc",
+                "mths_since_last_delinq", "mths_since_last_record", "annual_inc_joint", "dti_joint", "acc_now_delinq", "tot_coll_amt",
+                "tot_cur_bal", "collections_12_mths_ex_med", "mths_since_last_major_derog", "open_acc_6m", "open_act_il", "open_il_12m",
+                "open_il_24m", "mths_since_rcnt_il", "total_bal_il", "il_util")
+
+
 def constraint_violations(df_cols: set[str], rate_is_fraction: bool = True) -> Column:
     """Array of violated rule names (empty = valid row).
 
     Rules of the typed loan row: amounts > 0, rate in [0, 100 %], term in
     {36, 60}, FICO 300-850 with high >= low, zip length 5, state length 2,
-    non-negative counts, enum membership, joint-field consistency.  Rules on
+    non-negative counts and balances, enum membership, joint-field
+    consistency; id, issue date, zip and state are not missing.  Rules on
     absent columns are skipped.
     """
     rules = []
     has = df_cols.__contains__
     rate_max = 1.0 if rate_is_fraction else 100.0
     if has("funded_amnt"):
-        rules.append(_rule(~(F.col("funded_amnt") > 0), "funded_amnt_not_positive"))
+        rules.append(_rule(~F.coalesce(F.col("funded_amnt") > 0, F.lit(False)), "funded_amnt_not_positive"))
     if has("installment"):
-        rules.append(_rule(~(F.col("installment") > 0), "installment_not_positive"))
+        rules.append(_rule(~F.coalesce(F.col("installment") > 0, F.lit(False)), "installment_not_positive"))
     if has("int_rate"):
         rules.append(_rule(F.col("int_rate").isNull(), "int_rate_missing"))
         rules.append(_rule((F.col("int_rate") < 0) | (F.col("int_rate") > rate_max), "int_rate_out_of_range"))
@@ -80,8 +88,10 @@ def constraint_violations(df_cols: set[str], rate_is_fraction: bool = True) -> C
         rules.append(_rule(F.length("zip_code") != 5, "zip_code_length"))
     if has("addr_state"):
         rules.append(_rule(F.length("addr_state") != 2, "addr_state_length"))
-    for c in ("annual_inc", "dti", "delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec",
-              "revol_bal", "total_acc"):
+    for c in ("id", "issue_d", "zip_code", "addr_state"):
+        if has(c):
+            rules.append(_rule(F.col(c).isNull(), f"{c}_missing"))
+    for c in NON_NEGATIVE:
         if has(c):
             rules.append(_rule(F.col(c) < 0, f"{c}_negative"))
     if has("revol_util"):
@@ -100,6 +110,7 @@ def constraint_violations(df_cols: set[str], rate_is_fraction: bool = True) -> C
             if has("dti_joint"):
                 joint_any = joint_any | (F.coalesce(F.col("dti_joint"), F.lit(0)) != 0)
             if has("verification_status_joint"):
+                rules.append(_rule(~F.col("verification_status_joint").isin(VERIFICATION_STATUSES), "verification_status_joint_invalid"))
                 joint_any = joint_any | (F.coalesce(F.col("verification_status_joint"), F.lit("")) != "")
             rules.append(_rule((app == "Individual") & joint_any, "individual_with_joint_fields"))
     return F.filter(F.array(*rules), lambda x: x.isNotNull()) if rules else F.array().cast("array<string>")

@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .metrics import expected_calibration_error, reliability_curve, score_summary
+from ..functions.rows import is_well_calibrated
+from ..session import materialize
+from .isotonic import IsotonicModel
+from .metrics import reliability_curve, uniform_bin
 
 
 def _vec(df: DataFrame, col: str) -> DataFrame:
@@ -47,12 +49,11 @@ class IsotonicCalibrator:
 
     def fit(self, val: DataFrame, margin: str = "margin", label: str = "label") -> "IsotonicCalibrator":
         self.margin = margin
-        self.model = IsotonicRegression(featuresCol="_x", labelCol=label, predictionCol="_iso",
-                                        isotonic=True).fit(_vec(val, margin))
+        self.model = IsotonicModel.fit(val, margin, label)
         return self
 
     def transform(self, df: DataFrame, out: str = "p_cal") -> DataFrame:
-        return self.model.transform(_vec(df, self.margin)).drop("_x").withColumnRenamed("_iso", out)
+        return df.withColumn(out, self.model.predict(self.margin))
 
 
 def calibration_slope(df: DataFrame, p: str = "p", label: str = "label", eps: float = 1e-15) -> tuple[float, float]:
@@ -68,19 +69,25 @@ def calibration_slope(df: DataFrame, p: str = "p", label: str = "label", eps: fl
 
 def calibration_report(df: DataFrame, raw: str = "p", cal: str = "p_cal", label: str = "label") -> DataFrame:
     """Brier and ECE before / after, improvements, slope / intercept of
-    the calibrated scores (one row)."""
-    def brier(col):
-        return score_summary(df, label, col).select(F.col("brier_score"))
-    b0, b1 = brier(raw).first()[0], brier(cal).first()[0]
-    e0 = expected_calibration_error(df, label, raw).first()[0]
-    e1 = expected_calibration_error(df, label, cal).first()[0]
-    slope, intercept = calibration_slope(df, cal, label)
-    spark = df.sparkSession
-    return spark.createDataFrame([(b0, b1, b0 - b1, e0, e1, e0 - e1, slope, intercept,
-                                   abs(slope - 1) < 0.2 and abs(intercept) < 0.1)],
-                                 "original_brier_score double, calibrated_brier_score double, brier_score_improvement double, "
-                                 "original_ece double, calibrated_ece double, ece_improvement double, "
-                                 "calibration_slope double, calibration_intercept double, is_well_calibrated boolean")
+    the calibrated scores (one row).  The three columns are written once; one
+    grouped pass over (scores, bin) gives all sums."""
+    df = materialize(df.select(F.col(label).cast("double").alias("y"), F.col(raw).cast("double").alias("raw"), F.col(cal).cast("double").alias("cal")),
+                     "calibration-input")
+    both = F.array(*[F.struct(F.lit(c).alias("scores"), F.col(c).alias("p")) for c in ("raw", "cal")])
+    bins = (df.select("y", F.explode(both).alias("r")).select("y", "r.*").where(F.col("p").isNotNull())
+            .groupBy("scores", F.when(F.col("p") > 0, uniform_bin(F.col("p"))).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"), F.sum("p").alias("p"), F.sum((F.col("p") - F.col("y")) ** 2).alias("squares")))
+    per = (bins.groupBy("scores").agg(
+        (F.sum("squares") / F.sum("n")).alias("brier"),
+        (F.sum(F.when(F.col("bin").isNotNull(), F.abs(F.col("p") - F.col("y")))) / F.sum("n")).alias("ece"))
+        .groupBy().pivot("scores", ["raw", "cal"]).agg(F.first("brier").alias("brier"), F.first("ece").alias("ece")))
+    slope, intercept = calibration_slope(df, "cal", "y")
+    return per.select(
+        F.col("raw_brier").alias("original_brier_score"), F.col("cal_brier").alias("calibrated_brier_score"),
+        (F.col("raw_brier") - F.col("cal_brier")).alias("brier_score_improvement"),
+        F.col("raw_ece").alias("original_ece"), F.col("cal_ece").alias("calibrated_ece"), (F.col("raw_ece") - F.col("cal_ece")).alias("ece_improvement"),
+        F.lit(slope).alias("calibration_slope"), F.lit(intercept).alias("calibration_intercept"),
+        is_well_calibrated(F.lit(slope), F.lit(intercept)).alias("is_well_calibrated"))
 
 
 def calibration_curves(df: DataFrame, raw: str = "p", cal: str = "p_cal", label: str = "label") -> DataFrame:

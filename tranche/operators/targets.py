@@ -51,14 +51,19 @@ def match_outcomes(listing: DataFrame, outcomes: DataFrame, window_months: int |
 
 
 def match_outcomes_by_split(listing: DataFrame, outcomes: DataFrame, windows: dict[str, int | None],
-                            split_col: str = "split", label: str = "label") -> DataFrame:
-    """J2 + J3 per split: each split has its own observation window; the
-    (split, window) table is bounded by the number of splits and broadcast."""
+                            split_col: str = "split", label: str = "label",
+                            outcome_quarters: dict[str, list[str]] | None = None) -> DataFrame:
+    """J2 + J3 per split: each split has its own observation window (months
+    after issue) and, with ``outcome_quarters``, its own quarters in which
+    observations count (a split without an entry: all).  Both tables are
+    bounded by the number of splits and quarters and broadcast."""
     spark = listing.sparkSession
-    win = spark.createDataFrame([(k, v) for k, v in windows.items()], f"{split_col} string, _win int")
+    quarters = outcome_quarters or {}
+    win = spark.createDataFrame([(k, v, quarters.get(k)) for k, v in windows.items()], f"{split_col} string, _win int, _quarters array<string>")
     issued = listing.select("id", split_col, F.col("issue_d").alias("_issue_d")).join(F.broadcast(win), split_col)
     obs = (outcomes.join(issued, "id")
-           .where(F.col("_win").isNull() | (F.col("outcome_date") >= F.expr("add_months(_issue_d, _win)"))))
+           .where(F.col("_win").isNull() | (F.col("outcome_date") >= F.expr("add_months(_issue_d, _win)")))
+           .where(F.col("_quarters").isNull() | F.array_contains("_quarters", F.col("outcome_quarter"))))
     last = latest_outcome(obs)
     return (listing.join(last, "id", "left")
             .withColumn("censored", F.col("outcome_flag").isNull())

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_portfolio", "q_quality", "q_features", "q_metrics", "q_models", "q_extra"]
+_MODULES = ["q_portfolio", "q_quality", "q_features", "q_metrics", "q_models", "q_extra", "q_cleaner", "q_survival"]
 
 
 def load() -> tuple[dict, dict]:

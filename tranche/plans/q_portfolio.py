@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import portfolio as pf
 from ..sources.loans import loan_table
+from ..sources.tables import table
 from .registry import register, rounded
-from .views import with_views
+from .views import LOANS_SQL, with_views
 
 POLICY = pf.PortfolioPolicy()
 
@@ -185,6 +186,22 @@ def q_candidates(spark, sf):
         pf.risk_filter_reason(POLICY).alias("reason")))
 
 
+@register("candidates_scored", with_views("""
+SELECT c.data_quarter, c.loan_id, CAST(c.loan_amount AS DOUBLE) AS loan_amount, round(s.score, 6) AS default_probability,
+ round((1 - s.score) * c.interest_rate - s.score * 0.7e0, 6) AS expected_return, c.risk_grade,
+ CASE WHEN s.score > 0.25e0 THEN 'default_probability' WHEN (1 - s.score) * c.interest_rate - s.score * 0.7e0 < 0.05e0 THEN 'expected_return'
+  WHEN c.loan_amount <= 0 THEN 'loan_amount' END AS reason
+FROM cand c JOIN scores s ON c.loan_id = s.id""", LOANS_SQL, CAND_SQL, """
+scores AS (SELECT l_orderkey AS id, AVG(l_discount + l_tax) / 3e0 AS score FROM lineitem GROUP BY l_orderkey)"""))
+def q_candidates_scored(spark, sf):
+    """F5 + J5: candidates from a score table of its own, joined on the id;
+    loans without a score are left out."""
+    scores = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg((F.avg(F.col("l_discount") + F.col("l_tax")) / 3).alias("pd"))
+    c = pf.candidates(loan_table(spark, sf), scores, POLICY)
+    return rounded(c.select("data_quarter", "loan_id", F.col("loan_amount").cast("double").alias("loan_amount"), "default_probability",
+                            "expected_return", "risk_grade", pf.risk_filter_reason(POLICY).alias("reason")))
+
+
 @register("risk_filter_reasons", with_views("""
 SELECT data_quarter, COALESCE(reason, 'passed') AS reason, COUNT(*) AS n FROM cand GROUP BY ALL""", *_views()))
 def q_risk_filter(spark, sf):

@@ -442,6 +442,26 @@ def q_target_split_windows(spark, sf):
         .select("id", "data_quarter", "last_outcome_date", "censored", "label")
 
 
+OUTCOME_QUARTERS = {"train": [f"{y}Q{q}" for y in (1999, 2000) for q in range(1, 5)], "validation": ["2000Q3", "2000Q4", "2001Q1"],
+                    "backtest": ["2001Q2", "2001Q3", "2001Q4"]}
+_QUARTERS_SQL = " ".join(f"WHEN '{s}' THEN o.outcome_quarter IN ({', '.join(map(repr, qs))})" for s, qs in OUTCOME_QUARTERS.items())
+
+
+@register("target_outcome_quarters", with_views(f"""
+SELECT loans.id, data_quarter, last_outcome_date, outcome_flag IS NULL AS censored,
+ COALESCE(outcome_flag, 0) AS label FROM loans LEFT JOIN last ON loans.id = last.id""",
+                                                  LOANS_SQL, OUTCOMES_SQL, _LAST_SQL.format(
+        where=f"""o WHERE (SELECT outcome_date >= issue_d + to_months(CASE {SPLIT_CASE.replace('data_quarter', 'l.data_quarter')}
+          WHEN 'train' THEN 12 WHEN 'validation' THEN 6 ELSE 3 END) AND CASE {SPLIT_CASE.replace('data_quarter', 'l.data_quarter')} {_QUARTERS_SQL} END
+          FROM loans l WHERE l.id = o.id)""")))
+def q_target_outcome_quarters(spark, sf):
+    """Each split's labels from its own outcome quarters, 12 / 6 / 3 months
+    after issue."""
+    lv = with_split(loan_table(spark, sf).select("id", "data_quarter", "issue_d"))
+    return tg.match_outcomes_by_split(lv, outcome_table(spark, sf), {"train": 12, "validation": 6, "backtest": 3}, outcome_quarters=OUTCOME_QUARTERS) \
+        .select("id", "data_quarter", "last_outcome_date", "censored", "label")
+
+
 @register("target_distribution", with_views("""
 SELECT data_quarter, label, COUNT(*) AS n, round(COUNT(*) * 1.0e0 / SUM(COUNT(*)) OVER (PARTITION BY data_quarter), 6) AS share
 FROM (SELECT data_quarter, COALESCE(outcome_flag, 0) AS label FROM loans LEFT JOIN last ON loans.id = last.id)

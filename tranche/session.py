@@ -105,9 +105,9 @@ def run_intermediates():
         _CURRENT.reset(token)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", partition_by: str | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and
-    return a DataFrame reading it back.
+    return a DataFrame reading it back (in folders by ``partition_by``).
 
     This cuts the lineage (later jobs read files, not the plan), computes
     the plan exactly once (an eager ``checkpoint()`` of a DataFrame runs it
@@ -118,8 +118,9 @@ def materialize(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tranche-{name}-{uuid.uuid4().hex}"
     _CURRENT.get().paths.append(path)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    # with its schema: a table without rows has no partition folder to tell it
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
 
 
 def release_materialized(spark: SparkSession) -> int:
