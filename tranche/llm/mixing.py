@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, slices, stored, text_key
-from .quality import BUCKETS, MAX_TRAIN, _metadata, _statistics, assemble, sample_features
+from .quality import BUCKETS, MAX_TRAIN, WIDE_SLICE, _metadata, _statistics, assemble, sample_features, text_column
 
 DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = {"low_clean": 0.07, "low_toxic": 0.01, "high_clean": 0.90, "high_toxic": 0.02}
@@ -99,20 +99,20 @@ class Mixer:
 
 def with_posteriors(docs: DataFrame, mixer: Mixer, tokens: str, posterior: str, rate: str) -> DataFrame:
     """``docs`` with its words, posteriors and rate appended; a narrow map."""
-    names, temp = docs.columns, [f"__text_{rate}", f"__chars_{rate}"]
-    x = docs.withColumns({temp[0]: F.col("text").cast("string"), temp[1]: _metadata(docs)})
+    names, chars = docs.columns, f"__chars_{rate}"
+    x, text = text_column(docs, f"__text_{rate}")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{tokens}` long, `{posterior}` array<double>, `{rate}` double"
 
     def run(batches):
-        for b in slices(batches, temp[0]):
-            stats, o, k, w = _statistics(b, *temp)
+        for b in slices(batches, text, WIDE_SLICE):
+            stats, o, k, w = _statistics(b, text, chars)
             p = mixer.model.posteriors(stats, o, k, w)
             words = np.rint(np.expm1(stats[:, 1])).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(len(names))), pa.array(words), pa.array(list(p), pa.list_(pa.float64())), pa.array(mixer.rates(p))],
                 [*names, tokens, posterior, rate])
 
-    return x.mapInArrow(run, schema)
+    return x.withColumn(chars, _metadata(docs)).mapInArrow(run, schema)
 
 
 def fit_rates(members: DataFrame, mixer: Mixer, targets: np.ndarray, main_rate: float = MAIN_RATE, most_repeats: float | None = MOST_REPEATS) -> Mixer:

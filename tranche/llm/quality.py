@@ -176,20 +176,31 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
     return fit(stats, lists, (y > 0).astype(float))
 
 
+#: text bytes turned into features at a time, where whole rows ride along
+WIDE_SLICE = 512 << 10
+
+
+def text_column(docs: DataFrame, temp: str) -> tuple[DataFrame, str]:
+    """``docs`` and the name of its text as a string: the column itself where
+    it is one, so that a task never holds the texts twice."""
+    if docs.schema["text"].dataType.simpleString() == "string":
+        return docs, "text"
+    return docs.withColumn(temp, F.col("text").cast("string")), temp
+
+
 def with_scores(docs: DataFrame, fm: FactorisationMachine, out: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1 appended; a narrow map."""
-    names = docs.columns
-    temp = [f"__text_{out}", f"__chars_{out}"]
-    x = docs.withColumns({temp[0]: F.col("text").cast("string"), temp[1]: _metadata(docs)})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{out}` double"
+    names, schema = docs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{out}` double"
+    x, text = text_column(docs, f"__text_{out}")
+    chars = f"__chars_{out}"
 
     def run(batches):
-        for b in slices(batches, temp[0]):
-            stats, o, k, w = _statistics(b, *temp)
+        for b in slices(batches, text, WIDE_SLICE):
+            stats, o, k, w = _statistics(b, text, chars)
             z, _ = raw_scores(fm, len(stats), *assemble(fm.edges, stats, o, k, w))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(sigmoid(z))], [*names, out])
 
-    return x.mapInArrow(run, schema)
+    return x.withColumn(chars, _metadata(docs)).mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from .common import utf8
 
 LONGEST_RUN = 1000
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 _LOADED: dict[str, "ByteBpe"] = {}
 
 
@@ -51,10 +52,11 @@ class ByteBpe:
         data, offs = utf8(col)
         odd = np.zeros(len(texts), bool)
         odd[np.searchsorted(offs, np.flatnonzero(data >= 0xC9), side="right") - 1] = True
-        space = (data == 32) | ((data >= 9) & (data <= 13))
-        turn = np.unique(np.concatenate([[0], np.flatnonzero(space[1:] != space[:-1]) + 1, offs]))
-        long = np.flatnonzero(np.diff(turn) > LONGEST_RUN)
-        odd[np.searchsorted(offs, turn[long], side="right") - 1] = True
+        # runs are not cut at the texts' ends: one that is too long makes every text it touches odd
+        space = _SPACE[data]
+        turn = np.concatenate([[0], np.flatnonzero(space[1:] != space[:-1]) + 1, [len(data)]])
+        for k in np.flatnonzero(np.diff(turn) > LONGEST_RUN).tolist():
+            odd[np.searchsorted(offs, turn[k], side="right") - 1:np.searchsorted(offs, turn[k + 1], side="left")] = True
         return np.array([not o and not any(s in t for s in self.special) for o, t in zip(odd, texts)], bool)
 
 
