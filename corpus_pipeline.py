@@ -69,11 +69,17 @@ def no_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return without_repeats(docs)
 
 
+#: Wished shares of the expected tokens.  The first stage rejects documents of
+#: low quality, so nothing is asked of their domains: the few words that may
+#: still be theirs are brought down, not a handful of documents repeated.
+MIX = {"low_clean": 0.0, "low_toxic": 0.0, "high_clean": 0.98, "high_toxic": 0.02}
+
+
 @stage
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out by the rates that bring the domains'
-    expected tokens to the target weights."""
-    return mixed(docs, read(spark, sf_dir, "labels"))
+    expected tokens to the target weights ``MIX``."""
+    return mixed(docs, read(spark, sf_dir, "labels"), MIX)
 
 
 @stage
