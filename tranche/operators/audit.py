@@ -71,6 +71,29 @@ def characteristics(df: DataFrame, name: str) -> DataFrame:
         "content_hash")
 
 
+def column_profile(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """A15 per column: dataset, column_name, data_type, rows, missing and a
+    mergeable sketch of its distinct values, in one aggregate (one per value
+    of ``by``).  Stored with the lineage, profiles of parts or of later runs
+    are put together by ``merge_profiles`` without reading data again."""
+    cols = [f for f in df.schema.fields if f.name != by]
+    keys = [by] if by else []
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *[x for i, f in enumerate(cols) for x in (
+        F.count_if(F.col(f.name).isNull()).alias(f"m{i}"), F.hll_sketch_agg(F.col(f.name).cast("string"), 12).alias(f"s{i}"))])
+    each = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"m{i}").alias("missing"),
+                     F.col(f"s{i}").alias("sketch")) for i, f in enumerate(cols)]
+    return one.select(F.lit(name).alias("dataset"), *keys, "rows", F.explode(F.array(*each)).alias("c")).select("dataset", *keys, "rows", "c.*")
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """dataset, column_name, data_type, rows, missing, distinct_estimate and
+    the united sketch of all parts of a dataset (an estimate is within a few
+    per cent of the exact count, and exact while values are few)."""
+    return (profiles.groupBy("dataset", "column_name", "data_type")
+            .agg(F.sum("rows").alias("rows"), F.sum("missing").alias("missing"), F.hll_union_agg("sketch").alias("sketch"))
+            .withColumn("distinct_estimate", F.hll_sketch_estimate("sketch")))
+
+
 def lineage_row(spark: SparkSession, operation: str, before: DataFrame, after: DataFrame,
                 metadata: dict | None = None) -> DataFrame:
     """S7 record: characteristics before / after and the deltas."""
@@ -90,18 +113,24 @@ def append_lineage(record: DataFrame, path: str) -> None:
 
 
 # ------------------------------------------------------------------ A16
-def timed(step: str, action: Callable[[], object], log: list | None = None) -> object:
-    """Run one action (a job), recording step, seconds and status."""
+def timed(step: str, action: Callable[[], object], log: list | None = None, source: DataFrame | None = None) -> object:
+    """Run one action (a job), recording step, seconds, status, and the
+    rows of ``source`` and of the table it returns.  Both are written tables,
+    whose rows are counted from the files' footers: no second pass."""
     t0 = time.time()
-    status, err = "success", None
+    status, err, done = "success", None, None
     try:
-        return action()
+        done = action()
+        return done
     except Exception as e:  # noqa: BLE001
         status, err = "error", f"{type(e).__name__}: {e}"
         raise
     finally:
         if log is not None:
-            log.append({"step": step, "seconds": round(time.time() - t0, 3), "status": status, "error": err})
+            seconds = round(time.time() - t0, 3)
+            log.append({"step": step, "seconds": seconds, "status": status, "error": err,
+                        "rows_in": None if source is None else source.count(),
+                        "rows_out": done.count() if isinstance(done, DataFrame) else None})
 
 
 # ------------------------------------------------------------------ S8 / S9

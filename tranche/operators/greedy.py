@@ -4,8 +4,9 @@ A scan takes or skips one row after another, and a skipped row can be
 followed by one that fits, so no running sum expresses it.  A round filters
 out rows that can no longer fit, hands the first ``batch`` of the rest of each
 group to the scan's step, and stores what was taken with the position reached;
-the next round goes on from there, until every group's rows are used up.  No
-task holds more than ``batch`` rows of a group, however large the group is.
+the next round goes on from there, until every group's rows are used up.  The
+step (Python) gets at most ``batch`` rows of a group, however large the group
+is; the window before it orders at most ``salt_buckets`` times as many.
 """
 
 from __future__ import annotations

@@ -167,6 +167,36 @@ _AVAIL_COLS = ("id loan_amnt funded_amnt term int_rate installment grade sub_gra
                "emp_length_years split").split()
 
 
+_PROFILED = ("id loan_amnt term int_rate grade sub_grade annual_inc home_ownership verification_status emp_length purpose addr_state "
+             "dti delinq_2yrs inq_last_6mths open_acc total_acc pub_rec loan_status is_default").split()
+
+
+@register("column_profiles", with_views("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS missing, "
+    f"CASE WHEN COUNT(DISTINCT {c}) <= 50 THEN COUNT(DISTINCT {c}) END AS distinct_values, TRUE AS within_five_percent FROM loans" for c in _PROFILED)))
+def q_column_profiles(spark, sf):
+    """Profiles of every quarter, stored and put together: rows, missing
+    and distinct values; estimates of up to 50 values are exact, all are held
+    against the exact count."""
+    from ..operators import audit as au
+    from ..session import materialize
+    loans = loan_table(spark, sf).select("data_quarter", *_PROFILED)
+    merged = au.merge_profiles(materialize(au.column_profile(loans, "loans", "data_quarter"), "profiles"))
+    exact = loans.agg(*[F.count_distinct(c).alias(c) for c in _PROFILED]).unpivot([], _PROFILED, "column_name", "exact")
+    d = F.col("distinct_estimate")
+    return merged.join(exact, "column_name").select("column_name", "rows", "missing", F.when(d <= 50, d).alias("distinct_values"),
+                                                    (F.abs(d - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_five_percent"))
+
+
+@register("metric_variance", with_views("""
+SELECT round(var_pop(brier), 6) AS variance, var_pop(brier) < 0.05e0 AS stable FROM (
+ SELECT data_quarter, AVG((pd - label) * (pd - label)) AS brier FROM labelled GROUP BY data_quarter)""", LOANS_SQL, OUTCOMES_SQL, LABELLED_SQL))
+def q_metric_variance(spark, sf):
+    """Variance of the Brier score over the quarters, against its limit."""
+    by = mt.score_summary(labelled_loans(spark, sf).withColumnRenamed("pd", "p"), by=["data_quarter"])
+    return rounded(qa.metric_variance_rule(by, "brier_score"))
+
+
 @register("availability_rules", with_views(f"""
 SELECT round(prevalence, 6) AS prevalence, round(min_availability, 6) AS min_availability,
  prevalence >= 0.01 AS prevalence_ok, min_availability > 0.8 AS availability_ok FROM (

@@ -80,28 +80,29 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
     ensure_checkpoint_dir(spark)
     out: dict[str, DataFrame] = {}
     log: list[dict] = []
-    step = lambda name, action: au.timed(name, action, log)
+    step = lambda name, action, source=None: au.timed(name, action, log, source)
 
     # labels feed the gate, the fit, the transform, the selection and the backtest
     lab = step("labels", lambda: materialize(labelled_loans(spark, sf_dir), "labelled"))
     if cfg.gate:
-        out["quality_gate"] = step("quality_gate", lambda: quality_gate(lab.drop("label"), cfg.min_quality_score, stored=True))
-    fitted = step("features", lambda: cfg.features.fit(lab.where(F.col("split") == "train")))
+        out["quality_gate"] = step("quality_gate", lambda: quality_gate(lab.drop("label"), cfg.min_quality_score, stored=True), lab)
+    learn = lab.where(F.col("split") == "train")
+    fitted = step("features", lambda: cfg.features.fit(learn), learn)
     mat = step("matrix", lambda: materialize(fitted.assemble(fitted.transform(lab)).select("id", "data_quarter", "split", "label", "features"),
-                                             "run-features"))
+                                             "run-features"), lab)
     train = mat.where(F.col("split") == "train")
-    model = step("model", lambda: md.grid_search(train, cfg.model)[0] if cfg.search else md.train(train, cfg.model))
+    model = step("model", lambda: md.grid_search(train, cfg.model)[0] if cfg.search else md.train(train, cfg.model), train)
     scored = md.score(model, mat)
     if cfg.calibrate:
         c = (cal.PlattCalibrator() if cfg.calibrate == "platt" else cal.IsotonicCalibrator())
-        step("calibration", lambda: c.fit(scored.where(F.col("split") == "validation")))
+        step("calibration", lambda: c.fit(scored.where(F.col("split") == "validation")), mat.where(F.col("split") == "validation"))
         scored = c.transform(scored).withColumn("p", F.col("p_cal"))
-    scores = step("scores", lambda: materialize(scored.select("id", "data_quarter", "split", "label", "p"), "run-scores"))
-    metrics = step("metrics", lambda: materialize(split_metrics(scores), "run-metrics"))
+    scores = step("scores", lambda: materialize(scored.select("id", "data_quarter", "split", "label", "p"), "run-scores"), mat)
+    metrics = step("metrics", lambda: materialize(split_metrics(scores), "run-metrics"), scores)
     out["split_metrics"] = metrics
     out["model_metrics"] = metrics.where(F.col("split") == "backtest").drop("split")
     val = metrics.where(F.col("split") == "validation")
-    out["model_gate"] = step("model_gate", lambda: materialize(au.model_gate(val, val, val), "run-gate"))
+    out["model_gate"] = step("model_gate", lambda: materialize(au.model_gate(val, val, val), "run-gate"), metrics)
     if cfg.stop_at_model_gate and out["model_gate"].where("NOT passed AND rule <> 'warn_auc'").count():
         raise ModelGateError("the model misses its limits on the validation quarters")
 
@@ -109,9 +110,9 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
     for split in ("validation", "backtest"):
         own = lab.where(F.col("split") == split)
         pds = scores.where(F.col("split") == split).select("id", F.col("p").alias("pd"))
-        chosen[split] = step(f"selection_{split}", lambda own=own, pds=pds: materialize(pf.select_investments(own, pds, cfg.policy), "run-selection"))
+        chosen[split] = step(f"selection_{split}", lambda own=own, pds=pds: materialize(pf.select_investments(own, pds, cfg.policy), "run-selection"), own)
     sel, out["selection"], out["selection_validation"] = chosen["backtest"], chosen["backtest"], chosen["validation"]
-    real = step("backtest", lambda: materialize(bt.realised(bt.attach_outcomes(sel, lab.select("id", "label"))), "run-realised"))
+    real = step("backtest", lambda: materialize(bt.realised(bt.attach_outcomes(sel, lab.select("id", "label"))), "run-realised"), sel)
     back_loans = lab.where(F.col("split") == "backtest")
     market = bt.market_benchmark(back_loans)
     out["backtest"] = bt.result_row(real, market, cfg.policy.budget)
@@ -119,7 +120,7 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
         out["benchmark_market"] = market
     if "random" in cfg.benchmarks:
         sizes = sel.groupBy(cfg.policy.group_col).agg(F.count(F.lit(1)).alias("n"))
-        out["benchmark_random"] = step("benchmark_random", lambda: bt.random_benchmark(back_loans, sizes))
+        out["benchmark_random"] = step("benchmark_random", lambda: bt.random_benchmark(back_loans, sizes), back_loans)
         if "market" in cfg.benchmarks:
             out["benchmark_compare"] = bt.compare(real, market, out["benchmark_random"])
     out["feature_importance"] = md.feature_importance(model, fitted.feature_names) \
@@ -140,8 +141,8 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> dict[
         "backtest": realised if "benchmark_compare" not in out else joined_row(realised, out["benchmark_compare"]),
     }
     out["report"] = au.report_table(sections, {"roc_auc": ("min", 0.65), "brier_score": ("max", 0.20), "hosmer_lemeshow_pvalue": ("min", 0.05)})
-    out["audit"] = spark.createDataFrame([(i, r["step"], r["seconds"], r["status"], r["error"]) for i, r in enumerate(log)],
-                                         "position int, step string, seconds double, status string, error string")
+    out["audit"] = spark.createDataFrame([(i, r["step"], r["seconds"], r["status"], r["error"], r["rows_in"], r["rows_out"]) for i, r in enumerate(log)],
+                                         "position int, step string, seconds double, status string, error string, rows_in long, rows_out long")
     return out
 
 
