@@ -131,7 +131,7 @@ def _direction(p: Point, beta: np.ndarray, grad: np.ndarray, hess: np.ndarray) -
         g = grad + ridge * beta
         step = -np.linalg.lstsq(h + np.diag(ridge), g, rcond=None)[0]
         return step, float(g @ step)
-    lam, step, bent = 1 / p.C, np.zeros_like(beta), np.zeros_like(beta)   # bent = h @ step
+    lam, step, bent, first = 1 / p.C, np.zeros_like(beta), np.zeros_like(beta), None   # bent = h @ step
     for _ in range(2000):
         moved = 0.0
         for j in range(len(beta)):
@@ -147,7 +147,8 @@ def _direction(p: Point, beta: np.ndarray, grad: np.ndarray, hess: np.ndarray) -
                 moved = max(moved, h[j, j] * (new - step[j]) ** 2)
                 bent += h[:, j] * (new - step[j])
                 step[j] = new
-        if moved < 1e-14:
+        first = moved if first is None else first
+        if moved <= max(1e-14, 1e-7 * first):      # the next pass corrects what is left
             break
     return step, float(grad @ step + lam * (np.abs(beta + step)[1:].sum() - np.abs(beta[1:]).sum()))
 
