@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 #: rows multiplied at a time
 BLOCK = 1024
+#: turns of coordinate descent between two passes; the next pass goes on from there
+SWEEPS = 100
 
 
 @dataclass(frozen=True)
@@ -132,7 +134,7 @@ def _direction(p: Point, beta: np.ndarray, grad: np.ndarray, hess: np.ndarray) -
         step = -np.linalg.lstsq(h + np.diag(ridge), g, rcond=None)[0]
         return step, float(g @ step)
     lam, step, bent, first = 1 / p.C, np.zeros_like(beta), np.zeros_like(beta), None   # bent = h @ step
-    for _ in range(2000):
+    for _ in range(SWEEPS):
         moved = 0.0
         for j in range(len(beta)):
             if h[j, j] <= 0:
