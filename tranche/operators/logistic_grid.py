@@ -155,10 +155,12 @@ def _direction(p: Point, beta: np.ndarray, grad: np.ndarray, hess: np.ndarray) -
     return step, float(grad @ step + lam * (np.abs(beta + step)[1:].sum() - np.abs(beta[1:]).sum()))
 
 
-def fit_points(data: DataFrame, points: list[Point], max_passes: int = 100, tol: float = 1e-9) -> list[GridLogisticModel]:
+def fit_points(data: DataFrame, points: list[Point], max_passes: int = 100, tol: float = 1e-9,
+               lasso_tol: float | None = None) -> list[GridLogisticModel]:
     """A model per point.  ``data`` has x (array<double>, no missing values),
     y (0/1), fold (int) and w (weight), and is read once a pass: pass a
-    written table."""
+    written table.  A model ends when a step promises less than ``tol`` of its
+    objective (``lasso_tol`` for the l1 penalty, if given)."""
     d = len(data.select("x").first()["x"]) + 1
     beta = {k: np.zeros(d) for k in range(len(points))}
     value = dict.fromkeys(beta, np.inf)
@@ -177,7 +179,8 @@ def fit_points(data: DataFrame, points: list[Point], max_passes: int = 100, tol:
                 beta[k], value[k] = tried[k], f
             step[k], promise[k] = _direction(points[k], beta[k], grad, hess)
             size[k] = 1.0
-            if -promise[k] <= tol * max(1.0, abs(value[k])):
+            least = tol if lasso_tol is None or points[k].penalty != "l1" else lasso_tol
+            if -promise[k] <= least * max(1.0, abs(value[k])):
                 last = beta[k] + step[k]        # too small a step to need another look
                 done[k] = GridLogisticModel(last[1:], last[0], value[k], passes)
                 del tried[k]
