@@ -78,3 +78,24 @@ def test_unstable_missing_values_have_a_bin(spark):
     for e, a in zip(np.maximum(base, 1e-6), np.maximum(now, 1e-6)):
         want += (a - e) * math.log(a / e)
     assert got["B"] == pytest.approx(want)
+
+
+def test_tied_columns_end_in_the_first_round(spark, monkeypatch):
+    """Flags and small integers need no second pass, whatever their rows; a
+    later pass reads only the columns that are still open."""
+    from tranche.operators import quantiles as qt
+    df = spark.range(5000).select((F.col("id") % 2).alias("flag"), (F.col("id") % 7 - 3).alias("small"), F.sqrt("id").alias("wide"))
+    read, counter = [], qt._counter
+    monkeypatch.setattr(qt, "_counter", lambda depth, inside, known: read.append(sorted(inside) if inside else None) or counter(depth, inside, known))
+    got = exact_quantiles(df, ["flag", "small", "wide"], [0.25, 0.5, 0.75], 100)
+    assert read[0] is None and read[1:] and all(r == [2] for r in read[1:])
+    n = np.arange(5000)
+    for c, v in (("flag", n % 2), ("small", n % 7 - 3), ("wide", np.sqrt(n))):
+        assert got[c] == pytest.approx(list(np.quantile(v, [0.25, 0.5, 0.75])), rel=1e-15)
+
+
+def test_array_bits_equal_column_bits(spark):
+    from tranche.operators.quantiles import bits_of, ordered_bits
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2e-308, 1.0, -1.0, 0.1, -1e300, math.inf, -math.inf, math.nan]
+    got = spark.createDataFrame([(float(v),) for v in values], "v double").select(ordered_bits(F.col("v")).alias("b")).collect()
+    assert [r["b"] for r in got] == bits_of(np.array(values)).tolist()
