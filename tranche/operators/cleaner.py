@@ -67,7 +67,7 @@ def clean_data(df: DataFrame, outlier_cols: list[str] | None = None, missing: di
     for strategy in ("median", "mean", "mode"):
         own = [c for c, m in how.items() if m == strategy]
         if own:
-            fills |= fit_imputer(typed.select(*own), own, strategy).values
+            fills |= fit_imputer(typed.select(*own), own, strategy, stored=True).values
     rows = out.where(~gone).select(*[_filled(typed, c, fills[c]).alias(c) if c in fills else F.col(c) for c in columns], "outlier_columns")
 
     counts = [("rows_in", None, F.lit(True)), ("rows_out", None, ~gone), ("rows_dropped", None, gone)]
