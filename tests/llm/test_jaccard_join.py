@@ -126,3 +126,27 @@ def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     same(QUERIES["op5_jaccard_join"](spark, sf).collect(), docs, 3, 90, 100)
+
+
+def test_copies_around_one_text_are_not_paired_with_each_other(spark, monkeypatch):
+    """Each copy links with the middle, hardly any two copies with each other."""
+    from tranche.llm import jaccard_join
+
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    docs = [(0, " ".join(base))]
+    for k in range(1, 400):
+        words = list(base)
+        for i in rng.sample(range(len(base)), 1 + k % 3):
+            words[i] = f"own{k}x{i}"
+        docs.append((k, " ".join(words)))
+    made, bounded = [], jaccard_join.bounded
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return bounded(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "bounded", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    same(near_duplicates(df, 3, 90, 100).collect(), docs, 3, 90, 100)
+    assert sum(made) < 4 * len(docs), made
