@@ -117,3 +117,13 @@ def test_edge_rows(spark):
     out = mixed(docs, labels.limit(0))
     assert out.columns == docs.columns
     assert {r["rate"] for r in out.collect()} <= {1.0, 2.0, 3.0, 4.0, 5.0}
+
+
+def test_sums_over_the_corpus_do_not_send_the_classifier(spark):
+    class Heavy:
+        def __reduce__(self):
+            raise TypeError("sent to a task")
+
+    df = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.9, 0.1])], "n_tokens long, posterior array<double>")
+    mixer = fit_rates(df, Mixer(Heavy()), np.array([0.6, 0.4]))
+    assert isinstance(mixer.model, Heavy) and mixer.distance < TOLERANCE

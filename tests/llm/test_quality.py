@@ -84,3 +84,20 @@ def test_edge_rows(spark):
     assert all(r.score == 0.5 for r in score_documents(docs.drop("n_chars"), labels.limit(0)).collect())
     fm = fit(np.empty((0, 16)), [], np.empty(0))
     assert with_scores(docs, fm, "s").columns == ["doc_id", "text", "n_chars", "score", "s"]
+
+
+def test_labelled_texts_become_features_a_few_at_a_time(spark, monkeypatch):
+    from tranche.llm import quality
+
+    most, statistics = quality.WIDE_SLICE, quality._statistics
+
+    def bounded(batch, text, chars):
+        assert batch.num_rows == 1 or batch.column(text).nbytes <= most + 16 * batch.num_rows
+        return statistics(batch, text, chars)
+
+    docs = spark.createDataFrame([(k, f"word{k} " * 3000) for k in range(60)], "doc_id long, text string").coalesce(1)
+    labelled = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, label int")
+    whole = quality.sample_features(docs, labelled, 100)
+    monkeypatch.setattr(quality, "_statistics", bounded)
+    stats, lists, y = quality.sample_features(docs, labelled, 100)
+    assert len(y) == 60 and np.array_equal(stats, whole[0], equal_nan=True) and all(np.array_equal(a[1], b[1]) for a, b in zip(lists, whole[1]))

@@ -193,6 +193,7 @@ def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndar
     squared rates.  One grouped sum of some (domains + 1) squared numbers, added
     up in the tasks first."""
     size = domains + domains * domains + 2
+    mixer = replace(mixer, model=None)       # rates need the pulls alone
 
     def run(batches):
         out = np.zeros(size)
@@ -215,6 +216,8 @@ def corpus_sums(members: DataFrame, mixer: Mixer, domains: int) -> tuple[np.ndar
 def slope(members: DataFrame, mixer: Mixer, r: np.ndarray) -> float:
     """Squared length, in the documents' tokens, of the projected gradient of
     the squared distance at the mixer's rates; a rate of zero cannot fall."""
+    mixer = replace(mixer, model=None)
+
     def run(batches):
         out = 0.0
         for b in batches:

@@ -28,6 +28,8 @@ MIN_EPOCHS = 8
 BATCH = 128
 THRESHOLD = 0.3
 FOLDS = 5
+#: text bytes turned into features at a time; temporaries are 30 times as large
+WIDE_SLICE = 512 << 10
 
 
 @dataclass
@@ -145,7 +147,7 @@ def sample_features(docs: DataFrame, labelled: DataFrame, max_train: int):
     sample = labelled.orderBy(order, "doc_id").limit(max_train)
 
     def extract(batches):
-        for b in slices(batches):
+        for b in slices(batches, limit=WIDE_SLICE):
             stats, o, k, w = _statistics(b, "text", "chars")
             cut = pa.array(np.searchsorted(o, np.arange(len(stats) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -176,10 +178,6 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
     return fit(stats, lists, (y > 0).astype(float))
 
 
-#: text bytes turned into features at a time, where whole rows ride along
-WIDE_SLICE = 512 << 10
-
-
 def text_column(docs: DataFrame, temp: str) -> tuple[DataFrame, str]:
     """``docs`` and the name of its text as a string: the column itself where
     it is one, so that a task never holds the texts twice."""
