@@ -96,3 +96,73 @@ def test_folds_differ_by_one_row(spark):
     for c, total in ((0, 668), (1, 335)):
         sizes = [n[c, f] for f in range(5)]
         assert sum(sizes) == total and max(sizes) - min(sizes) <= 1
+
+
+def test_models_of_one_pass_share_their_curvature(spark, frame):
+    data = _data(frame)
+    points = [lg.Point(C, "l2", f) for C in (0.5, 1.0) for f in (0, 1, None)] + [lg.Point(9.0, "l1", 3)]
+    rng = np.random.default_rng(1)
+    here, far = rng.normal(size=7) / 4, rng.normal(size=7)
+    betas = {k: here for k in range(6)} | {6: far}
+    lead = lg._leaders(betas, {}, set())
+    assert lead == {**dict.fromkeys(range(6), 0), 6: 6}
+    assert lg._leaders(betas, {}, {4}) == {**dict.fromkeys(range(6), 0), 4: 4, 6: 6}
+    shared, own = lg._pass(data, betas, points, lead), lg._pass(data, betas, points)
+    for k in betas:
+        for a, b in zip(shared[k], own[k]):
+            assert a == pytest.approx(b, rel=1e-9, abs=1e-9)
+    hess = {k: own[k][2] for k in betas}
+    near = {k: b + (1e-3 if k == 1 else 0) for k, b in betas.items()}
+    assert lg._leaders(near, hess, set())[1] == 0 and lg._leaders({**near, 1: here + 1}, hess, set())[1] == 1
+
+
+def test_lasso_step_is_exact_with_columns_that_add_up():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, 30))
+    kind = rng.integers(0, 5, 2000)
+    for k in range(5):
+        x[:, k] = 2.2 * (kind == k)
+    x[:, 8], x[:, 9], x[:, 10] = x[:, 7], -x[:, 7], x[:, 5] + x[:, 6]
+    x = np.column_stack([np.ones(2000), x])
+    h, grad = x.T @ x / 5, x.T @ rng.normal(size=2000) * 3
+    for start in (np.zeros(31), rng.normal(size=31) * (rng.random(31) < 0.5)):
+        for C in (100.0, 1.0, 0.01):
+            step, promise = lg._direction(lg.Point(C, "l1"), start, grad, h)
+            b, slope = (start + step)[1:], grad + h @ step
+            assert promise <= 0 and abs(slope[0]) < 1e-6 and (np.abs(slope[1:])[b == 0] <= 1 / C + 1e-6).all()
+            assert slope[1:][b != 0] == pytest.approx(-np.sign(b[b != 0]) / C, abs=1e-6)
+
+
+def test_packed_rows_and_auc_by_ranges(spark, frame, monkeypatch):
+    data = _data(frame)
+    points = [lg.Point(1.0, "l1", 2), lg.Point(0.1, "l2", 0)]
+    packed = md.materialize(lg.packed(data), "packed-test")
+    a, b = (lg.fit_points(d, points) for d in (data, packed))
+    for m, n in zip(a, b):
+        assert m.coefficients.toArray() == pytest.approx(n.coefficients.toArray(), abs=1e-9)
+    scores = lg.held_out_scores(packed, points, b).withColumn("p", F.round("p", 2))      # ties
+    one = scores.union(scores.limit(5).select(F.lit(7), "fold", F.lit(1), "p"))          # a point without negatives
+    want = {r["point"]: r["roc_auc"] for r in lg_auc(one)}
+    for size in (10, 10**6):
+        monkeypatch.setattr(lg, "ROWS_PER_RANGE", size)
+        got = lg.held_out_auc(one, one.count())
+        assert got.pop(7) is None and got == pytest.approx({k: v for k, v in want.items() if k != 7}, abs=1e-12)
+
+
+def lg_auc(scores):
+    from tranche.operators.metrics import roc_auc
+    return roc_auc(scores, by=["point"]).collect()
+
+
+def test_folds_follow_the_hash_order_and_move_rows_once(spark):
+    df = md.materialize(spark.range(2000).select("id", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 2).alias("label"), F.lit("wide").alias("x")), "folds-test")
+    out = md.fold_column(df, parts=3, stored=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and out.rdd.getNumPartitions() == 3
+    got = {r["id"]: (r["label"], r["fold"]) for r in out.collect()}
+    order = df.select("id", "label", F.xxhash64("id", F.lit(42)).alias("at")).orderBy("at", "id").collect()
+    turn = {}
+    for r in order:
+        turn[r["label"]] = turn.get(r["label"], -1) + 1
+        assert got.pop(r["id"]) == (r["label"], turn[r["label"]] % 5)
+    assert not got
