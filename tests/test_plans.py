@@ -38,3 +38,19 @@ def test_end_to_end_compares_with_both_benchmarks(spark):
     got = {r["metric"]: r["value"] for r in rows if r["section"] == "backtest"}
     assert {"portfolio_roi", "default_rate_vs_market", "default_rate_vs_random", "roi_vs_market", "roi_vs_random"} <= set(got)
     assert all(got[m] is not None for m in ("roi_vs_market", "roi_vs_random"))
+
+
+def test_trees_are_trained_on_even_parts(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from tranche.operators import models as md
+    rows = [(i, int(i % 3 == 0), Vectors.dense([i % 3, i % 7])) for i in range(900)]
+    df = spark.createDataFrame(rows, ["id", "label", "features"]).coalesce(1)
+    monkeypatch.setattr(md, "ROWS_PER_BUCKET", 20)
+    parts = md.dealt(df, 900)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = parts.rdd.glom().map(len).collect()
+    assert parts.columns == ["features", "label"] and len(sizes) % cores == 0 and sum(sizes) == 900
+    assert len(sizes) >= 900 / 20 and max(sizes) <= 40
+    model = md.train(df, md.ModelConfig("random_forest", n_estimators=3, max_depth=3))
+    assert md.score(model, df).where("(p > 0.5) != (label = 1)").count() == 0
